@@ -17,7 +17,7 @@ def _c(col: Column | str) -> Column:
 
 def parse_ts_strict(col: Column | str, fmt: str = IOT_TS_FORMAT) -> Column:
     """Parse with an explicit format; a malformed value fails the job (DAT-1, ANSI)."""
-    return F.to_timestamp(_c(col), F.lit(fmt))
+    return F.to_timestamp(_c(col), fmt)
 
 
 def parse_ts_lenient(col: Column | str, fmt: str = IOT_TS_FORMAT) -> Column:

@@ -408,15 +408,19 @@ def load_upsert_composite(spark, d):
 @query
 def load_partition_replace(spark, d):
     """SNK-4: backfill every day, rerun one day (idempotent), rerun a day whose
-    sessions were retracted (the day is cleared)."""
-    sessions = sessions_raw(spark, d)
-    root = run_dir(spark, "marts") + "/watch_activity_daily"
-    replace_dates(marts.watch_activity_daily(sessions), root, "activity_date")
-    replace_date(marts.watch_activity_daily(sessions, RERUN_DS), root, "activity_date", RERUN_DS)
-    replace_date(marts.watch_activity_daily(sessions, RERUN_DS), root, "activity_date", RERUN_DS)
+    sessions were retracted (the day is cleared). The marts read the stored
+    raw layer (SRC-5), so a day's rerun prunes to that day in the scan."""
+    root = run_dir(spark, "warehouse")
+    stored = SnapshotTable(spark, f"{root}/raw/watch_sessions_raw")
+    stored.replace(sessions_raw(spark, d))
+    sessions = stored.read()
+    mart = f"{root}/marts/watch_activity_daily"
+    replace_dates(marts.watch_activity_daily(sessions), mart, "activity_date", spread_by=["user_id"])
+    replace_date(marts.watch_activity_daily(sessions, RERUN_DS), mart, "activity_date", RERUN_DS)
+    replace_date(marts.watch_activity_daily(sessions, RERUN_DS), mart, "activity_date", RERUN_DS)
     kept = sessions.filter(~on_day("start_time", RETRACTED_DS))
-    replace_date(marts.watch_activity_daily(kept, RETRACTED_DS), root, "activity_date", RETRACTED_DS)
-    return read_partitioned(spark, root, "activity_date")
+    replace_date(marts.watch_activity_daily(kept, RETRACTED_DS), mart, "activity_date", RETRACTED_DS)
+    return read_partitioned(spark, mart, "activity_date")
 
 
 @query

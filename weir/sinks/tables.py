@@ -181,15 +181,19 @@ def replace_date(df: DataFrame, root: str, date_col: str, ds: str | dt.date) ->
     )
 
 
-def replace_dates(df: DataFrame, root: str, date_col: str) -> None:
+def replace_dates(df: DataFrame, root: str, date_col: str, spread_by: Sequence[str] = (), partitions: int | None = None) -> None:
     """Backfill: replace every day present in ``df``, leave the other days.
 
     Dynamic partition overwrite; a day absent from ``df`` is not cleared
-    (use ``replace_date`` for that)."""
-    # no repartition by date: a hot day would land whole in one task; each
-    # task writes its own files into the days it holds
+    (use ``replace_date`` for that). Rows are range-partitioned on the day
+    plus ``spread_by`` first: each task then writes a contiguous run of days
+    (few files per day), and a hot day still splits across tasks because the
+    range bounds also cut on ``spread_by``.
+    """
+    parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     (
-        df.write.mode("overwrite")
+        df.repartitionByRange(parts, date_col, *spread_by)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(date_col)
         .parquet(root)
