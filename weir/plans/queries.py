@@ -80,13 +80,9 @@ def sessions_raw(spark, d) -> DataFrame:
     return raw.watch_sessions(shaped.watch_session_docs(orders, lineitem))
 
 
-def cases_raw(spark, d, with_messages: bool = True) -> DataFrame:
+def cases_raw(spark, d) -> DataFrame:
     orders, lineitem = _t(spark, d, "orders", "lineitem")
-    docs = shaped.support_case_docs(orders, lineitem)
-    if not with_messages:
-        # the marts read the raw table pruned to a few columns
-        docs = docs.withColumn("messages", F.lit(None).cast(schemas.SUPPORT_CASES["messages"].dataType))
-    return raw.support_cases(docs)
+    return raw.support_cases(shaped.support_case_docs(orders, lineitem))
 
 
 def reports_raw(spark, d) -> DataFrame:
@@ -209,16 +205,28 @@ def watch_activity_daily_per_session(spark, d):
     return marts.watch_activity_daily_per_session(sessions_raw(spark, d))
 
 
+def stored_raw(spark, d, name: str, build) -> DataFrame:
+    """Ingest into the raw layer (a committed snapshot below the shared
+    folder) and read it back, as the marts read the stored raw tables."""
+    table = SnapshotTable(spark, run_dir(spark, "raw") + f"/{name}")
+    table.replace(build(spark, d))
+    return table.read()
+
+
 @query
 def support_and_abuse_daily(spark, d):
-    """PIP-13: per-user snapshot as of a day."""
-    return marts.support_and_abuse_daily(cases_raw(spark, d, with_messages=False), reports_raw(spark, d), SNAPSHOT_DS)
+    """PIP-13: per-user snapshot as of a day, over the stored raw layer."""
+    cases = stored_raw(spark, d, "support_cases_raw", cases_raw)
+    reports = stored_raw(spark, d, "abuse_reports_raw", reports_raw)
+    return marts.support_and_abuse_daily(cases, reports, SNAPSHOT_DS)
 
 
 @query
 def user_union(spark, d):
     """SET-1 / DED-4: users of either raw table."""
-    return marts.known_users(cases_raw(spark, d, with_messages=False), reports_raw(spark, d))
+    cases = stored_raw(spark, d, "support_cases_raw", cases_raw)
+    reports = stored_raw(spark, d, "abuse_reports_raw", reports_raw)
+    return marts.known_users(cases, reports)
 
 
 # ---- documents -----------------------------------------------------------------
