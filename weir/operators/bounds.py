@@ -34,9 +34,7 @@ def percentiles(
         agg = F.percentile_approx(F.col(col), list(qs), approx_accuracy)
     else:
         agg = F.percentile(F.col(col), list(qs))
-    return df.agg(agg.alias("_q")).select(
-        *[F.col("_q").getItem(i).alias(n) for i, n in enumerate(names)]
-    )
+    return df.agg(agg.alias("_q")).select(*[F.col("_q").getItem(i).alias(n) for i, n in enumerate(names)])
 
 
 def within_bounds(df: DataFrame, col: str, bounds: DataFrame, lo: str, hi: str) -> DataFrame:

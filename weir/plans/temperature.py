@@ -43,16 +43,25 @@ def indoor_readings(csv: DataFrame, fmt: str = IOT_TS_FORMAT) -> DataFrame:
     )
 
 
+def _band(readings: DataFrame, qs, approx_accuracy) -> DataFrame:
+    # The band is taken over readings with a parsed day. The strict parse
+    # never yields NULL, so this changes no value, but it makes the parse run
+    # over every indoor row (a bad date fails the run, as in the reference)
+    # instead of only over rows that survive the band.
+    banded = readings.select(F.when(F.col("day").isNotNull(), F.col("temp")).alias("temp"))
+    return percentiles(banded, "temp", qs, ("p_low", "p_high"), approx_accuracy)
+
+
 def temp_percentiles(csv: DataFrame, qs=(0.05, 0.95), fmt: str = IOT_TS_FORMAT, approx_accuracy=None) -> DataFrame:
     """Global percentiles of indoor temperatures (AGG-2, Q12: after the
     indoor filter, over all days)."""
-    return percentiles(indoor_readings(csv, fmt), "temp", qs, ("p_low", "p_high"), approx_accuracy)
+    return _band(indoor_readings(csv, fmt), qs, approx_accuracy)
 
 
 def temp_trimmed(csv: DataFrame, qs=(0.05, 0.95), fmt: str = IOT_TS_FORMAT, approx_accuracy=None) -> DataFrame:
     """Indoor readings inside the percentile band, inclusive (FIL-3, JOI-4)."""
     readings = indoor_readings(csv, fmt)
-    bounds = percentiles(readings, "temp", qs, ("p_low", "p_high"), approx_accuracy)
+    bounds = _band(readings, qs, approx_accuracy)
     return within_bounds(readings, "temp", bounds, "p_low", "p_high")
 
 
