@@ -370,3 +370,8 @@ SELECT 'incremental' AS load_type, '{INC_BATCH}' AS batch_id,
        TIMESTAMP '2024-01-31 02:00:00' AS start_date, TIMESTAMP '2024-01-31 02:05:00' AS end_date,
        count(*) AS records_loaded, 'success' AS load_status, CAST(NULL AS VARCHAR) AS error_message
 FROM b"""
+
+ORACLE["stream_ingest_sessions"] = ORACLE["raw_watch_sessions"]
+
+ORACLE["stream_dedup_readings"] = """SELECT DISTINCT date_trunc('hour', ts) AS noted_date, 'dev_' || user_id AS device_id
+FROM events"""

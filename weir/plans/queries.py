@@ -23,6 +23,7 @@ from weir.operators.dedup import keep_first, keep_last
 from weir.operators.unnest import unnest, unnest_outer
 from weir.plans import documents, marts, raw, temperature
 from weir.session import prepare, run_dir
+from weir import streaming
 from weir.sinks import audit
 from weir.sinks.tables import SnapshotTable, append, read_partitioned, replace_date, replace_dates
 from weir.sources import shaped
@@ -453,5 +454,43 @@ def audit_run_state(spark, d):
     return audit.run_state(spark.read.parquet(log))
 
 
+# ---- streaming drivers -----------------------------------------------------------
+
+
+@query
+def stream_ingest_sessions(spark, d):
+    """STM-1: the sessions export as a file stream; two runs, the second
+    picks up only the files exported since the first, each micro-batch
+    upserted into the raw table."""
+    orders, lineitem = _t(spark, d, "orders", "lineitem")
+    docs = shaped.watch_session_docs(orders, lineitem).drop(SRC)
+    root = run_dir(spark, "stream_ingest")
+    src, ckpt = root + "/exports/WatchSessions", root + "/_checkpoints/watch_sessions"
+    table = SnapshotTable(spark, root + "/raw/watch_sessions_raw")
+    early = F.substring("start_time", 1, 4) < F.lit("1998")
+    for part, load_time in ((docs.filter(early), LOAD_1), (docs.filter(~early), LOAD_2)):
+        part.write.mode("append").json(src)
+        stream = streaming.collection_stream(spark, src, schemas.WATCH_SESSIONS)
+        run = streaming.ingest_stream(stream, raw.watch_sessions, table, ["session_id"], ckpt, clock=lambda t=load_time: t)
+        run.awaitTermination()
+    return raw.as_json_text(table.read().drop("created_at", "updated_at"))
+
+
+@query
+def stream_dedup_readings(spark, d):
+    """STM-2: readings as a stream, one row per (hour, device) kept while
+    within 7 days of the newest reading (watermark de-duplication)."""
+    events_schema = _t(spark, d, "events").schema
+    stream = spark.readStream.schema(events_schema).option("pathGlobFilter", "events.parquet").parquet(d)
+    readings = stream.select(
+        F.date_trunc("hour", F.col("ts")).alias("noted_date"),
+        F.concat(F.lit("dev_"), F.col("user_id").cast("string")).alias("device_id"),
+    )
+    root = run_dir(spark, "stream_dedup")
+    out = root + "/readings"
+    streaming.append_stream(streaming.first_within(readings, ["noted_date", "device_id"], "noted_date"), out, root + "/_ckpt").awaitTermination()
+    return spark.read.parquet(out)
+
+
 # the inventory names the tier query ``subscription_tier``
 QUERIES["subscription_tier"] = QUERIES.pop("subscription_tier_q")
