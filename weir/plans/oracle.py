@@ -375,3 +375,21 @@ ORACLE["stream_ingest_sessions"] = ORACLE["raw_watch_sessions"]
 
 ORACLE["stream_dedup_readings"] = """SELECT DISTINCT date_trunc('hour', ts) AS noted_date, 'dev_' || user_id AS device_id
 FROM events"""
+
+
+def _extremes(src: str, name: str) -> str:
+    return f"""{name}_b AS (SELECT quantile_cont(temp, 0.05) AS lo, quantile_cont(temp, 0.95) AS hi FROM {src} WHERE out_in = 'In'),
+{name}_d AS (
+  SELECT CAST(i.noted_ts AS DATE) AS day, avg(CAST(i.temp AS DOUBLE)) AS avg_temp,
+         CAST(min(i.temp) AS DOUBLE) AS min_temp, CAST(max(i.temp) AS DOUBLE) AS max_temp
+  FROM {src} i, {name}_b b WHERE i.out_in = 'In' AND i.temp >= b.lo AND i.temp <= b.hi GROUP BY 1),
+{name} AS (SELECT * FROM (SELECT * FROM {name}_d ORDER BY avg_temp DESC, day LIMIT 5)
+           UNION SELECT * FROM (SELECT * FROM {name}_d ORDER BY avg_temp, day LIMIT 5))"""
+
+
+ORACLE["temp_extremes_upsert"] = f"""WITH {IOT},
+early AS (SELECT * FROM iot WHERE noted_ts < TIMESTAMP '2024-01-16'),
+{_extremes('early', 'e1')}, {_extremes('iot', 'e2')}
+SELECT day, round(avg_temp, 6) AS avg_temp, min_temp, max_temp FROM e2
+UNION ALL
+SELECT day, round(avg_temp, 6) AS avg_temp, min_temp, max_temp FROM e1 WHERE day NOT IN (SELECT day FROM e2)"""

@@ -81,9 +81,9 @@ def sessions_raw(spark, d) -> DataFrame:
     return raw.watch_sessions(shaped.watch_session_docs(orders, lineitem))
 
 
-def cases_raw(spark, d) -> DataFrame:
+def cases_raw(spark, d, with_messages: bool = True) -> DataFrame:
     orders, lineitem = _t(spark, d, "orders", "lineitem")
-    return raw.support_cases(shaped.support_case_docs(orders, lineitem))
+    return raw.support_cases(shaped.support_case_docs(orders, lineitem, with_messages))
 
 
 def reports_raw(spark, d) -> DataFrame:
@@ -206,28 +206,17 @@ def watch_activity_daily_per_session(spark, d):
     return marts.watch_activity_daily_per_session(sessions_raw(spark, d))
 
 
-def stored_raw(spark, d, name: str, build) -> DataFrame:
-    """Ingest into the raw layer (a committed snapshot below the shared
-    folder) and read it back, as the marts read the stored raw tables."""
-    table = SnapshotTable(spark, run_dir(spark, "raw") + f"/{name}")
-    table.replace(build(spark, d))
-    return table.read()
-
-
 @query
 def support_and_abuse_daily(spark, d):
-    """PIP-13: per-user snapshot as of a day, over the stored raw layer."""
-    cases = stored_raw(spark, d, "support_cases_raw", cases_raw)
-    reports = stored_raw(spark, d, "abuse_reports_raw", reports_raw)
-    return marts.support_and_abuse_daily(cases, reports, SNAPSHOT_DS)
+    """PIP-13: per-user snapshot as of a day. The mart reads user, time and
+    status columns only, so the cases are shaped without their messages."""
+    return marts.support_and_abuse_daily(cases_raw(spark, d, with_messages=False), reports_raw(spark, d), SNAPSHOT_DS)
 
 
 @query
 def user_union(spark, d):
     """SET-1 / DED-4: users of either raw table."""
-    cases = stored_raw(spark, d, "support_cases_raw", cases_raw)
-    reports = stored_raw(spark, d, "abuse_reports_raw", reports_raw)
-    return marts.known_users(cases, reports)
+    return marts.known_users(cases_raw(spark, d, with_messages=False), reports_raw(spark, d))
 
 
 # ---- documents -----------------------------------------------------------------
@@ -292,6 +281,18 @@ def temp_extremes(spark, d):
     return _r6(temperature.temperature_extremes(iot(spark, d)), "avg_temp")
 
 
+@query
+def temp_extremes_upsert(spark, d):
+    """PIP-3 load: extremes of an earlier run (readings before the cut), then
+    of today's run, upserted by day; days that stop being extreme stay (Q13)."""
+    readings = iot(spark, d)
+    earlier = readings.filter(F.to_timestamp("noted_date", "dd-MM-yyyy HH:mm") < F.lit(APPEND_FIRST_END))
+    table = SnapshotTable(spark, run_dir(spark, "extremes") + "/temperature_daily_stats")
+    temperature.load_extremes(table, temperature.temperature_extremes(earlier))
+    temperature.load_extremes(table, temperature.temperature_extremes(readings))
+    return _r6(table.read(), "avg_temp")
+
+
 def _csv_round_trip(spark, d, name: str) -> DataFrame:
     path = run_dir(spark, name) + "/iot.csv"
     iot(spark, d).drop(SRC).write.option("header", True).csv(path)

@@ -100,8 +100,12 @@ def watch_session_docs(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
 # ---- SupportCases ← orders + lineitem ----------------------------------------
 
 
-def support_case_docs(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
-    """One case per order; its lines are the messages (none: no messages)."""
+def support_case_docs(orders: DataFrame, lineitem: DataFrame, with_messages: bool = True) -> DataFrame:
+    """One case per order; its lines are the messages (none: no messages).
+    Without ``with_messages`` the documents carry no messages field, for
+    readers that never look at them."""
+    if not with_messages:
+        return _case_fields(orders.withColumn("messages", F.lit(None).cast("array<struct<sender:string,message:string,timestamp:string>>")))
     msgs = lineitem.groupBy("l_orderkey").agg(
         F.transform(
             F.array_sort(
@@ -120,7 +124,10 @@ def support_case_docs(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
             lambda x: x["m"],
         ).alias("messages")
     )
-    o = orders.join(msgs, orders.o_orderkey == msgs.l_orderkey, "left")
+    return _case_fields(orders.join(msgs, orders.o_orderkey == msgs.l_orderkey, "left"))
+
+
+def _case_fields(o: DataFrame) -> DataFrame:
     created = _order_start(o)
     updated = created + F.make_dt_interval(hours=F.pmod(F.col("o_orderkey") * 13, F.lit(48)) + 1)
     status = (
