@@ -15,7 +15,7 @@ from weir.functions.docs import TIER_PREMIUM
 from weir.functions.temporal import as_date, on_day, up_to_day
 from weir.operators.dedup import distinct_values
 from weir.operators.setops import union_distinct
-from weir.operators.unnest import unnest, unnest_outer
+from weir.operators.unnest import unnest_outer
 
 
 def _minutes(seconds_sum):
@@ -47,35 +47,29 @@ def watch_activity_daily(sessions: DataFrame, ds: str | dt.date | None = None) -
 def watch_activity_daily_per_session(sessions: DataFrame, ds: str | dt.date | None = None) -> DataFrame:
     """Per day and user, as the mart is documented: sessions counted once,
     watch time summed once per session, distinct pages across the day's
-    sessions. Two aggregates on the same key, joined: both sides arrive
-    hash-partitioned on (day, user), so the join adds no exchange."""
-    s = sessions.select(
+    sessions.
+
+    One pass: ``posexplode_outer`` gives each session's first row position
+    0 (or NULL for a session without pages); session-level measures are
+    taken on that row only, distinct pages on all rows. One scan of the
+    sessions and one aggregate on (day, user), no join."""
+    s = sessions.select("start_time", "user_id", "session_duration_seconds", "subscription_type", "pages_visited")
+    if ds is not None:
+        s = s.filter(on_day("start_time", ds))
+    rows = s.select(
         F.to_date("start_time").alias("activity_date"),
-        "start_time",
         "user_id",
         "session_duration_seconds",
         "subscription_type",
-        "pages_visited",
-    )
-    if ds is not None:
-        s = s.filter(on_day("start_time", ds))
-    keys = ["activity_date", "user_id"]
-    per_session = s.groupBy(*keys).agg(
-        F.count(F.lit(1)).cast("int").alias("sessions_count"),
-        _minutes(F.sum("session_duration_seconds")).alias("total_watch_time_minutes"),
-        _premium_share().alias("premium_ratio"),
-    )
-    pages = (
-        unnest(s.select(*keys, "pages_visited"), "pages_visited", "video_id")
-        .groupBy(*keys)
-        .agg(F.count_distinct("video_id").cast("int").alias("videos_count"))
+        F.posexplode_outer("pages_visited").alias("pos", "video_id"),
     )
-    return per_session.join(pages, keys, "left").select(
-        *keys,
-        "sessions_count",
-        "total_watch_time_minutes",
-        F.coalesce("videos_count", F.lit(0)).alias("videos_count"),
-        "premium_ratio",
+    first = F.col("pos").isNull() | (F.col("pos") == 0)
+    premium = F.when(F.col("subscription_type") == TIER_PREMIUM, F.lit(1.0)).otherwise(F.lit(0.0))
+    return rows.groupBy("activity_date", "user_id").agg(
+        F.count_if(first).cast("int").alias("sessions_count"),
+        _minutes(F.sum(F.when(first, F.col("session_duration_seconds")))).alias("total_watch_time_minutes"),
+        F.count_distinct("video_id").cast("int").alias("videos_count"),
+        F.avg(F.when(first, premium)).cast("decimal(5,2)").alias("premium_ratio"),
     )
 
 
