@@ -1,16 +1,14 @@
 """Declared target contracts and their checks (SNK-7).
 
 Parquet enforces neither NOT NULL, keys nor VARCHAR lengths, so a contract
-states them and ``violations`` counts breaches in two aggregates: one pass
-of ``count_if`` over the columns, and one grouped count on the key (map-side
-partial aggregation, so a hot key costs one row per partition in the shuffle).
+states them and ``violations`` counts breaches in one pass over the data.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -46,33 +44,40 @@ def conform(df: DataFrame, contract: Contract) -> DataFrame:
 
 
 def violations(df: DataFrame, contract: Contract) -> DataFrame:
-    """Rows ``(table_name, rule, column_name, violations)``, one per check."""
-    checks: list[tuple[str, str, F.Column]] = []
+    """Rows ``(table_name, rule, column_name, violations)``, one per check.
+
+    One scan: rows are grouped on the contract key (partial aggregation
+    map-side, so a hot key costs one row per partition in the shuffle), each
+    group carries its row count and per-check counts, and a global sum over
+    the groups gives every figure. Without a key it is one global aggregate.
+    """
+    checks: list[tuple[str, str, Column]] = []
     key_cols = set(contract.key)
     for c in contract.columns:
         if not c.nullable or c.name in key_cols:
-            checks.append(("not_null", c.name, F.count_if(F.col(c.name).isNull())))
+            checks.append(("not_null", c.name, F.col(c.name).isNull()))
         if c.max_len is not None:
-            checks.append(("max_length", c.name, F.count_if(F.length(F.col(c.name)) > c.max_len)))
-    spine = [
-        F.struct(F.lit(rule).alias("rule"), F.lit(col).alias("column_name"), agg.cast("bigint").alias("violations"))
-        for rule, col, agg in checks
-    ]
-    out = None
-    if spine:
-        out = df.agg(F.array(*spine).alias("_c")).select(F.inline("_c"))
+            checks.append(("max_length", c.name, F.length(F.col(c.name)) > c.max_len))
+    if not checks and not contract.key:
+        raise ValueError(f"contract {contract.table} declares no checks")
+    counts = [F.count_if(cond).alias(f"_c{i}") for i, (_, _, cond) in enumerate(checks)]
     if contract.key:
-        dupes = (
-            df.groupBy(*contract.key)
-            .agg(F.count(F.lit(1)).alias("_n"))
-            .agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("bigint").alias("violations"))
-            .select(
-                F.lit("unique").alias("rule"),
-                F.lit(",".join(contract.key)).alias("column_name"),
-                "violations",
-            )
+        groups = df.groupBy(*contract.key).agg(F.count(F.lit(1)).alias("_n"), *counts)
+        totals = groups.agg(
+            *[F.sum(f"_c{i}").alias(f"_c{i}") for i in range(len(checks))],
+            F.sum(F.col("_n") - 1).alias("_dup"),
         )
-        out = dupes if out is None else out.unionByName(dupes)
-    if out is None:
-        raise ValueError(f"contract {contract.table} declares no checks")
-    return out.select(F.lit(contract.table).alias("table_name"), "rule", "column_name", "violations")
+        checks.append(("unique", ",".join(contract.key), None))
+    else:
+        totals = df.agg(*counts)
+    items = [
+        F.struct(
+            F.lit(rule).alias("rule"),
+            F.lit(col).alias("column_name"),
+            F.coalesce(F.col("_dup" if cond is None else f"_c{i}"), F.lit(0)).cast("bigint").alias("violations"),
+        )
+        for i, (rule, col, cond) in enumerate(checks)
+    ]
+    return totals.select(F.inline(F.array(*items))).select(
+        F.lit(contract.table).alias("table_name"), "rule", "column_name", "violations"
+    )
