@@ -115,3 +115,9 @@ def test_observed_count_matches_rows_written(spark, workdir):
     t = SnapshotTable(spark, workdir + "/t")
     t.replace(counted)
     assert obs.get["rows"] == t.read().count() == 1234
+
+
+def test_batch_ids():
+    assert audit.incremental_batch_id(dt.datetime(2024, 1, 31, 2, 0, 5)) == "inc_20240131_020005"
+    a, b = audit.full_batch_id(), audit.full_batch_id()
+    assert a != b and len(a) == 36

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weir import schemas
+from weir.sinks import audit
 from weir.functions.docs import json_text, json_text_nonempty, number_or_null, subscription_tier, text_or_null
 from weir.functions.text import prefix, suffix
 from weir.functions.temporal import on_day
@@ -24,7 +25,6 @@ from weir.operators.unnest import unnest, unnest_outer
 from weir.plans import documents, marts, raw, temperature
 from weir.session import prepare, run_dir
 from weir import streaming
-from weir.sinks import audit
 from weir.sinks.tables import SnapshotTable, append, read_partitioned, replace_date, replace_dates
 from weir.sources import shaped
 from weir.sources.files import SRC, read_collection, read_iot_csv
@@ -38,8 +38,8 @@ RERUN_DS = dt.date(1998, 6, 15)
 RETRACTED_DS = dt.date(1998, 6, 16)
 FULL_BATCH = "full-20240201"
 FULL_LOADED_AT = dt.datetime(2024, 2, 1, 2, 0, tzinfo=UTC)
-INC_BATCH = "inc_20240131_020000"
 INC_START = dt.datetime(2024, 1, 31, 2, 0, tzinfo=UTC)
+INC_BATCH = audit.incremental_batch_id(INC_START)
 INC_END = dt.datetime(2024, 1, 31, 2, 5, tzinfo=UTC)
 INC_EARLY_BATCH = "inc_20240125_020000"
 INC_EARLY_CUT = dt.date(2024, 1, 25)

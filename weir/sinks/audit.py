@@ -9,6 +9,7 @@ failures, which the reference never wrote.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -39,6 +40,19 @@ RUN_LOG = T.StructType(
 # Load states of the run log.
 STARTED, SUCCESS, FAILED = "started", "success", "failed"
 
+# Fixed value: batch-id format of incremental loads.
+INCREMENTAL_BATCH_FORMAT = "inc_%Y%m%d_%H%M%S"
+
+
+def incremental_batch_id(at: dt.datetime) -> str:
+    """Batch id of an incremental load started at ``at`` (DAT-7)."""
+    return at.strftime(INCREMENTAL_BATCH_FORMAT)
+
+
+def full_batch_id() -> str:
+    """A fresh random batch id for a full load (DAT-7)."""
+    return str(uuid.uuid4())
+
 
 def counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     """Attach a row counter that fills in while ``df`` is written: the count
