@@ -121,3 +121,21 @@ def test_batch_ids():
     assert audit.incremental_batch_id(dt.datetime(2024, 1, 31, 2, 0, 5)) == "inc_20240131_020005"
     a, b = audit.full_batch_id(), audit.full_batch_id()
     assert a != b and len(a) == 36
+
+
+def test_dedup_takes_whole_rows_with_ties(spark):
+    import random
+
+    rnd = random.Random(7)
+    rows = [(f"k{rnd.randrange(6)}", rnd.randrange(3), f"a{rnd.randrange(4)}", rnd.randrange(5)) for _ in range(400)]
+    df = spark.createDataFrame(rows, "k string, o int, a string, b int").repartition(5)
+    seen = set(rows)
+    for pick in (keep_first, keep_last):
+        out = pick(df, ["k"], ["o"]).collect()
+        assert len(out) == len({r[0] for r in rows})
+        for r in out:
+            assert tuple(r) in seen  # every output row is one input row
+        best = {}
+        for k, o, *_ in rows:
+            best[k] = o if k not in best else (min if pick is keep_first else max)(best[k], o)
+        assert {r.k: r.o for r in out} == best
