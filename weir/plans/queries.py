@@ -81,14 +81,19 @@ def sessions_raw(spark, d) -> DataFrame:
     return raw.watch_sessions(shaped.watch_session_docs(orders, lineitem))
 
 
-def cases_raw(spark, d, with_messages: bool = True) -> DataFrame:
+def cases_raw(spark, d, with_messages: bool = True, columns=None) -> DataFrame:
     orders, lineitem = _t(spark, d, "orders", "lineitem")
-    return raw.support_cases(shaped.support_case_docs(orders, lineitem, with_messages))
+    return raw.support_cases(shaped.support_case_docs(orders, lineitem, with_messages), columns=columns)
 
 
-def reports_raw(spark, d) -> DataFrame:
+def reports_raw(spark, d, columns=None) -> DataFrame:
     orders, lineitem = _t(spark, d, "orders", "lineitem")
-    return raw.abuse_reports(shaped.abuse_report_docs(orders, lineitem))
+    return raw.abuse_reports(shaped.abuse_report_docs(orders, lineitem), columns=columns)
+
+
+# what the support/abuse mart reads from the raw tables
+MART_CASE_COLUMNS = ["user_id", "created_at", "updated_at"]
+MART_REPORT_COLUMNS = ["user_id", "submitted_at"]
 
 
 @query
@@ -210,13 +215,16 @@ def watch_activity_daily_per_session(spark, d):
 def support_and_abuse_daily(spark, d):
     """PIP-13: per-user snapshot as of a day. The mart reads user, time and
     status columns only, so the cases are shaped without their messages."""
-    return marts.support_and_abuse_daily(cases_raw(spark, d, with_messages=False), reports_raw(spark, d), SNAPSHOT_DS)
+    cases = cases_raw(spark, d, with_messages=False, columns=MART_CASE_COLUMNS)
+    reports = reports_raw(spark, d, columns=MART_REPORT_COLUMNS)
+    return marts.support_and_abuse_daily(cases, reports, SNAPSHOT_DS)
 
 
 @query
 def user_union(spark, d):
     """SET-1 / DED-4: users of either raw table."""
-    return marts.known_users(cases_raw(spark, d, with_messages=False), reports_raw(spark, d))
+    cases = cases_raw(spark, d, with_messages=False, columns=["user_id"])
+    return marts.known_users(cases, reports_raw(spark, d, columns=["user_id"]))
 
 
 # ---- documents -----------------------------------------------------------------

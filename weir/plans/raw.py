@@ -12,6 +12,7 @@ order (``_src`` from the file scan, or any declared order columns).
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,11 +28,23 @@ from weir.sources.files import SRC
 CLOSED_STATUSES = ("resolved", "closed")
 
 
-def _first(df: DataFrame, key: str, order_by: Sequence[str] | None) -> DataFrame:
-    return keep_first(df, [key], list(order_by or [SRC]))
+def _first(
+    df: DataFrame, key: str, order_by: Sequence[str] | None, contract, columns: Sequence[str] | None
+) -> DataFrame:
+    """First row per key, conformed to the contract. ``columns`` narrows the
+    output to what the caller reads: the de-duplication then carries only
+    those columns (the surviving row does not change, its order does not)."""
+    order = list(order_by or [SRC])
+    if columns is not None:
+        keep = [key] + [c for c in columns if c != key]
+        df = df.select(*keep, *[c for c in order if c not in keep])
+        contract = replace(contract, columns=tuple(c for c in contract.columns if c.name in keep))
+    return conform(keep_first(df, [key], order), contract)
 
 
-def watch_sessions(docs: DataFrame, order_by: Sequence[str] | None = None, tier_delimiter: str = "_") -> DataFrame:
+def watch_sessions(
+    docs: DataFrame, order_by: Sequence[str] | None = None, tier_delimiter: str = "_", columns: Sequence[str] | None = None
+) -> DataFrame:
     """Sessions: UTC instants, whole-second duration, subscription tier (PIP-7)."""
     start, end = parse_instant("start_time"), parse_instant("end_time")
     df = docs.select(
@@ -46,10 +59,10 @@ def watch_sessions(docs: DataFrame, order_by: Sequence[str] | None = None, tier_
         "actions",
         *(order_by or [SRC]),
     )
-    return conform(_first(df, "session_id", order_by), schemas.WATCH_SESSIONS_RAW)
+    return _first(df, "session_id", order_by, schemas.WATCH_SESSIONS_RAW, columns)
 
 
-def playback_events(docs: DataFrame, order_by: Sequence[str] | None = None) -> DataFrame:
+def playback_events(docs: DataFrame, order_by: Sequence[str] | None = None, columns: Sequence[str] | None = None) -> DataFrame:
     """Playback events with a UTC instant (PIP-8)."""
     df = docs.select(
         "event_id",
@@ -58,10 +71,10 @@ def playback_events(docs: DataFrame, order_by: Sequence[str] | None = None) -> D
         "details",
         *(order_by or [SRC]),
     )
-    return conform(_first(df, "event_id", order_by), schemas.PLAYBACK_EVENTS_RAW)
+    return _first(df, "event_id", order_by, schemas.PLAYBACK_EVENTS_RAW, columns)
 
 
-def support_cases(docs: DataFrame, order_by: Sequence[str] | None = None) -> DataFrame:
+def support_cases(docs: DataFrame, order_by: Sequence[str] | None = None, columns: Sequence[str] | None = None) -> DataFrame:
     """Support cases: resolution time for closed cases, message count (PIP-9)."""
     created, updated = parse_instant("created_at"), parse_instant("updated_at")
     df = docs.select(
@@ -78,10 +91,10 @@ def support_cases(docs: DataFrame, order_by: Sequence[str] | None = None) -> Dat
         safe_size("messages").alias("messages_count"),
         *(order_by or [SRC]),
     )
-    return conform(_first(df, "ticket_id", order_by), schemas.SUPPORT_CASES_RAW)
+    return _first(df, "ticket_id", order_by, schemas.SUPPORT_CASES_RAW, columns)
 
 
-def recommendations(docs: DataFrame, order_by: Sequence[str] | None = None) -> DataFrame:
+def recommendations(docs: DataFrame, order_by: Sequence[str] | None = None, columns: Sequence[str] | None = None) -> DataFrame:
     """Recommendations; the source's ``recommended_products`` is stored as
     ``recommended_content`` and wins over a ``recommended_content`` field (PIP-10)."""
     present = set(docs.columns)
@@ -95,10 +108,10 @@ def recommendations(docs: DataFrame, order_by: Sequence[str] | None = None) -> D
         parse_instant("last_updated").alias("last_updated"),
         *(order_by or [SRC]),
     )
-    return conform(_first(df, "user_id", order_by), schemas.CONTENT_RECOMMENDATIONS_RAW)
+    return _first(df, "user_id", order_by, schemas.CONTENT_RECOMMENDATIONS_RAW, columns)
 
 
-def abuse_reports(docs: DataFrame, order_by: Sequence[str] | None = None) -> DataFrame:
+def abuse_reports(docs: DataFrame, order_by: Sequence[str] | None = None, columns: Sequence[str] | None = None) -> DataFrame:
     """Abuse reports; ``product_id`` is stored as ``object_id`` (PIP-11)."""
     present = set(docs.columns)
     obj = F.col("product_id") if "product_id" in present else F.lit(None).cast("string")
@@ -115,7 +128,7 @@ def abuse_reports(docs: DataFrame, order_by: Sequence[str] | None = None) -> Dat
         parse_instant("submitted_at").alias("submitted_at"),
         *(order_by or [SRC]),
     )
-    return conform(_first(df, "review_id", order_by), schemas.ABUSE_REPORTS_RAW)
+    return _first(df, "review_id", order_by, schemas.ABUSE_REPORTS_RAW, columns)
 
 
 def ingest_stamps(run_time: Column) -> tuple[dict[str, Column], dict[str, Column]]:
