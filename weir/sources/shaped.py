@@ -58,9 +58,18 @@ def order_duration() -> Column:
     return F.lit(300) + F.pmod(F.col("o_orderkey") * 37, F.lit(14100))
 
 
+def per_order(side: DataFrame) -> DataFrame:
+    """A per-order side (lines grouped by order, or the orders themselves)
+    joined to the other on the order key. Both grow with the data, so the
+    join is a shuffle join on the key, never a broadcast: the planner sizes
+    such a side from compressed file bytes and would otherwise broadcast
+    gathered line arrays and run the whole probe side in its scan tasks."""
+    return side.hint("merge")
+
+
 def order_pages(lineitem: DataFrame) -> DataFrame:
     """``vid_<partkey>`` of each order's lines, sorted (lines per order are
-    bounded by the order model; partial aggregation runs map-side)."""
+    bounded by the order model)."""
     return lineitem.groupBy("l_orderkey").agg(
         F.sort_array(F.collect_list(F.concat(F.lit("vid_"), _s("l_partkey")))).alias("pages")
     )
@@ -70,7 +79,7 @@ def order_pages(lineitem: DataFrame) -> DataFrame:
 
 
 def watch_session_docs(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
-    pages = order_pages(lineitem)
+    pages = per_order(order_pages(lineitem))
     o = orders.join(pages, orders.o_orderkey == pages.l_orderkey, "left")
     start = _order_start(o)
     end = start + F.make_dt_interval(secs=order_duration())
@@ -106,7 +115,11 @@ def support_case_docs(orders: DataFrame, lineitem: DataFrame, with_messages: boo
     readers that never look at them."""
     if not with_messages:
         return _case_fields(orders.withColumn("messages", F.lit(None).cast("array<struct<sender:string,message:string,timestamp:string>>")))
-    msgs = lineitem.groupBy("l_orderkey").agg(
+    # The lines are shuffled on the order key as they are (a partial
+    # collect_list would not shrink them); the message texts are built after
+    # the shuffle, where the work is spread over the key partitions.
+    lines = lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_shipdate").repartition("l_orderkey")
+    msgs = lines.groupBy("l_orderkey").agg(
         F.transform(
             F.array_sort(
                 F.collect_list(
@@ -124,7 +137,7 @@ def support_case_docs(orders: DataFrame, lineitem: DataFrame, with_messages: boo
             lambda x: x["m"],
         ).alias("messages")
     )
-    return _case_fields(orders.join(msgs, orders.o_orderkey == msgs.l_orderkey, "left"))
+    return _case_fields(orders.join(per_order(msgs), orders.o_orderkey == msgs.l_orderkey, "left"))
 
 
 def _case_fields(o: DataFrame) -> DataFrame:
@@ -162,7 +175,7 @@ def recommendation_docs(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     """One document per order for its customer (so a user has several; the
     first in source order wins). Pending orders use the newer field name
     ``recommended_content``."""
-    pages = order_pages(lineitem)
+    pages = per_order(order_pages(lineitem))
     o = orders.join(pages, orders.o_orderkey == pages.l_orderkey, "left")
     pending = F.col("o_orderstatus") == "P"
     return o.select(
@@ -181,7 +194,7 @@ def abuse_report_docs(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     """One report per line item, by the order's customer. (orderkey,
     linenumber) repeats in the data, so review ids repeat too; source order
     is the line's own columns."""
-    j = lineitem.join(orders.select("o_orderkey", "o_custkey"), lineitem.l_orderkey == orders.o_orderkey, "inner")
+    j = lineitem.join(per_order(orders.select("o_orderkey", "o_custkey")), lineitem.l_orderkey == orders.o_orderkey, "inner")
     flags = (
         F.when(F.col("l_returnflag") == "R", F.array(F.lit("spam_suspected")))
         .when(F.col("l_returnflag") == "A", F.array(F.lit("other"), F.lit("nudity")))
