@@ -68,6 +68,16 @@ def test_plan_has_no_python_and_no_unbounded_single_partition(results, name):
         assert "SinglePartition" not in plan
 
 
+@pytest.mark.parametrize("name", sorted(queries()))
+def test_no_broadcast_of_sides_that_grow(results, name):
+    """Equi-joins in the queries pair sides that both grow with the data
+    (orders with their lines, target with source, per-user aggregates), so
+    none may be broadcast. The only broadcasts are the one-row bounds of the
+    trailing window and percentile band (nested-loop joins)."""
+    plan = results[name][4]
+    assert "BroadcastHashJoin" not in plan
+
+
 def test_day_filter_reaches_parquet_scan(spark, workdir):
     from weir.plans import marts
     from weir.plans.queries import sessions_raw
