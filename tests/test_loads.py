@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from weir.operators.dedup import keep_first, keep_last
 from weir.sinks import audit
-from weir.sinks.tables import SnapshotTable, append, merge, read_partitioned, replace_date, replace_dates
+from weir.sinks.tables import BUCKET, KeyBucketedTable, SnapshotTable, append, key_bucket, merge, read_partitioned, replace_date, replace_dates
 
 UTC = dt.timezone.utc
 T1 = dt.datetime(2024, 2, 1, tzinfo=UTC)
@@ -67,6 +67,59 @@ def test_upsert_twice_equals_once(spark, workdir):
     assert _sorted(once) == _sorted(twice)
 
 
+def _stamps(ts):
+    return {"created_at": F.lit(ts).cast("timestamp")}, {"updated_at": F.lit(ts).cast("timestamp")}
+
+
+def test_bucketed_upsert_equals_snapshot_upsert(spark, workdir):
+    first = _frame(spark, [(f"k{i}", i, "first") for i in range(40)])
+    second = _frame(spark, [("k3", 30, "second"), ("k7", 70, "second"), ("new", 1, "second")])
+    snap = SnapshotTable(spark, workdir + "/snap")
+    bucketed = KeyBucketedTable(spark, workdir + "/bucketed", ["k"], 8)
+    for table in (snap, bucketed):
+        ins, st = _stamps(T1)
+        table.upsert(first, ["k"], update_cols=["v"], insert_only=ins, stamps=st)
+        ins, st = _stamps(T2)
+        table.upsert(second, ["k"], update_cols=["v"], insert_only=ins, stamps=st)
+    cols = ["k", "v", "note", "created_at", "updated_at"]
+    assert _sorted(bucketed.read().select(*cols)) == _sorted(snap.read().select(*cols))
+    got = {r.k: r for r in bucketed.read().collect()}
+    assert (got["k3"].v, got["k3"].note, got["k3"].created_at, got["k3"].updated_at) == (
+        30, "first", dt.datetime(2024, 2, 1), dt.datetime(2024, 2, 2))
+    assert got["new"].created_at == dt.datetime(2024, 2, 2) and len(got) == 41
+
+
+def _bucket_files(spark, root):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(root)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    out = {}
+    for d in fs.listStatus(p):
+        name = d.getPath().getName()
+        if name.startswith(BUCKET + "="):
+            out[name] = sorted(f.getPath().getName() for f in fs.listStatus(d.getPath()) if f.getPath().getName().endswith(".parquet"))
+    return out
+
+
+def test_bucketed_upsert_rewrites_only_touched_buckets(spark, workdir):
+    table = KeyBucketedTable(spark, workdir + "/t", ["k"], 16)
+    table.upsert(_frame(spark, [(f"k{i}", i, "x") for i in range(200)]))
+    before = _bucket_files(spark, table.root)
+    assert len(before) == 16 and all(len(f) == 1 for f in before.values())
+    src = _frame(spark, [("k5", 500, "y")])
+    touched = {f"{BUCKET}={r[0]}" for r in src.select(key_bucket(["k"], 16)).collect()}
+    table.upsert(src)
+    after = _bucket_files(spark, table.root)
+    changed = {b for b in before if before[b] != after[b]}
+    assert changed == touched
+    assert table.read().count() == 200
+    assert table.read().filter("k = 'k5'").first().v == 500
+    # the same load again leaves the table as it is
+    rows = _sorted(table.read())
+    table.upsert(src)
+    assert _sorted(table.read()) == rows
+
+
 def test_replace_date_idempotent_and_clears(spark, workdir):
     root = workdir + "/mart"
     rows = [(dt.date(2024, 1, d), f"u{u}", d * 10 + u) for d in (1, 2, 3) for u in (1, 2)]

@@ -347,6 +347,8 @@ ORACLE["load_upsert"] = """SELECT event_id, ts, user_id, event_type,
             ELSE TIMESTAMP '2024-02-01 00:00:00' END AS updated_at
 FROM events"""
 
+ORACLE["load_upsert_bucketed"] = ORACLE["load_upsert"]
+
 ORACLE["load_upsert_composite"] = f"""WITH {IOT},
 early AS (SELECT * FROM iot WHERE noted_ts < TIMESTAMP '2024-01-25'),
 {_window('early', 'wa')}, {_batch('wa', 'ba', INC_EARLY_BATCH)},

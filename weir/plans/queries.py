@@ -25,7 +25,7 @@ from weir.operators.unnest import unnest, unnest_outer
 from weir.plans import documents, marts, raw, temperature
 from weir.session import prepare, run_dir
 from weir import streaming
-from weir.sinks.tables import SnapshotTable, append, read_partitioned, replace_date, replace_dates
+from weir.sinks.tables import KeyBucketedTable, SnapshotTable, append, read_partitioned, replace_date, replace_dates
 from weir.sources import shaped
 from weir.sources.files import SRC, read_collection, read_iot_csv
 
@@ -412,6 +412,25 @@ def load_upsert(spark, d):
     return table.read()
 
 
+# buckets of the key-bucketed upsert target in the registered query
+UPSERT_BUCKETS = 16
+
+
+@query
+def load_upsert_bucketed(spark, d):
+    """SNK-3 / SNK-8 at scale: the same two loads as ``load_upsert`` into a
+    key-bucketed table; the second load reads and rewrites only the buckets
+    its keys fall in."""
+    ev = _event_rows(spark, d)
+    table = KeyBucketedTable(spark, run_dir(spark, "upsert_bucketed") + "/events", ["event_id"], UPSERT_BUCKETS)
+    ins, stamps = raw.ingest_stamps(_lit_ts(LOAD_1))
+    table.upsert(ev.filter(F.col("ts") < F.lit(UPSERT_TARGET_END)), insert_only=ins, stamps=stamps)
+    changed = ev.filter(F.col("ts") >= F.lit(UPSERT_SOURCE_START)).withColumn("value", F.col("value") + 1)
+    ins, stamps = raw.ingest_stamps(_lit_ts(LOAD_2))
+    table.upsert(changed, insert_only=ins, stamps=stamps)
+    return table.read()
+
+
 @query
 def load_upsert_composite(spark, d):
     """SNK-3 on (noted_date, device_id): an earlier incremental run, then today's."""
