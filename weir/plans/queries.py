@@ -489,12 +489,13 @@ def audit_run_state(spark, d):
 def stream_ingest_sessions(spark, d):
     """STM-1: the sessions export as a file stream; two runs, the second
     picks up only the files exported since the first, each micro-batch
-    upserted into the raw table."""
+    upserted into the key-bucketed raw table (a micro-batch rewrites only
+    the buckets its sessions fall in)."""
     orders, lineitem = _t(spark, d, "orders", "lineitem")
     docs = shaped.watch_session_docs(orders, lineitem).drop(SRC)
     root = run_dir(spark, "stream_ingest")
     src, ckpt = root + "/exports/WatchSessions", root + "/_checkpoints/watch_sessions"
-    table = SnapshotTable(spark, root + "/raw/watch_sessions_raw")
+    table = KeyBucketedTable(spark, root + "/raw/watch_sessions_raw", ["session_id"], UPSERT_BUCKETS)
     early = F.substring("start_time", 1, 4) < F.lit("1998")
     for part, load_time in ((docs.filter(early), LOAD_1), (docs.filter(~early), LOAD_2)):
         part.write.mode("append").json(src)
