@@ -98,3 +98,43 @@ def test_day_filter_reaches_parquet_scan(spark, workdir):
     assert "pages_visited" in read_schema and "start_time" in read_schema
     for pruned in ("device", "actions", "end_time", "session_id"):
         assert pruned not in read_schema
+
+
+def _row_groups_overlapping(path, col, lo, hi):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    total = hit = 0
+    for f in glob.glob(path.removeprefix("file:") + "/*.parquet"):
+        md = pq.ParquetFile(f).metadata
+        idx = md.schema.to_arrow_schema().get_field_index(col)
+        for g in range(md.num_row_groups):
+            st = md.row_group(g).column(idx).statistics
+            total += 1
+            hit += st.min < hi and st.max >= lo
+    return hit, total
+
+
+def test_clustered_snapshot_lets_a_day_skip_row_groups(spark, workdir):
+    import datetime as dt
+
+    from weir.plans.queries import sessions_raw
+    from weir.sinks.tables import SnapshotTable
+
+    utc = dt.timezone.utc
+    day, next_day = dt.datetime(1995, 6, 15, tzinfo=utc), dt.datetime(1995, 6, 16, tzinfo=utc)
+    spark.conf.set("parquet.block.size", "4096")  # small row groups, as a big table has many
+    try:
+        plain = SnapshotTable(spark, workdir + "/plain")
+        clustered = SnapshotTable(spark, workdir + "/clustered", cluster_by=["start_time"])
+        for t in (plain, clustered):
+            t.replace(sessions_raw(spark, SF_SMALL).repartition(4))
+    finally:
+        spark.conf.unset("parquet.block.size")
+    hit_c, total_c = _row_groups_overlapping(f"{clustered.root}/v=1", "start_time", day, next_day)
+    hit_p, total_p = _row_groups_overlapping(f"{plain.root}/v=1", "start_time", day, next_day)
+    assert total_c >= 8 and total_p >= 8
+    # a day's filter must read at most one row group per file when clustered
+    assert hit_c <= 4 < hit_p
+    assert sorted(clustered.read().collect()) == sorted(plain.read().collect())

@@ -448,7 +448,7 @@ def load_partition_replace(spark, d):
     sessions were retracted (the day is cleared). The marts read the stored
     raw layer (SRC-5), so a day's rerun prunes to that day in the scan."""
     root = run_dir(spark, "warehouse")
-    stored = SnapshotTable(spark, f"{root}/raw/watch_sessions_raw")
+    stored = SnapshotTable(spark, f"{root}/raw/watch_sessions_raw", cluster_by=["start_time"])
     stored.replace(sessions_raw(spark, d))
     sessions = stored.read()
     mart = f"{root}/marts/watch_activity_daily"

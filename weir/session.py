@@ -21,6 +21,9 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # per-date replace relies on static overwrite semantics (see sinks.tables)
     "spark.sql.sources.partitionOverwriteMode": "static",
+    # INT96 (the default) stores no min/max statistics, so a day filter on a
+    # stored table could never skip a row group; microsecond timestamps do
+    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
 }
 
 # Settings that only take effect when the session is created.
