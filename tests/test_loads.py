@@ -192,3 +192,19 @@ def test_dedup_takes_whole_rows_with_ties(spark):
         for k, o, *_ in rows:
             best[k] = o if k not in best else (min if pick is keep_first else max)(best[k], o)
         assert {r.k: r.o for r in out} == best
+
+
+def test_bucketed_cluster_by_sorts_each_bucket_file(spark, workdir):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    table = KeyBucketedTable(spark, workdir + "/t", ["k"], 4, cluster_by=["v"])
+    table.upsert(_frame(spark, [(f"k{i}", (i * 37) % 101, "x") for i in range(300)]))
+    table.upsert(_frame(spark, [("k1", 1000, "y"), ("new", -5, "y")]))
+    files = glob.glob(table.root.removeprefix("file:") + f"/{BUCKET}=*/*.parquet")
+    assert len(files) == 4
+    for f in files:
+        v = pq.read_table(f).column("v").to_pylist()
+        assert v == sorted(v)
+    assert table.read().count() == 301

@@ -495,7 +495,9 @@ def stream_ingest_sessions(spark, d):
     docs = shaped.watch_session_docs(orders, lineitem).drop(SRC)
     root = run_dir(spark, "stream_ingest")
     src, ckpt = root + "/exports/WatchSessions", root + "/_checkpoints/watch_sessions"
-    table = KeyBucketedTable(spark, root + "/raw/watch_sessions_raw", ["session_id"], UPSERT_BUCKETS)
+    table = KeyBucketedTable(
+        spark, root + "/raw/watch_sessions_raw", ["session_id"], UPSERT_BUCKETS, cluster_by=["start_time"]
+    )
     early = F.substring("start_time", 1, 4) < F.lit("1998")
     for part, load_time in ((docs.filter(early), LOAD_1), (docs.filter(~early), LOAD_2)):
         part.write.mode("append").json(src)
