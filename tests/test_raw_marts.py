@@ -61,6 +61,19 @@ def test_sessions_raw_and_marts(spark, workdir):
     assert {r.activity_date for r in one_day} == {dt.date(2024, 1, 3)}
 
 
+def test_approx_distinct_is_opt_in_and_close(spark):
+    from conftest import SF_SMALL
+    from weir.plans.queries import sessions_raw
+
+    sessions = sessions_raw(spark, SF_SMALL)
+    for build in (marts.watch_activity_daily, marts.watch_activity_daily_per_session):
+        exact = {(r.activity_date, r.user_id): r.videos_count for r in build(sessions).collect()}
+        approx = {(r.activity_date, r.user_id): r.videos_count for r in build(sessions, approx_rsd=0.01).collect()}
+        assert set(approx) == set(exact)
+        total = sum(exact.values())
+        assert abs(sum(approx.values()) - total) <= 0.02 * total
+
+
 def test_tiers(spark):
     df = spark.createDataFrame([("user_6",), ("user_4",), ("user_5",), ("abc",), (None,), ("user_x_9",)], "u string")
     got = [r.t for r in df.select(subscription_tier("u").alias("t")).collect()]
