@@ -133,7 +133,8 @@ def merge(
       and on update; untouched target rows keep theirs.
 
     ``source`` must hold one row per key (de-duplicate first). The join
-    shuffles both sides on the key; with AQE a skewed key is split.
+    shuffles both sides on the key; keys are unique on both sides, so no key
+    can be skewed.
     """
     insert_only = dict(insert_only or {})
     stamps = dict(stamps or {})
