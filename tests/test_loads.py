@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -208,3 +209,26 @@ def test_bucketed_cluster_by_sorts_each_bucket_file(spark, workdir):
         v = pq.read_table(f).column("v").to_pylist()
         assert v == sorted(v)
     assert table.read().count() == 301
+
+
+def test_bucketed_upsert_plan_prunes_target_and_shuffles_once(spark, workdir):
+    table = KeyBucketedTable(spark, workdir + "/t", ["k"], 8)
+    table.upsert(_frame(spark, [(f"k{i}", i, "x") for i in range(100)]))
+    plans = []
+    original = KeyBucketedTable._write
+    KeyBucketedTable._write = lambda self, df: plans.append(df._jdf.queryExecution().executedPlan().toString())
+    try:
+        table.upsert(_frame(spark, [("k1", 10, "y")]))
+    finally:
+        KeyBucketedTable._write = original
+    plan = plans[0]
+    touched = _frame(spark, [("k1", 10, "y")]).select(key_bucket(["k"], 8)).first()[0]
+    # only the touched bucket is read from the target (a one-value IN shows as =)
+    scan = next(ln for ln in plan.splitlines() if "FileScan parquet" in ln)
+    assert re.search(rf"PartitionFilters: \[.*\(_bucket#\d+ = {touched}\)", scan), scan
+    # one shuffle of the rows, on the bucket, and no other exchange
+    exchanges = [ln for ln in plan.splitlines() if "Exchange" in ln]
+    assert len(exchanges) == 1 and "hashpartitioning(_bucket" in exchanges[0], exchanges
+    # an empty source writes nothing
+    table.upsert(_frame(spark, []))
+    assert table.read().count() == 100

@@ -205,9 +205,12 @@ class KeyBucketedTable:
 
     An upsert costs what its source touches, not the table size:
 
-    * the source's bucket ids (at most ``buckets`` rows, the only broadcast)
-      semi-join the target, which Spark turns into partition pruning of the
-      target scan, so only touched buckets are read;
+    * the source's bucket ids (at most ``buckets`` integers, a bound fixed
+      by the table, never by the data) become a partition filter of the
+      target scan, so only touched buckets are read. They are fetched
+      explicitly rather than left to dynamic partition pruning, which Spark
+      skips when it cannot estimate the source's size — the load would then
+      silently scan the whole target;
     * touched target rows and source rows are unioned, shuffled once on the
       bucket and grouped per key (one target and one source row at most),
       and the upsert rule of ``merge`` picks each column;
@@ -279,10 +282,13 @@ class KeyBucketedTable:
         stamps = dict(stamps or {})
         data_cols = [c for c in source.columns if c not in keys]
         update_cols = list(update_cols if update_cols is not None else data_cols)
-        target = self.spark.read.parquet(self.root)
+        touched = [r[0] for r in src.select(BUCKET).distinct().collect()]
+        if len(touched) > self.buckets:
+            raise AssertionError("more bucket ids than buckets")
+        if not touched:
+            return  # empty source: nothing to insert or update
+        target = self.spark.read.parquet(self.root).filter(F.col(BUCKET).isin(touched))
         tcols = [c for c in target.columns if c not in keys and c != BUCKET]
-        touched = src.select(BUCKET).distinct()
-        target = target.join(F.broadcast(touched), BUCKET, "left_semi")
         t_type = T.StructType([target.schema[c] for c in tcols])
         s_type = T.StructType([source.schema[c] for c in data_cols])
         rows = target.select(
