@@ -68,6 +68,20 @@ def test_upsert_twice_equals_once(spark, workdir):
     assert _sorted(once) == _sorted(twice)
 
 
+def test_vacuum_keeps_newest_versions(spark, workdir):
+    t = SnapshotTable(spark, workdir + "/t")
+    for i in range(4):
+        t.replace(_frame(spark, [(f"k{i}", i, "x")]))
+    assert t.vacuum(keep=2) == [1, 2]
+    assert t.version() == 4 and _sorted(t.read()) == [("k3", 3, "x")]
+    t.replace(_frame(spark, [("k4", 4, "x")]))
+    assert t.vacuum(keep=2) == [3]
+    assert t.vacuum(keep=2) == []
+    assert _sorted(t.read()) == [("k4", 4, "x")]
+    with pytest.raises(ValueError):
+        t.vacuum(keep=0)
+
+
 def _stamps(ts):
     return {"created_at": F.lit(ts).cast("timestamp")}, {"updated_at": F.lit(ts).cast("timestamp")}
 

@@ -36,6 +36,11 @@ def _list_names(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(p)]
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    p, fs = _path(spark, path)
+    fs.delete(p, True)
+
+
 def _create_marker(spark: SparkSession, path: str) -> None:
     p, fs = _path(spark, path)
     out = fs.create(p, False)  # fails if another load already published it
@@ -96,6 +101,28 @@ class SnapshotTable:
         _create_marker(self.spark, f"{self.root}/_commits/{v:020d}")
         return v
 
+    def vacuum(self, keep: int = 2) -> list[int]:
+        """Delete every version older than the newest ``keep`` published ones
+        (each load writes a full copy, so without this storage grows with the
+        number of loads). A reader still holding a deleted version loses it:
+        keep at least the current version and the one a running load reads.
+        Markers go first, so no marker ever names a missing version. Returns
+        the versions removed."""
+        if keep < 1:
+            raise ValueError("keep must be at least 1")
+        published = sorted(int(n) for n in _list_names(self.spark, f"{self.root}/_commits") if n.isdigit())
+        if len(published) <= keep:
+            return []
+        oldest_kept = published[-keep]
+        old = sorted(
+            int(n[2:]) for n in _list_names(self.spark, self.root)
+            if n.startswith("v=") and n[2:].isdigit() and int(n[2:]) < oldest_kept
+        )
+        for v in old:
+            _delete(self.spark, f"{self.root}/_commits/{v:020d}")
+            _delete(self.spark, f"{self.root}/v={v}")
+        return old
+
     def replace(self, df: DataFrame) -> int:
         """Truncate-and-load in one step (SNK-2)."""
         return self.commit(df)
