@@ -14,6 +14,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from weir.llm.common import Stage, ranked, table
 
@@ -52,10 +53,11 @@ def mix(
     share: float = 1.5,
     max_epochs: int = 2,
     seed: str = "mix",
-    order_by_mix: bool = False,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """One row per document row: doc_id, source, size, source_size, target,
-    copies (times the mix takes it), taken (its words in the mix).
+    copies (times the mix takes it), taken (its words in the mix), and the
+    columns ``keep`` of ``docs``, joined back by id and text hash.
 
     Sources in code point order, a null source last, get ``weights`` in turn.
     Null text has size 0; a document without words is never taken. Repeated
@@ -111,11 +113,28 @@ def mix(
         "size",
         "source_size",
         "target",
+        "content",
         F.coalesce("copies", F.lit(0)).cast("long").alias("copies"),
         (F.coalesce("copies", F.lit(0)) * F.col("size")).cast("long").alias("taken"),
-        "position",
     )
-    return out if order_by_mix else out.drop("row", "position")
+    if not keep:
+        return out.drop("row", "content")
+    # rows equal in id, source and text are told apart by a number within them
+    same = ["doc_id", "source", "content"]
+    facts = stage.write(out, "facts").select(
+        *[F.col(c).alias(f"_f_{c}") for c in same],
+        F.row_number().over(Window.partitionBy(*same).orderBy("row")).alias("_f_n"),
+        "copies",
+    )
+    rows = docs.select(*keep, F.xxhash64("text").alias("_content"))
+    rows = rows.withColumn("_n", F.row_number().over(Window.partitionBy("doc_id", "source", "_content").orderBy(F.lit(0))))
+    on = [
+        F.col("doc_id").eqNullSafe(F.col("_f_doc_id")),
+        F.col("source").eqNullSafe(F.col("_f_source")),
+        F.col("_content") == F.col("_f_content"),
+        F.col("_n") == F.col("_f_n"),
+    ]
+    return rows.join(facts, on).select(*keep, "copies")
 
 
 def op7_mixing(spark, sf_dir: str) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from weir.llm.op2_licenses import op2_licenses
+from weir.llm.op4_jaccard import op4_jaccard
 from weir.llm.op5_quality import op5_quality
 from weir.llm.op6_token_files import op6_token_files
 from weir.llm.op7_mixing import op7_mixing
@@ -13,6 +14,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op2_licenses,
+        op4_jaccard,
         op5_quality,
         op6_token_files,
         op7_mixing,
