@@ -8,6 +8,7 @@ from weir.llm.op5_quality import op5_quality
 from weir.llm.op6_token_files import op6_token_files
 from weir.llm.op7_mixing import op7_mixing
 from weir.llm.op8_packing import op8_packing
+from weir.llm.op9_embeddings import op9_embeddings
 from weir.llm.op10_lines import op10_lines
 
 QUERIES = {
@@ -19,6 +20,7 @@ QUERIES = {
         op6_token_files,
         op7_mixing,
         op8_packing,
+        op9_embeddings,
         op10_lines,
     )
 }
