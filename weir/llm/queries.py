@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from weir.llm.op1_substrings import op1_substrings
 from weir.llm.op2_licenses import op2_licenses
 from weir.llm.op4_jaccard import op4_jaccard
 from weir.llm.op5_quality import op5_quality
@@ -14,6 +15,7 @@ from weir.llm.op10_lines import op10_lines
 QUERIES = {
     f.__name__: f
     for f in (
+        op1_substrings,
         op2_licenses,
         op4_jaccard,
         op5_quality,
