@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from weir.llm.op1_substrings import op1_substrings
 from weir.llm.op2_licenses import op2_licenses
+from weir.llm.op3_passages import op3_passages
 from weir.llm.op4_jaccard import op4_jaccard
 from weir.llm.op5_quality import op5_quality
 from weir.llm.op6_token_files import op6_token_files
@@ -17,6 +18,7 @@ QUERIES = {
     for f in (
         op1_substrings,
         op2_licenses,
+        op3_passages,
         op4_jaccard,
         op5_quality,
         op6_token_files,
