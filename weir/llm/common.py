@@ -9,6 +9,7 @@ executor costs at most the tasks it was running.
 from __future__ import annotations
 
 import gc
+import time
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -46,9 +47,12 @@ class Stage:
     def release(self) -> None:
         """Let Spark delete the shuffle files of finished steps now: its
         cleaner only notices unreachable shuffles when the driver collects
-        garbage, which a small driver heap may put off for a long time."""
-        gc.collect()
-        self.spark.sparkContext._jvm.System.gc()
+        garbage, which it may put off for a long time. Twice, as the first
+        round frees what holds the references of the second."""
+        for _ in range(2):
+            gc.collect()
+            self.spark.sparkContext._jvm.System.gc()
+            time.sleep(1)
 
 
 def arrow_schema(schema: T.StructType) -> pa.Schema:
