@@ -10,12 +10,13 @@ tells whether a tokenizer file allows this; otherwise whole texts are encoded.
 from __future__ import annotations
 
 import json
+from itertools import chain
 
 import numpy as np
 
 #: Texts are encoded in slices of about this many characters.
 SLICE_CHARS = 4_000_000
-_CACHE_WORDS = 250_000
+_CACHE_WORDS = 500_000
 _encoders: dict[str, "Encoder"] = {}
 
 
@@ -42,6 +43,9 @@ def word_level(path: str) -> bool:
 
 
 class Encoder:
+    """Encodes texts with a tokenizer file; keeps the ids of up to
+    ``_CACHE_WORDS`` words between batches."""
+
     def __init__(self, path: str):
         import os
 
@@ -50,48 +54,68 @@ class Encoder:
 
         self.tok = Tokenizer.from_file(path)
         self.by_word = word_level(path)
-        self.code: dict[str, int] = {}
+        vocab = self.tok.get_vocab(with_added_tokens=False)
+        with open(path, encoding="utf-8") as f:
+            suffix = json.load(f)["model"].get("end_of_word_suffix")
+        self.ends = np.zeros(max(vocab.values()) + 1, dtype=bool)
+        if suffix:
+            self.ends[[i for t, i in vocab.items() if t.endswith(suffix)]] = True
         self._reset()
 
     def _reset(self) -> None:
-        self.code = {}
+        self.code: dict[str, int] = {}
         self.lens = np.zeros(1024, dtype=np.int64)
         self.starts = np.zeros(1024, dtype=np.int64)
         self.pool = np.zeros(1 << 14, dtype=np.uint32)
         self.used = 0
 
+    def _encode(self, items: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all items one after another, length of each)."""
+        got = [e.ids for e in self.tok.encode_batch_fast(items, add_special_tokens=False)]
+        lens = np.fromiter(map(len, got), dtype=np.int64, count=len(got))
+        return np.fromiter(chain.from_iterable(got), dtype=np.uint32, count=int(lens.sum())), lens
+
+    def _encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for words of letters only, in one text: each is one
+        pre-token, whose last id is a word end."""
+        flat = np.array(self.tok.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, dtype=np.uint32)
+        last = np.flatnonzero(self.ends[flat])
+        if len(last) != len(words) or (len(flat) and last[-1] != len(flat) - 1):
+            return self._encode(words)
+        return flat, np.diff(last, prepend=-1)
+
     def _add(self, new: list[str]) -> None:
+        body, tail = [], []
         bodies: dict[str, int] = {}
-        parts = [split_tail(w) for w in new]
-        for body, tail in parts:
-            bodies.setdefault(body, len(bodies))
-            if tail:
-                bodies.setdefault(tail, len(bodies))
-        ids = [np.array(e.ids, dtype=np.uint32) for e in self.tok.encode_batch(list(bodies), add_special_tokens=False)]
-        n = len(self.code)
-        need = n + len(new)
-        if need > len(self.lens):
-            grow = max(need, 2 * len(self.lens))
+        for w in new:
+            b, t = (w, "") if w.isalpha() else split_tail(w)
+            body.append(bodies.setdefault(b, len(bodies)))
+            tail.append(bodies.setdefault(t, len(bodies)) if t else -1)
+        letters = [b for b in bodies if b.isalpha()]
+        others = [b for b in bodies if not b.isalpha()]
+        one, two = self._encode_words(letters) if letters else self._encode([]), self._encode(others)
+        flat, lens = np.concatenate([one[0], two[0]]), np.concatenate([one[1], two[1]])
+        # place of each body among letters + others
+        place = np.empty(len(bodies), dtype=np.int64)
+        place[[bodies[b] for b in letters] + [bodies[b] for b in others]] = np.arange(len(bodies))
+        starts = np.cumsum(lens) - lens
+        body, tail = place[np.array(body)], np.array(tail)
+        has = tail >= 0
+        tail = np.where(has, place[tail], 0)
+        n_body, n_tail = lens[body], np.where(has, lens[tail], 0)
+        size = n_body + n_tail
+        at = self.used + np.cumsum(size) - size
+        n, to = len(self.code), self.used + int(size.sum())
+        if n + len(new) > len(self.lens):
+            grow = max(n + len(new), 2 * len(self.lens))
             self.lens, self.starts = np.resize(self.lens, grow), np.resize(self.starts, grow)
-        flat = []
-        at = self.used
-        for w, (body, tail) in zip(new, parts):
-            got = ids[bodies[body]]
-            size = len(got)
-            flat.append(got)
-            if tail:
-                more = ids[bodies[tail]]
-                size += len(more)
-                flat.append(more)
-            self.code[w] = n
-            self.lens[n], self.starts[n] = size, at
-            at += size
-            n += 1
-        joined = np.concatenate(flat) if flat else np.empty(0, dtype=np.uint32)
-        if at > len(self.pool):
-            self.pool = np.resize(self.pool, max(at, 2 * len(self.pool)))
-        self.pool[self.used : at] = joined
-        self.used = at
+        if to > len(self.pool):
+            self.pool = np.resize(self.pool, max(to, 2 * len(self.pool)))
+        self.pool[_ranges(at, n_body)] = flat[_ranges(starts[body], n_body)]
+        self.pool[_ranges(at + n_body, n_tail)] = flat[_ranges(starts[tail], n_tail)]
+        self.lens[n : n + len(new)], self.starts[n : n + len(new)] = size, at
+        self.code.update(zip(new, range(n, n + len(new))))
+        self.used = to
 
     def batch(self, texts: list[str]) -> list[np.ndarray]:
         """uint32 ids of each text, without special tokens."""
@@ -109,33 +133,35 @@ class Encoder:
     def _slice(self, texts: list[str]) -> list[np.ndarray]:
         if not self.by_word:
             return [np.array(e.ids, dtype=np.uint32) for e in self.tok.encode_batch(texts, add_special_tokens=False)]
-        ws = [ascii_split(t) for t in texts]
-        distinct = set().union(*ws) if ws else set()
+        ws = [space_split(t) for t in texts]
+        distinct = set().union(*ws)
         new = [w for w in distinct if w not in self.code]
         if len(self.code) + len(new) > _CACHE_WORDS:
             self._reset()
             new = list(distinct)
         if new:
             self._add(new)
-        out = []
-        code = self.code.__getitem__
-        for w in ws:
-            c = np.fromiter(map(code, w), dtype=np.int64, count=len(w))
-            size = self.lens[c]
-            ends = np.cumsum(size)
-            total = int(ends[-1]) if len(c) else 0
-            at = np.arange(total, dtype=np.int64) + np.repeat(self.starts[c] - (ends - size), size)
-            out.append(self.pool[at])
-        return out
+        sizes = np.fromiter(map(len, ws), dtype=np.int64, count=len(ws))
+        c = np.fromiter(map(self.code.__getitem__, chain.from_iterable(ws)), dtype=np.int64, count=int(sizes.sum()))
+        lens = self.lens[c]
+        ids = self.pool[_ranges(self.starts[c], lens)]
+        upto = np.append(0, np.cumsum(lens))
+        return np.split(ids, upto[np.cumsum(sizes)[:-1]])
+
+
+def _ranges(starts: np.ndarray, lens: np.ndarray) -> np.ndarray:
+    """start, start + 1, ... of each length, one after another."""
+    ends = np.cumsum(lens)
+    total = int(ends[-1]) if len(ends) else 0
+    return np.arange(total, dtype=np.int64) + np.repeat(starts - (ends - lens), lens)
 
 
-def ascii_split(text: str) -> list[str]:
-    """Split at ASCII white space (a subset of what the tokenizer drops)."""
-    if text.isascii():
-        # str.split also splits at 0x1c-0x1f, which \\s does not cover
-        if not any(c in text for c in "\x1c\x1d\x1e\x1f"):
-            return text.split()
-    return [w for w in text.translate(_SPACES).split(" ") if w]
+def space_split(text: str) -> list[str]:
+    """Split at white space. ``str.split`` splits at what Unicode calls white
+    space and at 0x1c-0x1f, which the tokenizer keeps."""
+    if "\x1c" in text or "\x1d" in text or "\x1e" in text or "\x1f" in text:
+        return [w for w in text.translate(_SPACES).split(" ") if w]
+    return text.split()
 
 
 _SPACES = {9: " ", 10: " ", 11: " ", 12: " ", 13: " "}
@@ -146,13 +172,9 @@ def split_tail(word: str) -> tuple[str, str]:
     """(body, trailing ASCII punctuation) where the pre-tokenizer always cuts
     between them; lower-cased when the word is ASCII (the tokenizer does the
     same), else the word as it is."""
-    if not word.isascii():
-        body = word.rstrip(_TAIL)
-        if body and body != word and body[-1].isascii() and body[-1].isalpha():
-            return body, word[len(body) :]
-        return word, ""
-    low = word.lower() if "<|" not in word else word
-    body = low.rstrip(_TAIL)
-    if body and body != low and body[-1].isalpha():
-        return body, low[len(body) :]
-    return low, ""
+    if word.isascii() and "<|" not in word:
+        word = word.lower()
+    body = word.rstrip(_TAIL)
+    if body and body != word and body[-1].isascii() and body[-1].isalpha():
+        return body, word[len(body) :]
+    return word, ""
