@@ -310,6 +310,9 @@ def jaccard_join(docs: DataFrame, with_text_hash: bool = False) -> DataFrame:
         F.col("row").alias("point"), "doc_id", "th", "n", "copies", "prefix"
     )
     reps = stage.write(reps, "reps")
+    sk = stage.write(sk.drop("prefix"), "rows")
+    stage.drop("sketches")
+    stage.release()
     keys = reps.select("point", F.explode_outer("prefix").alias("s"))
     pivots = keys.groupBy("s").agg(F.min("point").alias("region"), F.max("point").alias("other")).where("region <> other")
     member = stage.write(keys.join(pivots.select("s", "region"), "s").select("region", "point").distinct(), "members")
@@ -325,11 +328,13 @@ def jaccard_join(docs: DataFrame, with_text_hash: bool = False) -> DataFrame:
     possible = stage.write(
         by_group(first, ["region", "b1", "b2"], _possible, "region long, b1 long, b2 long, point long, block long"), "possible"
     )
+    stage.release()
     # whole sets of the points that are left, from the texts of their documents
     left = possible.select("point").distinct().join(reps.drop("prefix"), "point")
     regions = possible.groupBy("point").agg(F.array_sort(F.collect_set("region")).alias("regions"))
     left = stage.write(left.join(regions, "point"), "left")
     sets = stage.write(_sets(docs, left), "sets")
+    stage.release()
     second = possible.join(sets, "point")
     got = stage.write(by_group(second, ["region", "b1", "b2"], _links, "point long, low long, links long"), "links")
     comps = components(stage, got.select(F.col("point").alias("a"), F.col("low").alias("b")))
@@ -338,7 +343,7 @@ def jaccard_join(docs: DataFrame, with_text_hash: bool = False) -> DataFrame:
     label = label.select(
         "g1", "g2", F.coalesce("component", "point").alias("c"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")
     )
-    rows = stage.write(sk.drop("prefix").join(label, ["g1", "g2"], "left"), "labelled")
+    rows = stage.write(sk.join(label, ["g1", "g2"], "left"), "labelled")
     # rows without shingles stay alone
     heads = rows.where("c is not null").groupBy("c").agg(
         F.min("doc_id").alias("component"), F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("head")
