@@ -37,7 +37,10 @@ def nan_to_null(col: Column | str) -> Column:
 
 
 # Text spellings of a missing value in exported frames.
-MISSING_TEXT = ("", "nan", "NaN", "None", "NaT", "<NA>", "null")
+MISSING_TEXT = (
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL",
+    "NaN", "None", "n/a", "nan", "null", "NaT",
+)
 
 
 def text_or_null(col: Column | str) -> Column:

@@ -11,8 +11,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from weir.functions.temporal import minus_days
+from weir.session import run_dir
 
 
 def percentiles(
@@ -25,16 +27,44 @@ def percentiles(
     """One row with the ``qs`` percentiles of ``col``; NULLs skipped (AGG-2).
 
     Exact by default (linear interpolation, as pandas ``quantile`` and
-    DuckDB ``quantile_cont``). The exact aggregate keeps a value->count map,
-    cheap for low-cardinality readings; pass ``approx_accuracy`` to switch to
-    the bounded-memory ``percentile_approx`` sketch explicitly.
+    DuckDB ``quantile_cont``): values are counted, range-partitioned and
+    staged with their partition; a value's rank is the running count within
+    its partition after the totals of the partitions before it, so no task
+    ever holds all values. ``approx_accuracy`` switches to the
+    ``percentile_approx`` sketch explicitly.
     """
     names = list(names or [f"p{int(round(q * 100)):02d}" for q in qs])
     if approx_accuracy:
         agg = F.percentile_approx(F.col(col), list(qs), approx_accuracy)
-    else:
-        agg = F.percentile(F.col(col), list(qs))
-    return df.agg(agg.alias("_q")).select(*[F.col("_q").getItem(i).alias(n) for i, n in enumerate(names)])
+        return df.agg(agg.alias("_q")).select(*[F.col("_q").getItem(i).alias(n) for i, n in enumerate(names)])
+    spark = df.sparkSession
+    path = run_dir(spark, "percentiles")
+    (
+        df.select(F.col(col).cast("double").alias("v"))
+        .where("v is not null")
+        .groupBy("v")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .repartitionByRange("v")
+        .withColumn("part", F.spark_partition_id())
+        .write.parquet(path)
+    )
+    counts = spark.read.parquet(path)
+    totals = counts.groupBy("part").agg(F.sum("n").alias("t"))  # one row per partition
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(
+        "part", F.coalesce(F.sum("t").over(before), F.lit(0)).alias("off"), F.sum("t").over(Window.partitionBy()).alias("total")
+    )
+    inside = Window.partitionBy("part").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = counts.join(F.broadcast(offsets), "part").select("v", "total", (F.col("off") + F.sum("n").over(inside)).alias("upto"))
+    cols = []
+    for q, name in zip(qs, names):
+        at = F.lit(float(q)) * (F.col("total") - 1)
+        lo, hi = F.floor(at), F.ceil(at)
+        low = F.min(F.when(F.col("upto") >= lo + 1, F.col("v")))
+        high = F.min(F.when(F.col("upto") >= hi + 1, F.col("v")))
+        at, lo, hi = F.max(at), F.max(lo), F.max(hi)
+        cols.append(F.when(lo == hi, low).otherwise((hi - at) * low + (at - lo) * high).alias(name))
+    return ranked.agg(*cols)
 
 
 def within_bounds(df: DataFrame, col: str, bounds: DataFrame, lo: str, hi: str) -> DataFrame:

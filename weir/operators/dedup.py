@@ -1,11 +1,10 @@
 """Key de-duplication with a declared order (DED-1, DED-2, DED-4).
 
 Spark has no source order, so "first"/"last" take an explicit list of order
-columns (sources attach ``_seq`` for file order). The survivor is picked
-with ``min_by``/``max_by`` over a struct of the whole row: a grouped
-aggregate with a map-side partial step, so a hot key collapses to one row per
-input partition before the shuffle instead of landing whole in one task as a
-``row_number()`` window would.
+columns (sources attach ``_src`` for file order). The survivor is the row with
+``row_number() = 1``: Spark plans a partial window group limit before the
+shuffle, so a hot key shrinks to one row per input partition, and columns that
+nobody reads are pruned.
 """
 
 from __future__ import annotations
@@ -14,6 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 
 def _pick(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], last: bool) -> DataFrame:
@@ -21,16 +21,10 @@ def _pick(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], last: boo
         raise ValueError("keys must not be empty")
     if not order_by:
         raise ValueError("order_by must name at least one column")
-    cols = df.columns
-    row = F.struct(*[F.col(c) for c in cols])
     # NULL order values sort first, as in an ascending sort
-    order = F.struct(*[F.col(c) for c in order_by])
-    chooser = F.max_by if last else F.min_by
-    return (
-        df.groupBy(*keys)
-        .agg(chooser(row, order).alias("_row"))
-        .select(*[F.col("_row").getField(c).alias(c) for c in cols])
-    )
+    order = [F.col(c).desc_nulls_last() if last else F.col(c).asc_nulls_first() for c in order_by]
+    n = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    return df.withColumn("_n", n).where("_n = 1").drop("_n")
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:

@@ -284,9 +284,13 @@ SELECT noted_date, device_id, temperature, seq FROM b"""
 ORACLE["temp_incremental"] = f"""WITH {IOT}, {_window('iot', 'w')}, {_batch('w', 'b', INC_BATCH)}
 SELECT noted_date, temperature, location, device_id, batch_id FROM b"""
 
-_FALLBACK = "CASE WHEN event_type = 'signup' THEN 'row_' || seq ELSE right(id, 15) END"
+_FALLBACK = "CASE WHEN event_type = 'signup' THEN fallback ELSE right(id, 15) END"
 
-ORACLE["incremental_fallback_key"] = f"""WITH {IOT}, {_window('iot', 'w')}, {_batch('w', 'b', INC_BATCH, _FALLBACK)}
+ORACLE["incremental_fallback_key"] = f"""WITH {IOT},
+named AS (
+  SELECT *, 'row_' || md5(strftime(noted_ts, '%Y-%m-%d %H:%M:%S') || '|' || temp_text || '|' || out_in) || '-'
+            || row_number() OVER (PARTITION BY noted_ts, temp_text, out_in, event_type = 'signup' ORDER BY seq) AS fallback
+  FROM iot), {_window('named', 'w')}, {_batch('w', 'b', INC_BATCH, _FALLBACK)}
 SELECT noted_date, temperature, location, device_id, batch_id FROM b"""
 
 ORACLE["temp_incremental_summary"] = f"""WITH {IOT}, {_window('iot', 'w')}, {_batch('w', 'b', INC_BATCH)}
@@ -395,3 +399,27 @@ early AS (SELECT * FROM iot WHERE noted_ts < TIMESTAMP '2024-01-16'),
 SELECT day, round(avg_temp, 6) AS avg_temp, min_temp, max_temp FROM e2
 UNION ALL
 SELECT day, round(avg_temp, 6) AS avg_temp, min_temp, max_temp FROM e1 WHERE day NOT IN (SELECT day FROM e2)"""
+
+
+def _two_loads(rows: str, key: str) -> str:
+    """A collection loaded twice, at first the keys that end in 0-4."""
+    return f"""SELECT r.*, CASE WHEN right({key}, 1) IN ('0', '1', '2', '3', '4') THEN TIMESTAMP '2024-02-01 00:00:00'
+       ELSE TIMESTAMP '2024-02-02 00:00:00' END AS created_at, TIMESTAMP '2024-02-02 00:00:00' AS updated_at
+FROM ({rows}) r"""
+
+
+for _load, _rows, _key in (
+    ("load_raw_sessions", "raw_watch_sessions", "session_id"),
+    ("load_raw_events", "raw_playback_events", "event_id"),
+    ("load_raw_recommendations", "raw_recommendations", "user_id"),
+    ("load_raw_reports", "raw_reports", "review_id"),
+):
+    ORACLE[_load] = _two_loads(ORACLE[_rows], _key)
+
+ORACLE["load_raw_cases"] = f"SELECT r.*, TIMESTAMP '2024-02-02 00:00:00' AS loaded_at FROM ({ORACLE['raw_support_cases']}) r"
+
+ORACLE["load_rejects"] = """SELECT CASE event_id % 10 WHEN 7 THEN 'malformed' WHEN 9 THEN 'no key' ELSE 'loaded' END AS reason,
+       count(*) AS records
+FROM events GROUP BY 1"""
+
+ORACLE["load_support_abuse_daily"] = ORACLE["support_and_abuse_daily"]

@@ -27,7 +27,7 @@ from weir.session import prepare, run_dir
 from weir import streaming
 from weir.sinks.tables import KeyBucketedTable, SnapshotTable, append, read_partitioned, replace_date, replace_dates
 from weir.sources import shaped
-from weir.sources.files import SRC, read_collection, read_iot_csv
+from weir.sources.files import CORRUPT, SRC, read_collection, read_iot_csv
 
 UTC = dt.timezone.utc
 
@@ -81,19 +81,14 @@ def sessions_raw(spark, d) -> DataFrame:
     return raw.watch_sessions(shaped.watch_session_docs(orders, lineitem))
 
 
-def cases_raw(spark, d, with_messages: bool = True, columns=None) -> DataFrame:
+def cases_raw(spark, d) -> DataFrame:
     orders, lineitem = _t(spark, d, "orders", "lineitem")
-    return raw.support_cases(shaped.support_case_docs(orders, lineitem, with_messages), columns=columns)
+    return raw.support_cases(shaped.support_case_docs(orders, lineitem))
 
 
-def reports_raw(spark, d, columns=None) -> DataFrame:
+def reports_raw(spark, d) -> DataFrame:
     orders, lineitem = _t(spark, d, "orders", "lineitem")
-    return raw.abuse_reports(shaped.abuse_report_docs(orders, lineitem), columns=columns)
-
-
-# what the support/abuse mart reads from the raw tables
-MART_CASE_COLUMNS = ["user_id", "created_at", "updated_at"]
-MART_REPORT_COLUMNS = ["user_id", "submitted_at"]
+    return raw.abuse_reports(shaped.abuse_report_docs(orders, lineitem))
 
 
 @query
@@ -193,7 +188,7 @@ def src_json_docs(spark, d):
     path = run_dir(spark, "collections") + "/WatchSessions"
     docs.withColumn("_id", F.concat(F.lit("oid"), F.col(f"{SRC}.row").cast("string"))).drop(SRC).write.json(path)
     back = read_collection(spark, path, schemas.WATCH_SESSIONS)
-    return raw.as_json_text(back.drop(SRC))
+    return raw.as_json_text(back.drop(SRC, CORRUPT))
 
 
 # ---- marts ---------------------------------------------------------------------
@@ -213,18 +208,14 @@ def watch_activity_daily_per_session(spark, d):
 
 @query
 def support_and_abuse_daily(spark, d):
-    """PIP-13: per-user snapshot as of a day. The mart reads user, time and
-    status columns only, so the cases are shaped without their messages."""
-    cases = cases_raw(spark, d, with_messages=False, columns=MART_CASE_COLUMNS)
-    reports = reports_raw(spark, d, columns=MART_REPORT_COLUMNS)
-    return marts.support_and_abuse_daily(cases, reports, SNAPSHOT_DS)
+    """PIP-13: per-user snapshot as of a day."""
+    return marts.support_and_abuse_daily(cases_raw(spark, d), reports_raw(spark, d), SNAPSHOT_DS)
 
 
 @query
 def user_union(spark, d):
     """SET-1 / DED-4: users of either raw table."""
-    cases = cases_raw(spark, d, with_messages=False, columns=["user_id"])
-    return marts.known_users(cases, reports_raw(spark, d, columns=["user_id"]))
+    return marts.known_users(cases_raw(spark, d), reports_raw(spark, d))
 
 
 # ---- documents -----------------------------------------------------------------
@@ -482,6 +473,86 @@ def audit_run_state(spark, d):
     return audit.run_state(spark.read.parquet(log))
 
 
+#: Keys of the first of two overlapping loads end in one of these digits.
+FIRST_LOAD = ("0", "1", "2", "3", "4")
+
+
+def _load_raw(spark, docs, schema, build, contract) -> DataFrame:
+    """Two loads of a collection export: a part of the documents, then all of
+    them; stamps tell which load brought a key first."""
+    root = run_dir(spark, f"load_{contract.table}")
+    (key,) = contract.key
+    table = SnapshotTable(spark, f"{root}/raw")
+    part = F.substring(key, -1, 1).isin(*FIRST_LOAD)
+    for n, (some, at) in enumerate(((docs.where(part), LOAD_1), (docs, LOAD_2))):
+        some.orderBy(SRC).drop(SRC).write.json(f"{root}/export-{n}")  # first in source order wins
+        raw.load_collection(spark, read_collection(spark, f"{root}/export-{n}", schema), build, contract, table, at, f"{root}/rejects")
+    return raw.as_json_text(table.read())
+
+
+@query
+def load_raw_sessions(spark, d):
+    """PIP-7 load: sessions export -> raw by keyed upsert, twice."""
+    docs = shaped.watch_session_docs(*_t(spark, d, "orders", "lineitem"))
+    return _load_raw(spark, docs, schemas.WATCH_SESSIONS, raw.watch_sessions, schemas.WATCH_SESSIONS_RAW)
+
+
+@query
+def load_raw_events(spark, d):
+    """PIP-8 load."""
+    docs = shaped.playback_event_docs(_t(spark, d, "events"))
+    return _load_raw(spark, docs, schemas.PLAYBACK_EVENTS, raw.playback_events, schemas.PLAYBACK_EVENTS_RAW)
+
+
+@query
+def load_raw_cases(spark, d):
+    """PIP-9 load: source times kept, load time in ``loaded_at``."""
+    docs = shaped.support_case_docs(*_t(spark, d, "orders", "lineitem"))
+    return _load_raw(spark, docs, schemas.SUPPORT_CASES, raw.support_cases, schemas.SUPPORT_CASES_RAW)
+
+
+@query
+def load_raw_recommendations(spark, d):
+    """PIP-10 load."""
+    docs = shaped.recommendation_docs(*_t(spark, d, "orders", "lineitem"))
+    return _load_raw(spark, docs, schemas.CONTENT_RECOMMENDATIONS, raw.recommendations, schemas.CONTENT_RECOMMENDATIONS_RAW)
+
+
+@query
+def load_raw_reports(spark, d):
+    """PIP-11 load."""
+    docs = shaped.abuse_report_docs(*_t(spark, d, "orders", "lineitem"))
+    return _load_raw(spark, docs, schemas.ABUSE_REPORTS, raw.abuse_reports, schemas.ABUSE_REPORTS_RAW)
+
+
+@query
+def load_rejects(spark, d):
+    """SRC-2: an export in which event ids that end in 7 are cut lines and
+    those that end in 9 have no key; both are counted, none is loaded."""
+    docs = shaped.playback_event_docs(_t(spark, d, "events")).drop(SRC)
+    root = run_dir(spark, "load_rejects")
+    end = F.substring("event_id", -1, 1)
+    line = F.to_json(F.struct(F.when(end != "9", F.col("event_id")).alias("event_id"), *[c for c in docs.columns if c != "event_id"]))
+    cut = F.when(end == "7", F.expr("substring(line, 1, length(line) - 3)")).otherwise(F.col("line"))
+    docs.select(end.alias("end"), line.alias("line"), "event_id").select(cut.alias("value")).write.text(f"{root}/export")
+    table = SnapshotTable(spark, f"{root}/raw")
+    export = read_collection(spark, f"{root}/export", schemas.PLAYBACK_EVENTS)
+    raw.load_collection(spark, export, raw.playback_events, schemas.PLAYBACK_EVENTS_RAW, table, LOAD_1, f"{root}/rejects")
+    refused = spark.read.parquet(f"{root}/rejects").groupBy("reason").agg(F.count(F.lit(1)).alias("records"))
+    return refused.unionByName(table.read().agg(F.lit("loaded").alias("reason"), F.count(F.lit(1)).alias("records")))
+
+
+@query
+def load_support_abuse_daily(spark, d):
+    """PIP-13 load (SNK-4): the snapshot of a day replaced per date, twice."""
+    cases, reports = cases_raw(spark, d), reports_raw(spark, d)
+    mart = run_dir(spark, "support_abuse") + "/support_and_abuse_daily"
+    for _ in range(2):
+        rows = marts.support_and_abuse_daily(cases, reports, SNAPSHOT_DS)
+        replace_date(rows, mart, rows.columns[0], SNAPSHOT_DS)
+    return read_partitioned(spark, mart, rows.columns[0])
+
+
 # ---- streaming drivers -----------------------------------------------------------
 
 

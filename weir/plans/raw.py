@@ -11,39 +11,32 @@ order (``_src`` from the file scan, or any declared order columns).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import replace
+import datetime as dt
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weir import schemas
 from weir.functions.docs import json_text, safe_size, subscription_tier
 from weir.functions.temporal import parse_instant, seconds_between
-from weir.operators.contract import conform
+from weir.operators.contract import conform, violations
 from weir.operators.dedup import keep_first
-from weir.sources.files import SRC
+from weir.session import run_dir
+from weir.sinks.tables import SnapshotTable, append
+from weir.sources.files import SRC, split_rejects
 
 # Statuses that close a support case.
 CLOSED_STATUSES = ("resolved", "closed")
 
 
-def _first(
-    df: DataFrame, key: str, order_by: Sequence[str] | None, contract, columns: Sequence[str] | None
-) -> DataFrame:
-    """First row per key, conformed to the contract. ``columns`` narrows the
-    output to what the caller reads: the de-duplication then carries only
-    those columns (the surviving row does not change, its order does not)."""
-    order = list(order_by or [SRC])
-    if columns is not None:
-        keep = [key] + [c for c in columns if c != key]
-        df = df.select(*keep, *[c for c in order if c not in keep])
-        contract = replace(contract, columns=tuple(c for c in contract.columns if c.name in keep))
-    return conform(keep_first(df, [key], order), contract)
+def _first(df: DataFrame, key: str, order_by: Sequence[str] | None, contract) -> DataFrame:
+    """First row per key, conformed to the contract."""
+    return conform(keep_first(df, [key], list(order_by or [SRC])), contract)
 
 
 def watch_sessions(
-    docs: DataFrame, order_by: Sequence[str] | None = None, tier_delimiter: str = "_", columns: Sequence[str] | None = None
+    docs: DataFrame, order_by: Sequence[str] | None = None, tier_delimiter: str = "_"
 ) -> DataFrame:
     """Sessions: UTC instants, whole-second duration, subscription tier (PIP-7)."""
     start, end = parse_instant("start_time"), parse_instant("end_time")
@@ -59,10 +52,10 @@ def watch_sessions(
         "actions",
         *(order_by or [SRC]),
     )
-    return _first(df, "session_id", order_by, schemas.WATCH_SESSIONS_RAW, columns)
+    return _first(df, "session_id", order_by, schemas.WATCH_SESSIONS_RAW)
 
 
-def playback_events(docs: DataFrame, order_by: Sequence[str] | None = None, columns: Sequence[str] | None = None) -> DataFrame:
+def playback_events(docs: DataFrame, order_by: Sequence[str] | None = None) -> DataFrame:
     """Playback events with a UTC instant (PIP-8)."""
     df = docs.select(
         "event_id",
@@ -71,10 +64,10 @@ def playback_events(docs: DataFrame, order_by: Sequence[str] | None = None, colu
         "details",
         *(order_by or [SRC]),
     )
-    return _first(df, "event_id", order_by, schemas.PLAYBACK_EVENTS_RAW, columns)
+    return _first(df, "event_id", order_by, schemas.PLAYBACK_EVENTS_RAW)
 
 
-def support_cases(docs: DataFrame, order_by: Sequence[str] | None = None, columns: Sequence[str] | None = None) -> DataFrame:
+def support_cases(docs: DataFrame, order_by: Sequence[str] | None = None) -> DataFrame:
     """Support cases: resolution time for closed cases, message count (PIP-9)."""
     created, updated = parse_instant("created_at"), parse_instant("updated_at")
     df = docs.select(
@@ -91,10 +84,10 @@ def support_cases(docs: DataFrame, order_by: Sequence[str] | None = None, column
         safe_size("messages").alias("messages_count"),
         *(order_by or [SRC]),
     )
-    return _first(df, "ticket_id", order_by, schemas.SUPPORT_CASES_RAW, columns)
+    return _first(df, "ticket_id", order_by, schemas.SUPPORT_CASES_RAW)
 
 
-def recommendations(docs: DataFrame, order_by: Sequence[str] | None = None, columns: Sequence[str] | None = None) -> DataFrame:
+def recommendations(docs: DataFrame, order_by: Sequence[str] | None = None) -> DataFrame:
     """Recommendations; the source's ``recommended_products`` is stored as
     ``recommended_content`` and wins over a ``recommended_content`` field (PIP-10)."""
     present = set(docs.columns)
@@ -108,10 +101,10 @@ def recommendations(docs: DataFrame, order_by: Sequence[str] | None = None, colu
         parse_instant("last_updated").alias("last_updated"),
         *(order_by or [SRC]),
     )
-    return _first(df, "user_id", order_by, schemas.CONTENT_RECOMMENDATIONS_RAW, columns)
+    return _first(df, "user_id", order_by, schemas.CONTENT_RECOMMENDATIONS_RAW)
 
 
-def abuse_reports(docs: DataFrame, order_by: Sequence[str] | None = None, columns: Sequence[str] | None = None) -> DataFrame:
+def abuse_reports(docs: DataFrame, order_by: Sequence[str] | None = None) -> DataFrame:
     """Abuse reports; ``product_id`` is stored as ``object_id`` (PIP-11)."""
     present = set(docs.columns)
     obj = F.col("product_id") if "product_id" in present else F.lit(None).cast("string")
@@ -128,16 +121,54 @@ def abuse_reports(docs: DataFrame, order_by: Sequence[str] | None = None, column
         parse_instant("submitted_at").alias("submitted_at"),
         *(order_by or [SRC]),
     )
-    return _first(df, "review_id", order_by, schemas.ABUSE_REPORTS_RAW, columns)
+    return _first(df, "review_id", order_by, schemas.ABUSE_REPORTS_RAW)
 
 
-def ingest_stamps(run_time: Column) -> tuple[dict[str, Column], dict[str, Column]]:
-    """``(insert_only, stamps)`` for ``SnapshotTable.upsert``: ``created_at``
-    set once, ``updated_at`` on every load (SNK-8). ``run_time`` is one
-    literal for the whole load."""
+def ingest_stamps(run_time: Column, contract=None) -> tuple[dict[str, Column], dict[str, Column]]:
+    """``(insert_only, stamps)`` for an upsert (SNK-8): ``created_at`` set once
+    and ``updated_at`` on every load, or ``loaded_at`` alone where the target's
+    own columns have these names (support cases). ``run_time`` is one literal
+    for the whole load."""
+    own = set(contract.names) if contract is not None else set()
+    if own & {"created_at", "updated_at"}:
+        return {}, {"loaded_at": run_time}
     return {"created_at": run_time}, {"updated_at": run_time}
 
 
+def load_collection(
+    spark: SparkSession,
+    docs: DataFrame,
+    build: Callable[[DataFrame], DataFrame],
+    contract,
+    table: SnapshotTable,
+    run_time: dt.datetime,
+    rejects: str | None = None,
+) -> dict[str, int]:
+    """One load of a document collection (PIP-7..PIP-11, SNK-3, SNK-7, SNK-8).
+
+    Documents that are malformed or have no key go to the ``rejects`` folder
+    and are counted; the others are built, one per key (the first in source
+    order wins within a load; across loads the later load wins), staged, held
+    against the contract (a breach fails the run before anything is stored)
+    and upserted with the target's stamps. Returns the counts.
+    """
+    (key,) = contract.key
+    good, bad = split_rejects(docs, key)
+    stage = run_dir(spark, f"load-{contract.table}")
+    bad.withColumn("load_time", F.lit(run_time).cast("timestamp")).write.parquet(f"{stage}/rejects")
+    refused = spark.read.parquet(f"{stage}/rejects")
+    build(good).write.parquet(f"{stage}/rows")
+    rows = spark.read.parquet(f"{stage}/rows")
+    broken = [r for r in violations(rows, contract).where("violations > 0").collect()]  # one row per check
+    if broken:
+        raise ValueError(f"{contract.table}: " + ", ".join(f"{r.rule}({r.column_name}) {r.violations}x" for r in broken))
+    insert_only, stamps = ingest_stamps(F.lit(run_time).cast("timestamp"), contract)
+    table.upsert(rows, [key], insert_only=insert_only, stamps=stamps)
+    if rejects:
+        append(refused, rejects)
+    return {"loaded": rows.count(), "rejected": refused.count()}
+
+
 def as_json_text(df: DataFrame) -> DataFrame:
     """Nested columns (arrays, structs) replaced by their JSON text (JSN-3)."""
     out = []

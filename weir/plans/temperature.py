@@ -161,18 +161,38 @@ def incremental_window(csv: DataFrame, days: int = 7, fmt: str = IOT_TS_FORMAT)
     return trailing_window(parsed(csv, fmt), "noted_date", days)
 
 
+def with_fallback_id(window: DataFrame) -> DataFrame:
+    """``_fallback``: ``row_<hash of the row's content>-<number among identical
+    rows>`` for rows without an id (STR-5, Q9). It depends on content alone,
+    so it is the same for any split, file order or number of cores. Identical
+    rows are counted and numbered, never gathered by row."""
+    content = ["noted_date", "temp", "out_in"]
+    named = window.where(F.col("id").isNotNull()).withColumn("_fallback", F.lit(None).cast("string"))
+    text = [F.date_format("noted_date", "yyyy-MM-dd HH:mm:ss"), F.coalesce("temp", F.lit("")), F.coalesce("out_in", F.lit(""))]
+    hashed = F.md5(F.concat_ws("|", *text))
+    order = F.min(SRC).alias(SRC)
+    alike = window.where(F.col("id").isNull()).groupBy(*content).agg(F.count(F.lit(1)).alias("_n"), order)
+    numbered = alike.withColumn("_k", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n"))))
+    fallback = F.concat(F.lit("row_"), hashed, F.lit("-"), F.col("_k").cast("string"))
+    missing = numbered.withColumn("_fallback", fallback).drop("_n", "_k")
+    return named.unionByName(missing, allowMissingColumns=True)
+
+
 def incremental_rows(
     window: DataFrame, batch_id: str, id_suffix: int = 15, location_len: int = 10
 ) -> DataFrame:
     """Target rows: device id is the last ``id_suffix`` characters of ``id``,
-    or ``row_<n>`` from the row's unique source id when ``id`` is missing
-    (STR-5, Q9: stable across runs); location cut to ``location_len``."""
-    fallback = F.concat(F.lit("row_"), F.col(f"{SRC}.row").cast("string"))
+    or the content-based fallback when ``id`` is missing; location cut to
+    ``location_len``."""
+    for c in ("id", "temp", "out_in"):
+        if c not in window.columns:
+            window = window.withColumn(c, F.lit(None).cast("string"))
+    window = with_fallback_id(window)
     return window.select(
         "noted_date",
-        number_or_null(_opt(window, "temp")).alias("temperature"),
-        prefix(F.coalesce(_opt(window, "out_in"), F.lit(UNKNOWN_LOCATION)), location_len).alias("location"),
-        F.coalesce(suffix(_opt(window, "id"), id_suffix), fallback).alias("device_id"),
+        number_or_null(F.col("temp")).alias("temperature"),
+        prefix(F.coalesce(F.col("out_in"), F.lit(UNKNOWN_LOCATION)), location_len).alias("location"),
+        F.coalesce(suffix(F.col("id"), id_suffix), F.col("_fallback")).alias("device_id"),
         F.lit(batch_id).alias("batch_id"),
         SRC,
     )

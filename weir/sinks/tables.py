@@ -14,12 +14,15 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from weir.session import run_dir
+
 # ---- tiny Hadoop FileSystem helpers (markers only, never data) -------------
 
 
@@ -41,12 +44,22 @@ def _delete(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
-def _create_marker(spark: SparkSession, path: str) -> None:
+def _create_marker(spark: SparkSession, path: str, text: str) -> None:
     p, fs = _path(spark, path)
     out = fs.create(p, False)  # fails if another load already published it
+    out.writeBytes(text)
     out.close()
 
 
+def _read_marker(spark: SparkSession, path: str) -> str:
+    p, fs = _path(spark, path)
+    source = fs.open(p)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(source, "UTF-8")
+    finally:
+        source.close()
+
+
 # ---- append ------------------------------------------------------------------
 
 
@@ -90,15 +103,21 @@ class SnapshotTable:
             if self.schema is None:
                 raise FileNotFoundError(f"no committed version under {self.root}")
             return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.parquet(f"{self.root}/v={v}")
+        return self.spark.read.parquet(f"{self.root}/{self._folder(v)}")
+
+    def _folder(self, version: int) -> str:
+        return _read_marker(self.spark, f"{self.root}/_commits/{version:020d}")
 
     def commit(self, df: DataFrame) -> int:
-        """Write ``df`` as the next version and publish it."""
+        """Write ``df`` as the next version and publish it. Every attempt has a
+        folder of its own, which its marker names: of two loads that run at
+        the same time one publishes, the other fails and changes nothing."""
         v = (self.version() or 0) + 1
+        folder = f"v={v}-{uuid.uuid4().hex}"
         if self.cluster_by:
             df = df.sortWithinPartitions(*self.cluster_by)
-        df.write.mode("overwrite").parquet(f"{self.root}/v={v}")
-        _create_marker(self.spark, f"{self.root}/_commits/{v:020d}")
+        df.write.mode("errorifexists").parquet(f"{self.root}/{folder}")
+        _create_marker(self.spark, f"{self.root}/_commits/{v:020d}", folder)
         return v
 
     def vacuum(self, keep: int = 2) -> list[int]:
@@ -114,13 +133,11 @@ class SnapshotTable:
         if len(published) <= keep:
             return []
         oldest_kept = published[-keep]
-        old = sorted(
-            int(n[2:]) for n in _list_names(self.spark, self.root)
-            if n.startswith("v=") and n[2:].isdigit() and int(n[2:]) < oldest_kept
-        )
+        old = [v for v in published if v < oldest_kept]
         for v in old:
+            folder = self._folder(v)
             _delete(self.spark, f"{self.root}/_commits/{v:020d}")
-            _delete(self.spark, f"{self.root}/v={v}")
+            _delete(self.spark, f"{self.root}/{folder}")
         return old
 
     def replace(self, df: DataFrame) -> int:
@@ -137,10 +154,32 @@ class SnapshotTable:
     ) -> int:
         """Keyed upsert as a new version (SNK-3); see ``merge``."""
         target = self.read() if self.version() is not None else None
-        merged = merge(target, source, keys, update_cols, insert_only, stamps)
+        staged = staged_source(self.spark, source, keys)
+        merged = merge(target, staged, keys, update_cols, insert_only, stamps)
         return self.commit(merged)
 
 
+def staged_source(spark: SparkSession, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``source`` written once below the shared folder and held against its key:
+    a key column that is NULL, or a key twice, fails the load before anything
+    is stored."""
+    path = run_dir(spark, "upsert-source")
+    source.write.parquet(path)
+    staged = spark.read.schema(source.schema).parquet(path)
+    empty = F.lit(False)
+    for k in keys:
+        empty = empty | F.col(k).isNull()
+    bad = (
+        staged.groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.sum(F.when(empty, F.col("n"))).alias("nulls"), F.count(F.when(~empty & (F.col("n") > 1), 1)).alias("twice"))
+        .first()
+    )
+    if bad.nulls or bad.twice:
+        raise ValueError(f"upsert source: {bad.nulls or 0} rows without a key, {bad.twice} keys more than once")
+    return staged
+
+
 def merge(
     target: DataFrame | None,
     source: DataFrame,
@@ -166,6 +205,9 @@ def merge(
     insert_only = dict(insert_only or {})
     stamps = dict(stamps or {})
     data_cols = [c for c in source.columns if c not in keys]
+    clash = sorted(set(data_cols) & (set(insert_only) | set(stamps)))
+    if clash:
+        raise ValueError(f"stamps would replace source columns: {', '.join(clash)}")
     update_cols = list(update_cols if update_cols is not None else data_cols)
     out_cols = list(keys) + data_cols + [c for c in insert_only if c not in data_cols] + [
         c for c in stamps if c not in data_cols and c not in insert_only
@@ -300,6 +342,8 @@ class KeyBucketedTable:
         if keys is not None and list(keys) != self.keys:
             raise ValueError(f"table is keyed on {self.keys}, not {list(keys)}")
         keys = self.keys
+        # written once: the bucket ids and the rows come from the same evaluation
+        source = staged_source(self.spark, source, keys)
         src = source.withColumn(BUCKET, key_bucket(keys, self.buckets))
         if not self.exists():
             first = merge(None, src, [BUCKET, *keys], update_cols, insert_only, stamps)
@@ -361,16 +405,20 @@ class KeyBucketedTable:
 def replace_date(df: DataFrame, root: str, date_col: str, ds: str | dt.date) -> None:
     """Delete the rows of day ``ds`` and insert ``df``'s rows of that day (SNK-4).
 
-    Static overwrite of the one partition directory: idempotent, and an empty
-    result leaves the day empty instead of keeping stale rows.
+    The result is written to a hidden folder first and then takes the place
+    of the day's folder: a job that fails leaves the day as it was, an empty
+    result leaves it empty, and a rerun is idempotent.
     """
+    spark = df.sparkSession
     day = ds if isinstance(ds, dt.date) else dt.date.fromisoformat(str(ds))
-    (
-        df.filter(F.col(date_col) == F.lit(day))
-        .drop(date_col)
-        .write.mode("overwrite")
-        .parquet(f"{root.rstrip('/')}/{date_col}={day.isoformat()}")
-    )
+    root = root.rstrip("/")
+    staging = f"{root}/_staging-{uuid.uuid4().hex}"
+    df.filter(F.col(date_col) == F.lit(day)).drop(date_col).write.parquet(staging)
+    target = f"{root}/{date_col}={day.isoformat()}"
+    _delete(spark, target)
+    old, fs = _path(spark, staging)
+    if not fs.rename(old, _path(spark, target)[0]):
+        raise OSError(f"could not move {staging} to {target}")
 
 
 def replace_dates(df: DataFrame, root: str, date_col: str, spread_by: Sequence[str] = (), partitions: int | None = None) -> None:

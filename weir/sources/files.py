@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SRC = "_src"
+CORRUPT = "_corrupt_record"
 
 
 def source_order(file_path: Column, block_start: Column, row: Column) -> Column:
@@ -51,20 +52,46 @@ def read_collection(spark: SparkSession, path: str, schema: T.StructType) -> Dat
     """A document collection exported as JSON lines (SRC-2).
 
     The explicit schema drops ``_id`` and any unknown field; a field of the
-    wrong shape reads as NULL without losing the rest of the document.
-    An empty folder gives an empty frame, so the load is a no-op.
+    wrong shape reads as NULL without losing the rest of the document. The
+    text of a line that does not parse is kept in ``_corrupt_record``
+    (``split_rejects`` takes such lines out). An empty folder gives an empty
+    frame, so the load is a no-op.
     """
-    return with_file_order(spark.read.schema(schema).option("mode", "PERMISSIVE").json(path))
+    kept = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    reader = spark.read.schema(kept).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+    return with_file_order(reader.json(path))
+
+
+def split_rejects(docs: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """``(documents with a key, rejects)``: a document without a key is never
+    loaded. Rejects are ``(reason, file, record)``: ``malformed`` lines with
+    their text, and documents with ``no key``, as JSON."""
+    present = set(docs.columns)
+    corrupt = F.col(CORRUPT) if CORRUPT in present else F.lit(None).cast("string")
+    source = F.col(f"{SRC}.file") if SRC in present else F.lit(None).cast("string")
+    body = F.to_json(F.struct(*[c for c in docs.columns if c not in (CORRUPT, SRC)]))
+    bad = docs.where(F.col(key).isNull()).select(
+        F.when(corrupt.isNotNull(), F.lit("malformed")).otherwise(F.lit("no key")).alias("reason"),
+        source.alias("file"),
+        F.coalesce(corrupt, body).alias("record"),
+    )
+    return docs.where(F.col(key).isNotNull()).drop(CORRUPT), bad
+
+
+def malformed(df: DataFrame, col: str, doc: str = "doc") -> DataFrame:
+    """Rows whose text in ``col`` is there but did not parse into ``doc``; to
+    be counted or stored next to a load of the parsed documents (SRC-3, SRC-4)."""
+    return df.where(F.col(col).isNotNull() & (F.col(doc).isNull() | F.col(f"{doc}.{CORRUPT}").isNotNull()))
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """A Parquet table (SRC-5)."""
-    return spark.read.parquet(path)
+def _with_corrupt(schema: T.StructType) -> T.StructType:
+    return schema if CORRUPT in schema.names else T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
 
 
 def parse_json_column(df: DataFrame, col: str, schema: T.StructType, alias: str = "doc") -> DataFrame:
-    """Documents held as JSON text in a column, parsed in place (SRC-3)."""
-    return df.withColumn(alias, F.from_json(F.col(col), schema))
+    """Documents held as JSON text in a column, parsed in place (SRC-3); text
+    that does not parse is kept in ``<alias>._corrupt_record``."""
+    return df.withColumn(alias, F.from_json(F.col(col), _with_corrupt(schema), {"columnNameOfCorruptRecord": CORRUPT}))
 
 
 def parse_xml_column(df: DataFrame, col: str, schema: T.StructType, alias: str = "doc") -> DataFrame:

@@ -53,14 +53,15 @@ def ingest_stream(
     keys: Sequence[str],
     checkpoint: str,
     clock: Callable[[], dt.datetime] | None = None,
+    contract=None,
 ) -> StreamingQuery:
     """Run ``build`` (a raw-layer pipeline) on each new micro-batch and upsert
-    the result into ``table`` with ingestion stamps (STM-1). Returns the
-    started query; with ``availableNow`` it stops when the backlog is done."""
+    the result into ``table`` with the ingestion stamps of ``contract`` (STM-1);
+    a key that comes again takes the later batch. Returns the started query; with ``availableNow`` it stops when the backlog is done."""
     now = clock or (lambda: dt.datetime.now(dt.timezone.utc))
 
     def per_batch(batch: DataFrame, _epoch: int) -> None:
-        insert_only, stamps = ingest_stamps(F.lit(now()).cast("timestamp"))
+        insert_only, stamps = ingest_stamps(F.lit(now()).cast("timestamp"), contract)
         table.upsert(build(with_batch_order(batch)), keys, insert_only=insert_only, stamps=stamps)
 
     return (
