@@ -14,7 +14,6 @@ from __future__ import annotations
 import zlib
 from collections import defaultdict
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,10 +24,12 @@ from weir.llm.tokens import encoder
 PIECES = "doc_id long, start long, length long, doc_tokens long, ids_crc32 long, ids binary"
 
 
-def pieces(docs: DataFrame, tokenizer: str, length: int = 2048, end_id: int = 1) -> DataFrame:
+def pieces(docs: DataFrame, tokenizer: str, length: int = 2048, end_id: int = 1, with_ids: bool = True) -> DataFrame:
     """One row per piece of each document's ids (end id included), little-endian
-    uint32 in ``ids``. Null or empty text: the end id alone. Repeated rows are
-    separate documents."""
+    uint32 in ``ids`` (null unless ``with_ids``). Null or empty text: the end
+    id alone. Repeated rows are separate documents."""
+
+    end = int(end_id).to_bytes(4, "little")
 
     def cut(batch: pa.RecordBatch):
         enc = encoder(tokenizer)
@@ -42,15 +43,16 @@ def pieces(docs: DataFrame, tokenizer: str, length: int = 2048, end_id: int = 1)
                 to += 1
             cols = {k: [] for k in ("doc_id", "start", "length", "doc_tokens", "ids_crc32", "ids")}
             for doc, ids in zip(doc_ids[at:to], enc.batch(texts[at:to])):
-                ids = np.append(ids, np.uint32(end_id)).astype("<u4")
-                for s in range(0, len(ids), length):
-                    raw = ids[s : s + length].tobytes()
+                raw = memoryview(ids.astype("<u4", copy=False).tobytes() + end)
+                n = len(raw) // 4
+                for s in range(0, n, length):
+                    part = raw[4 * s : 4 * (s + length)]
                     cols["doc_id"].append(doc)
                     cols["start"].append(s)
-                    cols["length"].append(len(raw) // 4)
-                    cols["doc_tokens"].append(len(ids))
-                    cols["ids_crc32"].append(zlib.crc32(raw))
-                    cols["ids"].append(raw)
+                    cols["length"].append(len(part) // 4)
+                    cols["doc_tokens"].append(n)
+                    cols["ids_crc32"].append(zlib.crc32(part))
+                    cols["ids"].append(part.tobytes() if with_ids else None)
             yield cols
             at = to
 
@@ -146,7 +148,7 @@ def pack(docs: DataFrame, tokenizer: str, length: int = 2048, end_id: int = 1) -
     columns are ignored.
     """
     stage = Stage(docs.sparkSession, "packing")
-    cut = stage.write(pieces(docs, tokenizer, length, end_id).drop("ids"), "pieces")
+    cut = stage.write(pieces(docs, tokenizer, length, end_id, with_ids=False).drop("ids"), "pieces")
     return assign(stage, cut, length)
 
 

@@ -165,16 +165,19 @@ def space_split(text: str) -> list[str]:
 
 
 _SPACES = {9: " ", 10: " ", 11: " ", 12: " ", 13: " "}
-_TAIL = ".,!?;:"
+_TAIL = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 def split_tail(word: str) -> tuple[str, str]:
     """(body, trailing ASCII punctuation) where the pre-tokenizer always cuts
-    between them; lower-cased when the word is ASCII (the tokenizer does the
-    same), else the word as it is."""
-    if word.isascii() and "<|" not in word:
+    between them: after a letter, before a run of punctuation that ends the
+    word. Lower-cased when the word is ASCII (the tokenizer does the same);
+    what may hold a special token stays whole."""
+    if "<|" in word:
+        return word, ""
+    if word.isascii():
         word = word.lower()
     body = word.rstrip(_TAIL)
-    if body and body != word and body[-1].isascii() and body[-1].isalpha():
+    if body and len(body) < len(word) and body[-1].isascii() and body[-1].isalpha():
         return body, word[len(body) :]
     return word, ""
