@@ -31,12 +31,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weir.llm.common import Stage, by_group, map_batches, table
-from weir.llm.text import mix
+from weir.llm.text import mix, slices
 
 LENGTH = 50
 GRAM = 24
-#: Bytes of text that a task looks at together.
-SLICE = 4_000_000
 NULL_ID = (1 << 63) - 1
 
 BLOB = "docs binary, texts binary, at binary, pos binary"
@@ -94,17 +92,6 @@ def anchors(texts: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray, np
     return owner[pos], pos - start[owner[pos]], h[pos]
 
 
-def slices(texts: list[bytes]):
-    a = 0
-    while a < len(texts):
-        b, size = a, 0
-        while b < len(texts) and (b == a or size + len(texts[b]) <= SLICE):
-            size += len(texts[b])
-            b += 1
-        yield a, b
-        a = b
-
-
 def binary(column) -> list[bytes]:
     return [t or b"" for t in column.cast(pa.binary()).to_pylist()]
 

@@ -26,13 +26,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weir.llm.common import Stage, by_group, components, map_batches, table
-from weir.llm.text import mix, shingle_set, words
+from weir.llm.text import mix, shingle_set, slices, words
 
 #: Links hold when 100 * intersection >= PERCENT * union.
 PERCENT = 75
 SHINGLE = 5
 #: Points of a region block; a task joins two blocks at a time.
-BLOCK = 512
+BLOCK = 1024
 #: Cells of at most this many points are verified pair by pair.
 LEAF = 64
 #: A shingle is common when this share of the documents holds it (at least
@@ -53,10 +53,12 @@ def common_shingles(docs: DataFrame, n_docs: int) -> np.ndarray:
     least = max(COMMON_LEAST, int(n_docs * COMMON_SHARE))
 
     def count(batch: pa.RecordBatch):
-        sets = [shingle_set(words(t), SHINGLE) for t in _texts(batch, 0)]
-        s, n = np.unique(np.concatenate(sets), return_counts=True)
-        hot = n >= max(3, int(len(sets) * COMMON_SHARE / 2))
-        yield {"s": s[hot].view(np.int64), "n": n[hot]}
+        texts = _texts(batch, 0)
+        for a, b in slices(texts):
+            sets = [shingle_set(words(t), SHINGLE) for t in texts[a:b]]
+            s, n = np.unique(np.concatenate(sets), return_counts=True)
+            hot = n >= max(3, int(len(sets) * COMMON_SHARE / 2))
+            yield {"s": s[hot].view(np.int64), "n": n[hot]}
 
     local = map_batches(docs.select(F.col("text").cast("string").alias("text")), count, "s long, n long")
     rows = local.groupBy("s").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("s").toPandas()
@@ -79,8 +81,13 @@ def sketches(docs: DataFrame, common: np.ndarray) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(common)
 
     def run(batch: pa.RecordBatch):
+        texts = _texts(batch, 1)
+        for a, b in slices(texts):
+            yield sketch(batch.slice(a, b - a), texts[a:b])
+
+    def sketch(batch: pa.RecordBatch, texts: list[bytes]) -> dict:
         n, g1, g2, pre = [], [], [], []
-        for t in _texts(batch, 1):
+        for t in texts:
             s = shingle_set(words(t), SHINGLE)
             n.append(len(s))
             # order-free sums of two independent mixes identify the set
@@ -90,7 +97,7 @@ def sketches(docs: DataFrame, common: np.ndarray) -> DataFrame:
         offsets = np.zeros(len(pre) + 1, dtype=np.int32)
         np.cumsum([len(p) for p in pre], out=offsets[1:])
         flat = np.concatenate(pre) if pre else np.empty(0, np.int64)
-        yield {
+        return {
             "doc_id": batch.column(0),
             "th": batch.column(2),
             "n": np.array(n, dtype=np.int64),
@@ -224,9 +231,8 @@ def _possible(key: tuple, t: pa.Table):
     """Points of a block pair that a partner may link with, judged by their
     prefixes: shared prefix plus everything after the longer rest."""
     n = t["n"].to_numpy()
-    flat, offsets = _flat(t["prefix"])
-    inc = Incidence(flat.view(np.uint64), offsets)
-    rest = n - np.diff(offsets)
+    inc = Incidence(*_flat(t["shared"]))
+    rest = (PERCENT * n + 99) // 100 - 1  # shingles behind the prefix
     block = t["block"].to_numpy()
     rows = np.arange(len(n))
     keep = np.zeros(len(n), dtype=bool)
@@ -315,7 +321,11 @@ def jaccard_join(docs: DataFrame, with_text_hash: bool = False) -> DataFrame:
     stage.release()
     keys = reps.select("point", F.explode_outer("prefix").alias("s"))
     pivots = keys.groupBy("s").agg(F.min("point").alias("region"), F.max("point").alias("other")).where("region <> other")
-    member = stage.write(keys.join(pivots.select("s", "region"), "s").select("region", "point").distinct(), "members")
+    # of the prefixes, only shingles that several points hold can be shared
+    met = keys.join(pivots.select("s", "region"), "s").groupBy("point")
+    met = met.agg(F.collect_list("s").alias("shared"), F.collect_set("region").alias("regions"))
+    met = stage.write(met.join(reps.select("point", "n"), "point"), "met")
+    member = met.select(F.explode_outer("regions").alias("region"), "point")
     stage.release()
     # regions of more than a block are dealt into pairs of blocks
     sizes = member.groupBy("region").agg(F.count(F.lit(1)).alias("m"))
@@ -324,7 +334,7 @@ def jaccard_join(docs: DataFrame, with_text_hash: bool = False) -> DataFrame:
     dealt = dealt.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "region", "point", F.least("block", "o").cast("long").alias("b1"), F.greatest("block", "o").cast("long").alias("b2"), F.col("block").cast("long").alias("block")
     )
-    first = dealt.join(reps.select("point", "n", "prefix"), "point")
+    first = dealt.join(met.select("point", "n", "shared"), "point")
     possible = stage.write(
         by_group(first, ["region", "b1", "b2"], _possible, "region long, b1 long, b2 long, point long, block long"), "possible"
     )

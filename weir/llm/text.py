@@ -69,3 +69,19 @@ def shingle_sequence(ws: list[bytes], k: int = 5) -> np.ndarray:
 
 def shingle_set(ws: list[bytes], k: int = 5) -> np.ndarray:
     return np.unique(shingle_sequence(ws, k))
+
+
+#: Bytes of text that a task looks at together.
+SLICE = 4_000_000
+
+
+def slices(texts: list[bytes]):
+    """(from, to) of runs of texts of about ``SLICE`` bytes, at least one text each."""
+    a = 0
+    while a < len(texts):
+        b, size = a, 0
+        while b < len(texts) and (b == a or size + len(texts[b]) <= SLICE):
+            size += len(texts[b])
+            b += 1
+        yield a, b
+        a = b
