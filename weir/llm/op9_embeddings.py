@@ -190,7 +190,8 @@ def overlapping_cells(stage: Stage, points: DataFrame, overlap: int) -> DataFram
 
         def fit(key, t: pa.Table):
             x = matrix(t["v"])
-            k = int(min(FAN, max(2, -(-t["m"][0].as_py() * 2 // CELL))))
+            # many more children than a vector goes to, or the cells never shrink
+            k = int(min(FAN, max(4 * overlap, -(-t["m"][0].as_py() * 2 * overlap // CELL))))
             c = kmeans(x, min(k, len(x)))
             return [{"cell": [key[0]] * len(c), "c": list(c)}]
 
