@@ -87,6 +87,8 @@ def repeated_runs(stage: Stage, lines: DataFrame, min_lines: int) -> DataFrame:
         pairs = level.select(*_PLACE, F.col("rank").alias("r1"), ahead.alias("r2")).where("r2 is not null")
         k *= 2
         level = _intervals(stage, pairs, ["r1", "r2"], f"ranks-{k}")
+        if k == 2:  # the rounds get smaller; the first two hold nearly all rows
+            stage.release()
         if level.isEmpty():
             break
         if k >= min_lines:
