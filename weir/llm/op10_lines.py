@@ -76,9 +76,9 @@ def _intervals(stage: Stage, suffixes: DataFrame, by: list[str], name: str) -> D
 
 
 def repeated_runs(stage: Stage, lines: DataFrame, min_lines: int) -> DataFrame:
-    """(doc, key, seq, run): a run of ``run`` lines from ``seq`` on that also
-    stands earlier, ``run`` being 1, ``min_lines`` and every further power of
-    two up to the longest repeat."""
+    """(doc, key, seq, run), staged: a run of ``run`` lines from ``seq`` on that
+    also stands earlier, ``run`` being 1, ``min_lines`` and every further power
+    of two up to the longest repeat."""
     level = _intervals(stage, lines.select(*_PLACE, "h1", "h2"), ["h1", "h2"], "ranks-1")
     found = [level.where("later").select(*_PLACE, F.lit(1).alias("run"))]
     k = 1
@@ -96,6 +96,10 @@ def repeated_runs(stage: Stage, lines: DataFrame, min_lines: int) -> DataFrame:
     out = found[0]
     for f in found[1:]:
         out = out.unionByName(f)
+    out = stage.write(out, "runs")
+    for name in [f"ranks-{1 << i}" for i in range(k.bit_length())]:
+        stage.drop(name)
+        stage.drop(f"{name}-intervals")
     return out
 
 
@@ -118,7 +122,7 @@ def line_dedup(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int = MIN
         raise ValueError("min_lines must be a power of two")
     stage = Stage(docs.sparkSession, "line-dedup")
     lines = stage.write(line_table(docs), "lines")
-    runs = stage.write(repeated_runs(stage, lines, min_lines), "runs")
+    runs = repeated_runs(stage, lines, min_lines)
     window = runs.where(F.col("run") == min_lines).select(
         "key", F.explode(F.sequence(F.col("seq"), F.col("seq") + min_lines - 1)).alias("seq")
     )
@@ -134,6 +138,10 @@ def line_dedup(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int = MIN
     )
     longest = runs.where(F.col("run") >= min_lines).groupBy("key").agg(F.max("run").cast("long").alias("longest_run"))
     facts = stage.write(per_doc.join(longest, "key", "left").withColumnRenamed("key", "_key"), "removed")
+    # what follows reads the documents and the facts alone
+    stage.drop("lines")
+    stage.drop("runs")
+    stage.release()
     added = ["n_lines", "n_removed", "n_runs", "longest_run"]
     cols = [c for c in docs.columns if c not in added]
     d = keyed(docs.select(*cols)).join(facts, "_key", "left")
