@@ -42,9 +42,22 @@ def word_level(path: str) -> bool:
     return drops and no_added_space and not prefixed
 
 
+class _Codes(dict):
+    """Number of each word, given out in the order in which words first come;
+    ``new`` collects the words that came since it was emptied."""
+
+    def __init__(self):
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        n = self[word] = len(self)
+        self.new.append(word)
+        return n
+
+
 class Encoder:
-    """Encodes texts with a tokenizer file; keeps the ids of up to
-    ``_CACHE_WORDS`` words between batches."""
+    """Encodes texts with a tokenizer file; keeps the ids of about
+    ``_CACHE_WORDS`` words between batches, those that most slices held."""
 
     def __init__(self, path: str):
         import os
@@ -63,12 +76,24 @@ class Encoder:
         self._reset()
 
     def _reset(self) -> None:
-        self.code: dict[str, int] = {}
+        self.code = _Codes()
         self.lens = np.zeros(1024, dtype=np.int64)
         self.starts = np.zeros(1024, dtype=np.int64)
+        self.slices = np.zeros(1024, dtype=np.int64)
         self.pool = np.zeros(1 << 14, dtype=np.uint32)
         self.used = 0
 
+    def _forget(self) -> None:
+        """Keep the half of the cache that most slices held."""
+        words = list(self.code)
+        keep = np.sort(np.argsort(-self.slices[: len(words)], kind="stable")[: _CACHE_WORDS // 2])
+        lens, slices = self.lens[keep], self.slices[keep]
+        pool = self.pool[_ranges(self.starts[keep], lens)]
+        self.code = _Codes()
+        self.code.update((words[k], i) for i, k in enumerate(keep.tolist()))
+        self.lens, self.starts, self.slices = lens, np.cumsum(lens) - lens, slices
+        self.pool, self.used = pool, len(pool)
+
     def _encode(self, items: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all items one after another, length of each)."""
         got = [e.ids for e in self.tok.encode_batch_fast(items, add_special_tokens=False)]
@@ -85,36 +110,40 @@ class Encoder:
         return flat, np.diff(last, prepend=-1)
 
     def _add(self, new: list[str]) -> None:
+        """Ids of words whose numbers follow those of the words already known."""
+        # parts: letters only count from 0 up, others from -1 down
         body, tail = [], []
-        bodies: dict[str, int] = {}
+        letters: dict[str, int] = {}
+        others: dict[str, int] = {}
+
+        def part(w: str) -> int:
+            return letters.setdefault(w, len(letters)) if w.isalpha() else others.setdefault(w, -1 - len(others))
+
         for w in new:
-            b, t = (w, "") if w.isalpha() else split_tail(w)
-            body.append(bodies.setdefault(b, len(bodies)))
-            tail.append(bodies.setdefault(t, len(bodies)) if t else -1)
-        letters = [b for b in bodies if b.isalpha()]
-        others = [b for b in bodies if not b.isalpha()]
-        one, two = self._encode_words(letters) if letters else self._encode([]), self._encode(others)
+            b, t = split_tail(w)
+            body.append(part(b))
+            tail.append(others.setdefault(t, -1 - len(others)) if t else 0)
+        one, two = self._encode_words(list(letters)) if letters else self._encode([]), self._encode(list(others))
         flat, lens = np.concatenate([one[0], two[0]]), np.concatenate([one[1], two[1]])
-        # place of each body among letters + others
-        place = np.empty(len(bodies), dtype=np.int64)
-        place[[bodies[b] for b in letters] + [bodies[b] for b in others]] = np.arange(len(bodies))
         starts = np.cumsum(lens) - lens
-        body, tail = place[np.array(body)], np.array(tail)
-        has = tail >= 0
-        tail = np.where(has, place[tail], 0)
+        body, tail = np.array(body), np.array(tail)
+        has = tail < 0
+        body = np.where(body < 0, len(letters) - 1 - body, body)
+        tail = np.where(has, len(letters) - 1 - tail, 0)
         n_body, n_tail = lens[body], np.where(has, lens[tail], 0)
         size = n_body + n_tail
         at = self.used + np.cumsum(size) - size
-        n, to = len(self.code), self.used + int(size.sum())
-        if n + len(new) > len(self.lens):
-            grow = max(n + len(new), 2 * len(self.lens))
+        n, to = len(self.code) - len(new), self.used + int(size.sum())
+        if len(self.code) > len(self.lens):
+            grow = max(len(self.code), 2 * len(self.lens))
             self.lens, self.starts = np.resize(self.lens, grow), np.resize(self.starts, grow)
+            self.slices = np.resize(self.slices, grow)
         if to > len(self.pool):
             self.pool = np.resize(self.pool, max(to, 2 * len(self.pool)))
         self.pool[_ranges(at, n_body)] = flat[_ranges(starts[body], n_body)]
         self.pool[_ranges(at + n_body, n_tail)] = flat[_ranges(starts[tail], n_tail)]
-        self.lens[n : n + len(new)], self.starts[n : n + len(new)] = size, at
-        self.code.update(zip(new, range(n, n + len(new))))
+        self.lens[n : len(self.code)], self.starts[n : len(self.code)] = size, at
+        self.slices[n : len(self.code)] = 0
         self.used = to
 
     def batch(self, texts: list[str]) -> list[np.ndarray]:
@@ -134,15 +163,20 @@ class Encoder:
         if not self.by_word:
             return [np.array(e.ids, dtype=np.uint32) for e in self.tok.encode_batch(texts, add_special_tokens=False)]
         ws = [space_split(t) for t in texts]
-        distinct = set().union(*ws)
-        new = [w for w in distinct if w not in self.code]
-        if len(self.code) + len(new) > _CACHE_WORDS:
-            self._reset()
-            new = list(distinct)
-        if new:
-            self._add(new)
         sizes = np.fromiter(map(len, ws), dtype=np.int64, count=len(ws))
-        c = np.fromiter(map(self.code.__getitem__, chain.from_iterable(ws)), dtype=np.int64, count=int(sizes.sum()))
+        try:
+            if len(self.code) > _CACHE_WORDS:
+                self._forget()
+            c = np.fromiter(map(self.code.__getitem__, chain.from_iterable(ws)), dtype=np.int64, count=int(sizes.sum()))
+            if self.code.new:
+                self._add(self.code.new)
+                self.code.new = []
+        except BaseException:
+            self._reset()  # words may have numbers and no ids
+            raise
+        held = np.zeros(len(self.code), dtype=bool)
+        held[c] = True
+        self.slices[: len(held)] += held
         lens = self.lens[c]
         ids = self.pool[_ranges(self.starts[c], lens)]
         upto = np.append(0, np.cumsum(lens))
@@ -171,12 +205,14 @@ _TAIL = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 def split_tail(word: str) -> tuple[str, str]:
     """(body, trailing ASCII punctuation) where the pre-tokenizer always cuts
     between them: after a letter, before a run of punctuation that ends the
-    word. Lower-cased when the word is ASCII (the tokenizer does the same);
-    what may hold a special token stays whole."""
+    word. Lower-cased when the word is Latin-1, as the tokenizer does; what may
+    hold a special token stays whole."""
     if "<|" in word:
         return word, ""
-    if word.isascii():
+    if word.isascii() or max(word) < "\u0100":
         word = word.lower()
+    if word.isalpha():
+        return word, ""
     body = word.rstrip(_TAIL)
     if body and len(body) < len(word) and body[-1].isascii() and body[-1].isalpha():
         return body, word[len(body) :]
