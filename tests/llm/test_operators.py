@@ -338,6 +338,25 @@ def test_embeddings(spark):
     assert op9.near_duplicates(df.where("false")).count() == 0
 
 
+def _embedded(spark, x):
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>").repartition(4)
+    got = {r.vec_id: r for r in op9.near_duplicates(df).collect()}
+    y = x / np.linalg.norm(x, axis=1)[:, None]
+    link = y @ y.T >= 0.9
+    np.fill_diagonal(link, False)
+    return got, link.sum(axis=1)
+
+
+def test_embeddings_dense_group(spark):
+    # more than a cell of vectors that are all linked with each other
+    rng = np.random.default_rng(7)
+    x = np.concatenate([rng.normal(size=16) + 0.06 * rng.normal(size=(2600, 16)), rng.normal(size=(60, 16))])
+    got, links = _embedded(spark, x)
+    assert links[:2600].min() >= 2599
+    assert [got[i].n_links for i in range(len(x))] == links.tolist()
+    assert {got[i].component_id for i in range(2600)} == {0}
+
+
 def test_lines(docs, empty):
     got = op10.line_dedup(docs.drop("kept", "score")).collect()
     assert op10.line_dedup(empty).count() == 0

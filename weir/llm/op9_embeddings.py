@@ -1,14 +1,14 @@
-"""Embedding near-duplicates over a robust-pruned flat graph.
-
-Distinct vectors are dealt into overlapping cells: every oversize cell is
-split by a k-means fit on a bounded sample of it, each vector going to its
-``overlap`` nearest centroids, until cells fit a task. Each cell builds a flat
-graph whose edges are robust-pruned; the adjacency lists a vector got in its
-cells are united. Then every vector is searched in its cells: greedily from
-the medoid over the united lists, expanding further while vectors in range
-turn up. Each link is verified by its cosine in double precision. An audit
-compares a bounded sample of vectors with brute force over all; a recall below
-``AUDIT_RECALL`` repeats the search with more overlap.
+"""Embedding near-duplicates by an exact join of Voronoi cells.
+
+Distinct vectors are dealt into cells: an oversize cell is split by a k-means
+fit on a bounded sample of it, each vector being at home in the cell of its
+nearest centroid and a visitor of every cell that could hold a vector within
+the link range (the triangle inequality at the plane between two centroids).
+Of two cells the vectors of one visit the other, so each pair in range meets in
+exactly one cell. A cell whose split does not pay, such as a dense group of
+copies or vectors without structure, stays whole and is dealt in pairs of
+blocks. All pairs of a cell are compared by their cosine in double precision,
+so no link is missed and none is counted twice.
 """
 
 from __future__ import annotations
@@ -23,15 +23,13 @@ from weir.llm.common import Stage, by_group, components, map_batches, table
 from weir.llm.text import mix
 
 COSINE = 0.9
-#: Vectors of a cell that is not split further, and of a block of one that cannot be.
+#: Vectors at home in a cell that is not split further, and of a block of a larger one.
 CELL = 2048
-#: Children of a split, and the most vectors of a cell its k-means is fitted on.
+#: Most children of a split, and the most vectors of a cell its k-means is fitted on.
 FAN, FIT_ROWS = 64, 8192
 MAX_DEPTH = 12
-DEGREE, CANDIDATES, ALPHA, BEAM = 24, 64, 1.2, 16
-#: Vectors in reach of the range are expanded, not reported.
-SLACK = 0.05
-AUDIT_ROWS, AUDIT_RECALL = 128, 0.97
+#: A split is taken when it leaves at most this share of a cell's comparisons.
+PAYS = 0.5
 
 
 # ---- numpy inside tasks --------------------------------------------------------
@@ -63,255 +61,146 @@ def kmeans(x: np.ndarray, k: int, rounds: int = 6) -> np.ndarray:
     return c
 
 
-def pruned_graph(x: np.ndarray) -> np.ndarray:
-    """Neighbour numbers (rows padded with -1) of a robust-pruned flat graph:
-    a candidate is dropped when a kept neighbour is closer to it, by the
-    factor ``ALPHA``, than the vector itself."""
-    m = len(x)
-    if m < 2:
-        return np.full((m, 1), -1, dtype=np.int64)
-    s = (x @ x.T).astype(np.float32)
-    np.fill_diagonal(s, -2)
-    c = min(CANDIDATES, m - 1)
-    cand = np.argpartition(-s, c - 1, axis=1)[:, :c]
-    # a few far candidates keep distant parts of the cell in reach
-    far = (np.arange(m)[:, None] + np.linspace(1, m - 1, min(8, m - 1)).astype(np.int64)[None, :]) % m
-    cand = np.concatenate([cand, far], axis=1)
-    sim = np.take_along_axis(s, cand, axis=1)
-    alive = sim > -2
-    out = np.full((m, DEGREE), -1, dtype=np.int64)
-    rows = np.arange(m)
-    for step in range(DEGREE):
-        best = np.where(alive, sim, -3).argmax(axis=1)
-        has = alive[rows, best]
-        if not has.any():
-            break
-        pick = cand[rows, best]
-        out[has, step] = pick[has]
-        between = s[pick[:, None], cand]  # similarity of the pick to every candidate
-        covered = ALPHA * (1 - between) <= 1 - sim
-        alive &= ~(covered & has[:, None])
-        alive[rows, best] = False
-        alive &= cand != pick[:, None]
-    return out
-
-
-def range_search(x: np.ndarray, adj: np.ndarray, radius: float) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs (query, other) with cosine >= radius that the search finds; every
-    row is a query."""
-    m = len(x)
-    seen = np.zeros((m, m), dtype=bool)
-    got_q, got_v, got_s = [], [], []
-
-    def visit(q: np.ndarray, v: np.ndarray) -> np.ndarray:
-        out = np.empty(len(q))
-        for a in range(0, len(q), 65536):
-            out[a : a + 65536] = np.einsum("ij,ij->i", x[q[a : a + 65536]], x[v[a : a + 65536]])
-        seen[q, v] = True
-        near = out >= radius - SLACK
-        got_q.append(q[near])
-        got_v.append(v[near])
-        got_s.append(out[near])
-        return out
-
-    queries = np.arange(m)
-    mean = x.mean(axis=0)
-    medoid = int((x @ mean).argmax())
-    beam = np.full((m, BEAM), -1, dtype=np.int64)
-    sims = np.full((m, BEAM), -3.0)
-    done = np.zeros((m, BEAM), dtype=bool)
-    beam[:, 0], sims[:, 0] = medoid, visit(queries, np.full(m, medoid))
-    while True:
-        open_ = (beam >= 0) & ~done
-        active = np.flatnonzero(open_.any(axis=1))
-        if not len(active):
-            break
-        at = np.where(open_[active], sims[active], -4).argmax(axis=1)
-        done[active, at] = True
-        nb = adj[beam[active, at]]
-        fresh = (nb >= 0) & ~seen[active[:, None], np.maximum(nb, 0)]
-        r, c = np.nonzero(fresh)
-        if not len(r):
+def visits(x: np.ndarray, c: np.ndarray, home: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, child, at home) of the children that rows are dealt to. A vector
+    in reach of ``x`` and nearest to centroid j lies beyond the plane between j
+    and the centroid nearest to ``x``, so that plane is in reach of ``x`` too.
+    Of two rows at home in the parent, the one of the later child visits."""
+    s = x @ c.T
+    own = s.argmax(axis=1)
+    apart = np.sqrt(np.maximum(0, 2 - 2 * (c @ c.T)))[own]
+    near = s[np.arange(len(x)), own][:, None] - s <= np.sqrt(1 - COSINE**2) * apart + 1e-7
+    near &= ~home[:, None] | (np.arange(len(c))[None, :] <= own[:, None])
+    row, child = np.nonzero(near)
+    return row, child, home[row] & (child == own[row])
+
+
+def comparisons(child: np.ndarray, home: np.ndarray) -> float:
+    h = np.bincount(child[home], minlength=FAN).astype(np.float64)
+    v = np.bincount(child[~home], minlength=FAN)
+    return float((h * (h / 2 + v)).sum())
+
+
+def lowest(hit: np.ndarray, point: np.ndarray) -> np.ndarray:
+    """The smallest point of each one's component; ``hit`` is symmetric."""
+    low = point.copy()
+    seen = np.zeros(len(point), dtype=bool)
+    for i in np.flatnonzero(hit.any(axis=1)):
+        if seen[i]:
             continue
-        new = np.full(nb.shape, -3.0)
-        new[r, c] = visit(active[r], nb[r, c])
-        ids = np.concatenate([beam[active], np.where(fresh, nb, -1)], axis=1)
-        val = np.concatenate([sims[active], new], axis=1)
-        was = np.concatenate([done[active], np.zeros(nb.shape, dtype=bool)], axis=1)
-        top = np.argsort(-val, axis=1, kind="stable")[:, :BEAM]
-        beam[active] = np.take_along_axis(ids, top, axis=1)
-        sims[active] = np.take_along_axis(val, top, axis=1)
-        done[active] = np.take_along_axis(was, top, axis=1)
-    # the range grows from what the greedy search saw in reach of it, and from the query itself
-    own = ~seen[queries, queries]
-    visit(queries[own], queries[own])
-    at = 0
-    while at < len(got_q):
-        q = np.concatenate(got_q[at:])
-        v = np.concatenate(got_v[at:])
-        at = len(got_q)
-        for a in range(0, len(q), 20_000):
-            qq = np.repeat(q[a : a + 20_000], adj.shape[1])
-            nb = adj[v[a : a + 20_000]].ravel()
-            ok = nb >= 0
-            code = np.unique(qq[ok] * m + nb[ok])
-            qq, nb = code // m, code % m
-            fresh = ~seen[qq, nb]
-            if fresh.any():
-                visit(qq[fresh], nb[fresh])
-    q, v, s = np.concatenate(got_q), np.concatenate(got_v), np.concatenate(got_s)
-    ok = (s >= radius) & (q != v)
-    # a link found from one side is a link of both
-    code = np.unique(np.concatenate([q[ok] * m + v[ok], v[ok] * m + q[ok]]))
-    return code // m, code % m
+        member = np.zeros(len(point), dtype=bool)
+        member[i] = True
+        front = np.array([i])
+        while len(front):
+            new = hit[front].any(axis=0) & ~member
+            member |= new
+            front = np.flatnonzero(new)
+        low[member] = point[member].min()
+        seen |= member
+    return low
 
 
 # ---- cells ---------------------------------------------------------------------
 
 
-def overlapping_cells(stage: Stage, points: DataFrame, overlap: int) -> DataFrame:
-    """(cell, point): cells of at most ``CELL`` vectors, or ones that no split
-    reduces (copies that differ a little), which are dealt in blocks later."""
-    now = stage.write(points.select(F.lit(0).cast("long").alias("cell"), "point", "v"), f"cells-{overlap}-0")
+def exact_cells(stage: Stage, points: DataFrame) -> DataFrame:
+    """(cell, point, home): cells of at most ``CELL`` vectors at home, or ones
+    that no split makes cheaper, which are dealt in blocks later. Each pair in
+    range is in exactly one cell, at least one of the two at home."""
+    columns = ["cell", "point", "home"]
+    now = stage.write(points.select(F.lit(0).cast("long").alias("cell"), "point", F.lit(True).alias("home"), "v"), "cells-0")
     done = None
     for depth in range(1, MAX_DEPTH + 1):
-        sizes = now.groupBy("cell").agg(F.count(F.lit(1)).alias("m"))
+        sizes = now.where("home").groupBy("cell").agg(F.count(F.lit(1)).alias("m"))
         sized = now.join(F.broadcast(sizes) if depth == 1 else sizes, "cell")  # at first one cell
-        fits = sized.where(F.col("m") <= CELL).select("cell", "point")
+        fits = sized.where(F.col("m") <= CELL).select(*columns)
         done = fits if done is None else done.unionByName(fits)
         big = sized.where(F.col("m") > CELL)
         n_big = sizes.where(F.col("m") > CELL).count()
         if not n_big:
-            return done.distinct()
-        if depth == MAX_DEPTH:
-            break
+            return done
         order = Window.partitionBy("cell").orderBy(F.xxhash64("point"), "point")
         sample = big.withColumn("n", F.row_number().over(order)).where(F.col("n") <= FIT_ROWS)
 
         def fit(key, t: pa.Table):
-            x = matrix(t["v"])
-            # many more children than a vector goes to, or the cells never shrink
-            k = int(min(FAN, max(4 * overlap, -(-t["m"][0].as_py() * 2 * overlap // CELL))))
-            c = kmeans(x, min(k, len(x)))
-            return [{"cell": [key[0]] * len(c), "c": list(c)}]
-
-        cents = by_group(sample, ["cell"], fit, "cell long, c array<double>")
-        cents = stage.write(cents.groupBy("cell").agg(F.collect_list("c").alias("cs")), f"centroids-{overlap}-{depth}")
+            x, home = matrix(t["v"]), t["home"].to_numpy()
+            k = int(min(FAN, max(8, -(-t["m"][0].as_py() * 4 // CELL)), home.sum()))
+            if k < 2:
+                return []
+            c = kmeans(x[home], k)
+            _, child, own = visits(x, c, home)
+            # the sample only decides where pairs meet, never whether
+            if comparisons(child, own) > PAYS * comparisons(np.zeros(len(x), dtype=np.int64), home):
+                return []
+            return [{"cell": [key[0]], "cs": [c.tolist()]}]
+
+        cents = stage.write(by_group(sample, ["cell"], fit, "cell long, cs array<array<double>>"), f"centroids-{depth}")
+        done = done.unionByName(big.join(cents, "cell", "left_anti").select(*columns))
         # FAN centroids per oversize cell: broadcast while that is at most a
         # few dozen MB, else a join on the cell
         dealt = big.join(F.broadcast(cents) if n_big <= 1000 else cents, "cell")
 
         def assign(batch: pa.RecordBatch):
             cells = batch.column("cell").to_numpy()
-            x = matrix(batch.column("v"))
+            home = batch.column("home").to_numpy(zero_copy_only=False)
             for cell in np.unique(cells):
-                at = np.flatnonzero(cells == cell)
-                c = np.array(batch.column("cs")[int(at[0])].as_py())
-                k = min(overlap, len(c))
-                top = np.argsort(-(x[at] @ c.T), axis=1, kind="stable")[:, :k]
-                rows = pa.array(np.repeat(at, k))
-                # a path of children, hashed: equal for equal paths
-                child = mix(mix(np.array([cell]).view(np.uint64)) + top.ravel().astype(np.uint64)) >> np.uint64(2)
-                yield {"cell": child.astype(np.int64), "point": batch.column("point").take(rows), "v": batch.column("v").take(rows)}
-
-        now = stage.write(map_batches(dealt, assign, "cell long, point long, v array<double>"), f"cells-{overlap}-{depth}")
-        now = now.dropDuplicates(["cell", "point"])
-    return done.unionByName(big.select("cell", "point")).distinct()
-
-
-def _blocks(cells: DataFrame) -> DataFrame:
-    """(cell, b1, b2, point, block): cells dealt into pairs of blocks of bounded
-    size; a cell that fits is one block."""
-    sizes = cells.groupBy("cell").agg(F.count(F.lit(1)).alias("m"))
-    d = cells.join(sizes, "cell").withColumn("blocks", F.ceil(F.col("m") / CELL).cast("int"))
-    d = d.withColumn("block", F.pmod(F.xxhash64("point"), F.col("blocks")).cast("long"))
-    return d.withColumn("o", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks").cast("long") - 1))).select(
-        "cell", F.least("block", "o").alias("b1"), F.greatest("block", "o").alias("b2"), "point", "block"
-    )
-
-
-def _build(key: tuple, t: pa.Table):
-    point = t["point"].to_numpy()
-    adj = pruned_graph(matrix(t["v"]))
-    return [{"point": point, "adj": [point[r[r >= 0]] for r in adj]}]
-
-
-def _search(key: tuple, t: pa.Table):
+                inside = np.flatnonzero(cells == cell)
+                c = np.array(batch.column("cs")[int(inside[0])].as_py())
+                for a in range(0, len(inside), 512):
+                    at = inside[a : a + 512]
+                    row, kid, own = visits(matrix(batch.column("v").take(pa.array(at))), c, home[at])
+                    rows = pa.array(at[row])
+                    # a path of children, hashed: equal for equal paths
+                    child = mix(mix(np.array([cell]).view(np.uint64)) + kid.astype(np.uint64)) >> np.uint64(2)
+                    yield {"cell": child.astype(np.int64), "point": batch.column("point").take(rows), "home": own, "v": batch.column("v").take(rows)}
+
+        now = stage.write(map_batches(dealt, assign, "cell long, point long, home boolean, v array<double>"), f"cells-{depth}")
+    return done.unionByName(now.select(*columns))
+
+
+def _blocks(cells: DataFrame, points: DataFrame) -> DataFrame:
+    """(cell, b1, b2, block, point, v, copies): cells dealt into pairs of blocks
+    of bounded size, the visitors' blocks after those at home, which they are
+    paired with; a cell that fits is one block."""
+    sizes = cells.groupBy("cell").agg(F.count_if("home").alias("h"), F.count_if(~F.col("home")).alias("g"))
+    d = cells.join(sizes.where("h > 0"), "cell").join(points, "point")
+    d = d.withColumn("bh", F.ceil(F.col("h") / CELL).cast("long")).withColumn("bg", F.ceil(F.col("g") / CELL).cast("long"))
+    number = F.xxhash64("point")
+    d = d.withColumn("block", F.when(F.col("home"), F.pmod(number, F.col("bh"))).otherwise(F.col("bh") + F.pmod(number, F.greatest("bg", F.lit(1).cast("long")))))
+    last = F.when(F.col("home"), F.col("bh") + F.col("bg")).otherwise(F.col("bh")) - 1
+    d = d.withColumn("o", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+    return d.select("cell", F.least("block", "o").alias("b1"), F.greatest("block", "o").alias("b2"), "block", "point", "v", "copies")
+
+
+def _compare(key: tuple, t: pa.Table):
     point, block, copies = t["point"].to_numpy(), t["block"].to_numpy(), t["copies"].to_numpy()
     x = matrix(t["v"])
-    lists = t["adj"].combine_chunks()
-    flat = lists.flatten().to_numpy(zero_copy_only=False)
-    rows = np.repeat(np.arange(len(point)), lists.value_lengths().to_numpy())
-    # united lists, as far as they stay in this cell
-    order = np.argsort(point)
-    pos = np.searchsorted(point[order], flat)
-    pos[pos == len(point)] = 0
-    inside = point[order][pos] == flat
-    code = np.unique(rows[inside] * len(point) + order[pos[inside]])
-    a, b = code // len(point), code % len(point)
-    n = np.bincount(a, minlength=len(point))
-    adj = np.full((len(point), max(1, int(n.max()) if len(n) else 1)), -1, dtype=np.int64)
-    start = np.cumsum(n) - n
-    adj[a, np.arange(len(a)) - start[a]] = b
-    q, v = range_search(x, adj, COSINE)
-    if key[1] != key[2]:
-        across = block[q] != block[v]
-        q, v = q[across], v[across]
-    if not len(q):
+    rows, cols = np.flatnonzero(block == key[1]), np.flatnonzero(block == key[2])
+    found = np.zeros((len(rows), len(cols)), dtype=bool)
+    for a in range(0, len(rows), 512):
+        found[a : a + 512] = x[rows[a : a + 512]] @ x[cols].T >= COSINE
+    if key[1] == key[2]:
+        np.fill_diagonal(found, False)
+    if not found.any():
         return []
-    # a pair that meets in several cells is counted in the smallest
-    cells = t["cells"].to_pylist()
-    least = np.array([c[0] for c in cells])
-    mine = (least[q] == key[0]) | (least[v] == key[0])
-    homes = [frozenset(c) for c in cells]
-    for i in np.flatnonzero(~mine):
-        mine[i] = min(homes[q[i]] & homes[v[i]]) == key[0]
-    links = np.bincount(q[mine], weights=copies[v[mine]], minlength=len(point)).astype(np.int64)
-    low = point.copy()
-    while True:
-        new = low.copy()
-        np.minimum.at(new, q, low[v])
-        if (new == low).all():
-            break
-        low = new
-    linked = np.zeros(len(point), dtype=bool)
-    linked[q] = True
+    hit = np.zeros((len(point), len(point)), dtype=bool)
+    hit[np.ix_(rows, cols)] = found
+    hit |= hit.T.copy()
+    links = np.concatenate([hit[a : a + 512] @ copies for a in range(0, len(point), 512)])
+    low = lowest(hit, point)
+    linked = hit.any(axis=1)
     return [{"point": point[linked], "low": low[linked], "links": links[linked]}]
 
 
-def _links(stage: Stage, points: DataFrame, overlap: int) -> DataFrame:
-    cells = stage.write(overlapping_cells(stage, points, overlap), f"dealt-{overlap}")
-    groups = _blocks(cells).join(points, "point")
-    built = by_group(groups, ["cell", "b1", "b2"], _build, "point long, adj array<long>")
-    united = built.groupBy("point").agg(F.array_distinct(F.flatten(F.collect_list("adj"))).alias("adj"))
-    homes = cells.groupBy("point").agg(F.array_sort(F.collect_set("cell")).alias("cells"))
-    graph = stage.write(united.join(homes, "point"), f"graph-{overlap}")
-    found = by_group(groups.join(graph, "point"), ["cell", "b1", "b2"], _search, "point long, low long, links long")
-    return stage.write(found, f"links-{overlap}")
-
-
-def audit(points: DataFrame, links: DataFrame, rows: int = AUDIT_ROWS) -> float:
-    """Share of the true links of ``rows`` vectors (the first by hash) that were
-    found: brute force of a bounded sample against all vectors."""
-    picked = points.orderBy(F.xxhash64("point"), "point").limit(rows).select("point", "v").toPandas()
-    if not len(picked):
-        return 1.0
-    ids = picked["point"].to_numpy()
-    x = matrix(pa.array([np.asarray(v, dtype=np.float64) for v in picked["v"]]))
-    shared = points.sparkSession.sparkContext.broadcast((ids, x))
-
-    def count(batch: pa.RecordBatch):
-        ids, x = shared.value
-        hit = (x @ matrix(batch.column("v")).T >= COSINE) & (ids[:, None] != batch.column("point").to_numpy()[None, :])
-        yield {"point": ids, "n": (hit * batch.column("copies").to_numpy()[None, :]).sum(axis=1)}
-
-    truth = map_batches(points.select("point", "v", "copies"), count, "point long, n long").groupBy("point").agg(F.sum("n").alias("n"))
-    found = links.groupBy("point").agg(F.sum("links").alias("f"))
-    r = truth.join(found, "point", "left").agg(F.sum("n").alias("n"), F.sum(F.least("f", "n")).alias("f")).first()
-    return 1.0 if not r.n else (r.f or 0) / r.n
+def _links(stage: Stage, points: DataFrame) -> DataFrame:
+    """(point, low, links): sums of ``links`` by point are its copies of others
+    in range, and ``low`` joins it to its component."""
+    cells = stage.write(exact_cells(stage, points), "dealt")
+    found = by_group(_blocks(cells, points), ["cell", "b1", "b2"], _compare, "point long, low long, links long")
+    return stage.write(found, "links")
 
 
-def near_duplicates(vectors: DataFrame, overlap: int = 2) -> DataFrame:
+def near_duplicates(vectors: DataFrame) -> DataFrame:
     """One row per row of ``vectors`` (vec_id, embedding): vec_id, n_links,
     component_id, kept.
 
@@ -339,11 +228,7 @@ def near_duplicates(vectors: DataFrame, overlap: int = 2) -> DataFrame:
     links = None
     for r in full.select("dim").distinct().orderBy("dim").collect():  # the vector lengths, commonly one
         own = full.where(F.col("dim") == r.dim).drop("dim")
-        sub = Stage(spark, f"embeddings-{r.dim}")
-        for more in range(overlap, overlap + 3):
-            got = _links(sub, own, more)
-            if audit(own, got) >= AUDIT_RECALL:
-                break
+        got = _links(Stage(spark, f"embeddings-{r.dim}"), own)
         links = got if links is None else links.unionByName(got)
     if links is None:
         links = spark.createDataFrame([], "point long, low long, links long")
