@@ -357,6 +357,16 @@ def test_embeddings_dense_group(spark):
     assert {got[i].component_id for i in range(2600)} == {0}
 
 
+def test_embeddings_count_every_link(spark):
+    # groups that cells share: a link is counted once, wherever its pair meets
+    rng = np.random.default_rng(8)
+    base = rng.normal(size=(30, 24))
+    x = base[rng.integers(0, 30, 4000)] + 0.3 * rng.normal(size=(4000, 24))
+    got, links = _embedded(spark, x)
+    assert links.sum() > 10_000
+    assert [got[i].n_links for i in range(len(x))] == links.tolist()
+
+
 def test_lines(docs, empty):
     got = op10.line_dedup(docs.drop("kept", "score")).collect()
     assert op10.line_dedup(empty).count() == 0
