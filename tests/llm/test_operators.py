@@ -110,6 +110,105 @@ def test_licenses(spark, empty):
     assert op2.recognise(["mit-title", *run], op2.RULES) == ["MIT", "MIT"]
 
 
+GPL = """This program is free software{0} you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation{1} version {2} of the License{3}.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details.
+
+You should have received a copy of the GNU General Public License
+along with this program.  If not, see <https://www.gnu.org/licenses/>.
+"""
+LATER = ", or\n(at your option) any later version"
+APACHE = """Copyright 2020 A. Writer
+
+Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License.
+"""
+MIT_TEXT = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM.
+"""
+BSD = """Copyright (c) 2020, A Writer
+All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+{0} Redistributions of source code must retain the above copyright notice, this
+  list of conditions and the following disclaimer.
+{0} Redistributions in binary form must reproduce the above copyright notice,
+  this list of conditions and the following disclaimer in the documentation.
+{1}
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"
+AND ANY EXPRESS OR IMPLIED WARRANTIES ARE DISCLAIMED.
+"""
+ENDORSE = """* Neither the name of the copyright holder nor the names of its
+  contributors may be used to endorse or promote products derived from
+  this software without specific prior written permission.
+"""
+ISC = """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+"""
+MPL = """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/.
+"""
+
+
+@pytest.mark.parametrize("leader", ["", "# ", " * ", "// ", ";; ", "dnl "])
+def test_licenses_wrapped(leader):
+    texts = [
+        (APACHE, ["Apache-2.0"]),
+        (MIT_TEXT, ["MIT"]),
+        (BSD.format("*", ENDORSE), ["BSD-3-Clause"]),
+        (BSD.format("1.", ""), ["BSD-2-Clause"]),
+        (ISC, ["ISC"]),
+        (MPL, ["MPL-2.0"]),
+        (GPL.format(":", ", either", 3, LATER), ["GPL-3.0-or-later"]),
+        (GPL.format(";", "; either", 2, LATER), ["GPL-2.0-or-later"]),
+        (GPL.format(";", ";", 2, ""), ["GPL-2.0-only"]),
+        (GPL.format(":", ", either", 3, LATER).replace("GNU General", "GNU Lesser General"), ["LGPL-3.0-or-later"]),
+        (GPL.format(":", ", either", "2.1", LATER).replace("GNU General", "GNU Lesser General"), ["LGPL-2.1-or-later"]),
+        (GPL.format(":", ", either", 3, LATER).replace("GNU General", "GNU Affero General"), ["AGPL-3.0-or-later"]),
+        ("This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike\n4.0 International License.", ["CC-BY-NC-SA"]),
+        ("This work is licensed under a Creative Commons\nAttribution 4.0 International License.", ["CC-BY"]),
+        ("This is free and unencumbered software released into\nthe public domain.", ["Unlicense"]),
+        ("Released under the GNU General Public License", ["GPL"]),
+        ("SPDX-License-Identifier: (MIT OR Apache-2.0) AND GPL-2.0-only WITH Classpath-exception-2.0\nCopyright 2020 A", ["(MIT OR Apache-2.0) AND GPL-2.0-only WITH Classpath-exception-2.0"]),
+        ("Home\nMIT License\nContact us", ["MIT"]),
+        ("Some page\nCopyright 2020 A Writer\nAll rights reserved.", ["Proprietary"]),
+    ]
+    known = op2.compiled(op2.SENTENCES)
+    for text, want in texts:
+        text = "".join(leader + x for x in text.splitlines(True))
+        got = op2.recognise(op2.identifiers(text, known), op2.RULES)
+        assert got == want, (text, got)
+
+
+def test_license_expressions_joined():
+    assert op2.joined(["MIT OR Apache-2.0", "BSD-3-Clause", "BSD-3-Clause"]) == "(MIT OR Apache-2.0) AND BSD-3-Clause"
+
+
 def test_passages(docs, empty):
     got = op3.near_passages(docs).collect()
     assert op3.near_passages(empty).count() == 0

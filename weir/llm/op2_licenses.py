@@ -1,7 +1,9 @@
 """License scans by sentence rules.
 
-Texts are cut into sentences, which are normalised (lower case, words and
-digits only) and mapped to the identifiers of known licence sentences. A
+Lines are joined into paragraphs without their comment leaders and cut into
+sentences, which are normalised (lower case, words and digits only) and mapped
+to the identifiers of known licence sentences; of a sentence over several lines,
+whole lines may be known by themselves. A
 document's sequence of identifiers is then matched against ordered licence
 rules: each rule is a run of identifiers, the most specific rules first, and
 identifiers that a rule has used are not used again.
@@ -20,7 +22,7 @@ from weir.llm.common import map_batches, table
 # Sentences of public licences and customary notices, as patterns
 # over normalised sentences (lower case, one space between words).
 SENTENCES: list[tuple[str, str]] = [
-    ("apache-notice", r"licensed under (the )?apache license (version )?2(\.| )?0"),
+    ("apache-notice", r"licensed under (the )?apache license (version )?2(\.| )?0( the license)?"),
     ("apache-compliance", r"you may not use this file except in compliance with the license"),
     ("apache-obtain", r"you may obtain a copy of the license at( http.*)?"),
     ("apache-as-is", r"unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis.*"),
@@ -41,23 +43,37 @@ SENTENCES: list[tuple[str, str]] = [
     ("bsd-source", r".*redistributions of source code must retain the above copyright notice.*"),
     ("bsd-binary", r".*redistributions in binary form must reproduce the above copyright notice.*"),
     ("bsd-endorse", r".*neither the name of .* may be used to endorse or promote products.*"),
-    ("bsd-as-is", r"this software is provided by the (copyright holders and contributors|author|authors|regents and contributors).* as is.*"),
-    ("gpl3-notice", r"(this work is |this program is |this file is )?(released|licensed|available|distributed) under (the )?(terms of the )?gnu general public license( version 3| v3)( only| or later)?"),
-    ("gpl2-notice", r"(this work is |this program is |this file is )?(released|licensed|available|distributed) under (the )?(terms of the )?gnu general public license( version 2| v2)( only| or later)?"),
-    ("gpl-free", r"this program is free software you can redistribute it and or modify.*"),
+    ("bsd-as-is", r"this software is provided by (the )?(copyright (holder|owner)s?( and| or) contributors|copyright (holder|owner)s?|authors?( and contributors)?|regents and contributors|.* and contributors).* as is.*"),
+    ("gpl3-later", r"(this work is |this program is |this file is )?(released|licensed|available|distributed) under (the )?(terms of the )?gnu general public license( version| v) ?3( 0)? or( at your option)?( any)? later( version)?"),
+    ("gpl2-later", r"(this work is |this program is |this file is )?(released|licensed|available|distributed) under (the )?(terms of the )?gnu general public license( version| v) ?2( 0)? or( at your option)?( any)? later( version)?"),
+    ("gpl3-notice", r"(this work is |this program is |this file is )?(released|licensed|available|distributed) under (the )?(terms of the )?gnu general public license( version| v) ?3( 0)?( only)?"),
+    ("gpl2-notice", r"(this work is |this program is |this file is )?(released|licensed|available|distributed) under (the )?(terms of the )?gnu general public license( version| v) ?2( 0)?( only)?"),
+    ("gpl-notice", r"(this work is |this program is |this file is )?(released|licensed|available|distributed) under (the )?(terms of the )?gnu general public license"),
     ("gpl-terms-3", r".*gnu general public license as published by the free software foundation either version 3.*"),
     ("gpl-terms-2", r".*gnu general public license as published by the free software foundation either version 2.*"),
+    ("gpl-only-3", r".*gnu general public license as published by the free software foundation version 3.*"),
+    ("gpl-only-2", r".*gnu general public license as published by the free software foundation version 2.*"),
+    ("gpl-only-3", r".*gnu general public license version 3( only)? as published by the free software foundation.*"),
+    ("gpl-only-2", r".*gnu general public license version 2( only)? as published by the free software foundation.*"),
+    ("lgpl-terms-3", r".*gnu lesser general public license as published by the free software foundation either version 3.*"),
+    ("lgpl-terms-2-1", r".*gnu lesser general public license as published by the free software foundation either version 2 1.*"),
+    ("lgpl-terms-2", r".*gnu library general public license as published by the free software foundation either version 2.*"),
+    ("agpl-terms-3", r".*gnu affero general public license as published by the free software foundation either version 3.*"),
+    ("gpl-free", r"this program is free software you can redistribute it and or modify.*"),
     ("gpl-warranty", r".*without even the implied warranty of merchantability or fitness for a particular purpose.*"),
-    ("gpl-copy", r"you should have received a copy of the gnu (general|lesser general|affero general) public license.*"),
+    ("gpl-copy", r"you should have received a copy of the gnu (general|lesser general|library general|affero general) public license.*"),
     ("lgpl-notice", r"(this work is )?(released|licensed|available|distributed) under (the )?gnu lesser general public license.*"),
     ("agpl-notice", r"(this work is )?(released|licensed|available|distributed) under (the )?gnu affero general public license.*"),
     ("mpl-notice", r"this source code form is subject to the terms of the mozilla public license v( 2 0)?.*"),
     ("mpl-copy", r"if a copy of the mpl was not distributed with this file you can obtain one at.*"),
-    ("cc-by-nc", r"(this work is )?licensed under (a )?(cc by nc|creative commons attribution noncommercial)( [0-9] [0-9])?( international)?( license)?"),
-    ("cc-by-sa", r"(this work is )?licensed under (a )?(cc by sa|creative commons attribution sharealike)( [0-9] [0-9])?( international)?( license)?"),
-    ("cc-by-nd", r"(this work is )?licensed under (a )?(cc by nd|creative commons attribution noderivatives)( [0-9] [0-9])?( international)?( license)?"),
-    ("cc-by", r"(this work is )?licensed under (a )?(cc by|creative commons attribution)( [0-9] [0-9])?( international)?( license)?"),
+    ("cc-by-nc-sa", r"(this work is )?licensed under (a |the )?(cc by nc sa|creative commons attribution noncommercial sharealike)( [0-9] [0-9])?( international| unported| generic)?( public)?( license)?"),
+    ("cc-by-nc-nd", r"(this work is )?licensed under (a |the )?(cc by nc nd|creative commons attribution noncommercial noderivatives)( [0-9] [0-9])?( international| unported| generic)?( public)?( license)?"),
+    ("cc-by-nc", r"(this work is )?licensed under (a |the )?(cc by nc|creative commons attribution noncommercial)( [0-9] [0-9])?( international| unported| generic)?( public)?( license)?"),
+    ("cc-by-sa", r"(this work is )?licensed under (a |the )?(cc by sa|creative commons attribution sharealike)( [0-9] [0-9])?( international| unported| generic)?( public)?( license)?"),
+    ("cc-by-nd", r"(this work is )?licensed under (a |the )?(cc by nd|creative commons attribution noderivatives)( [0-9] [0-9])?( international| unported| generic)?( public)?( license)?"),
+    ("cc-by", r"(this work is )?licensed under (a |the )?(cc by|creative commons attribution)( [0-9] [0-9])?( international| unported| generic)?( public)?( license)?"),
     ("cc0", r"(this work is )?(licensed|released|dedicated) (under|to) (the )?(cc0|public domain)( [0-9] [0-9])?( universal)?"),
+    ("cc0", r"to the extent possible under law .* has waived all copyright and related or neighboring rights to.*"),
     ("unlicense", r"this is free and unencumbered software released into the public domain"),
     ("all-rights", r"(copyright .* )?all rights reserved"),
 ]
@@ -69,11 +85,19 @@ RULES: list[tuple[str, tuple[str, ...]]] = [
     ("BSD-3-Clause", ("bsd-grant", "bsd-source", "bsd-binary", "bsd-endorse", "bsd-as-is")),
     ("MIT", ("mit-grant", "mit-include", "mit-as-is", "mit-liability")),
     ("BSD-2-Clause", ("bsd-grant", "bsd-source", "bsd-binary", "bsd-as-is")),
-    ("GPL-3.0-or-later", ("gpl-free", "gpl-warranty", "gpl-copy")),
+    ("GPL-3.0-or-later", ("gpl-terms-3", "gpl-warranty", "gpl-copy")),
+    ("GPL-2.0-or-later", ("gpl-terms-2", "gpl-warranty", "gpl-copy")),
+    ("GPL", ("gpl-free", "gpl-warranty", "gpl-copy")),
     ("MIT", ("mit-title", "mit-grant")),
     ("ISC", ("isc-title", "isc-grant")),
     ("GPL-3.0-or-later", ("gpl-terms-3",)),
     ("GPL-2.0-or-later", ("gpl-terms-2",)),
+    ("GPL-3.0-only", ("gpl-only-3",)),
+    ("GPL-2.0-only", ("gpl-only-2",)),
+    ("LGPL-3.0-or-later", ("lgpl-terms-3",)),
+    ("LGPL-2.1-or-later", ("lgpl-terms-2-1",)),
+    ("LGPL-2.0-or-later", ("lgpl-terms-2",)),
+    ("AGPL-3.0-or-later", ("agpl-terms-3",)),
     ("MPL-2.0", ("mpl-notice", "mpl-copy")),
     ("MPL-2.0", ("mpl-notice",)),
     ("Apache-2.0", ("apache-notice",)),
@@ -85,10 +109,15 @@ RULES: list[tuple[str, tuple[str, ...]]] = [
     ("ISC", ("isc-grant",)),
     ("BSD-3-Clause", ("bsd-notice",)),
     ("BSD-2-Clause", ("bsd2-notice",)),
+    ("GPL-3.0-or-later", ("gpl3-later",)),
+    ("GPL-2.0-or-later", ("gpl2-later",)),
     ("GPL-3.0", ("gpl3-notice",)),
     ("GPL-2.0", ("gpl2-notice",)),
+    ("GPL", ("gpl-notice",)),
     ("LGPL", ("lgpl-notice",)),
     ("AGPL", ("agpl-notice",)),
+    ("CC-BY-NC-SA", ("cc-by-nc-sa",)),
+    ("CC-BY-NC-ND", ("cc-by-nc-nd",)),
     ("CC-BY-NC", ("cc-by-nc",)),
     ("CC-BY-SA", ("cc-by-sa",)),
     ("CC-BY-ND", ("cc-by-nd",)),
@@ -97,40 +126,102 @@ RULES: list[tuple[str, tuple[str, ...]]] = [
     ("Unlicense", ("unlicense",)),
     ("Proprietary", ("all-rights",)),
 ]
+# "All rights reserved." right before a licence belongs to its copyright line
+RULES = [rule for name, run in RULES for rule in ([(name, ("all-rights", *run))] if run != ("all-rights",) else []) + [(name, run)]]
 
 #: A sentence is only normalised when it holds one of these (every pattern does).
 HINT = r"licen[sc]e|permi|warrant|copyright|redistribut|liable|software|public domain|cc0|mpl|reserved"
 
-# A sentence ends at a line end, or at . ! ? ; before white space. Titles and
-# comment markers of source files are part of the white space around it.
-_END = re.compile(r"\n|(?<=[.!?;])[ \t\r\f\v]+")
+# A sentence ends at . ! ? ; before white space (but for the version that a
+# grant names after a semicolon), or at a colon at a line end.
+_END = re.compile(r"(?<=[.!?;])(?!\s+(?:either\s+)?version\s+\d)\s+|(?<=:)[ \t\r\f\v]*\n", re.I)
+#: Comment leaders, list marks and the like; a line of these alone ends a paragraph.
+_LEAD = re.compile(r"[^A-Za-z0-9]*(?:(?:dnl|rem)[ \t]+)?", re.I)
 _HINT = re.compile(HINT, re.I)
 _WORD = re.compile(r"[a-z0-9]+")
-_SPDX = re.compile(r"SPDX-License-Identifier:[ \t]*([A-Za-z0-9.+\-]+)")
+_SPDX_ID = r"\(*[A-Za-z0-9][A-Za-z0-9.+:\-]*\)*"
+_SPDX = re.compile(rf"SPDX-License-Identifier:[ \t]*({_SPDX_ID}(?:[ \t]+(?:AND|OR|WITH)[ \t]+{_SPDX_ID})*)", re.I)
 
 
 def normalised(sentence: str) -> str:
     return " ".join(_WORD.findall(sentence.lower()))
 
 
-def identifiers(text: str, known: list[tuple[str, re.Pattern]]) -> list[str]:
+def compiled(sentences: list[tuple[str, str]]) -> list[tuple[str, re.Pattern, bool]]:
+    """(identifier, pattern over lines of normalised words, whether it may
+    start anywhere): a match is of whole lines, and a space also stands for a
+    line end."""
+    return [(k, re.compile(rf"^(?:{p.replace(' ', chr(92) + 's')})$", re.M | re.S), p.startswith(".*")) for k, p in sentences]
+
+
+def paragraphs(text: str):
+    """Lines without comment leaders, joined up to the next empty one; a line
+    with an SPDX tag is a paragraph of its own."""
+    held: list[str] = []
+    for line in text.splitlines():
+        tag = "spdx" in line.lower() and _SPDX.search(line)
+        line = line if tag else line[_LEAD.match(line).end() :].rstrip()
+        if held and (tag or not line):
+            yield "\n".join(held)
+            held = []
+        if tag:
+            yield line
+        elif line:
+            held.append(line)
+    if held:
+        yield "\n".join(held)
+
+
+def expression(tag: str) -> str:
+    """An SPDX expression with its brackets in balance."""
+    tag = " ".join(tag.split())
+    while tag.endswith(")") and tag.count(")") > tag.count("("):
+        tag = tag[:-1]
+    while tag.startswith("(") and tag.count("(") > tag.count(")"):
+        tag = tag[1:]
+    return tag
+
+
+def identifiers(text: str, known: list[tuple[str, re.Pattern, bool]]) -> list[str]:
     """Identifiers of a text's licence sentences in order; an SPDX tag is an
     identifier of its own."""
     out = []
-    for s in _END.split(text):
-        if not _HINT.search(s):
+    for part in paragraphs(text):
+        if not _HINT.search(part):
             continue
-        tag = _SPDX.search(s)
+        tag = _SPDX.search(part)
         if tag:
-            out.append(f"spdx:{tag[1]}")
+            out.append(f"spdx:{expression(tag[1])}")
             continue
-        n = normalised(s)
-        name = next((k for k, p in known if p.fullmatch(n)), None)
-        if name:
-            out.append(name)
+        for s in _END.split(part):
+            if not _HINT.search(s):
+                continue
+            n = "\n".join(x for x in map(normalised, s.split("\n")) if x)
+            at, left = 0, known
+            while at < len(n):
+                name, end = None, at
+                for k, p, _ in left:  # the longest, of equally long ones the first
+                    m = p.match(n, at)
+                    if m and m.end() > end:
+                        name, end = k, m.end()
+                if name:
+                    out.append(name)
+                    at = end + 1
+                    continue
+                if left is known:  # what may start anywhere does not start further on either
+                    left = [x for x in known if not x[2]]
+                at = n.find("\n", at) + 1 or len(n)
     return out
 
 
+def joined(names: list[str]) -> str:
+    """The distinct licences, joined by AND; alternatives among others in brackets."""
+    names = list(dict.fromkeys(names))
+    if len(names) > 1:
+        names = [f"({x})" if re.search(r"\bOR\b", x, re.I) and not re.fullmatch(r"\([^()]*\)", x) else x for x in names]
+    return " AND ".join(names)
+
+
 def recognise(ids: list[str], rules: list[tuple[str, tuple[str, ...]]]) -> list[str]:
     """Licences of the rules that the sequence holds, in order of their place
     in it; rules are tried in order and use up what they match."""
@@ -168,7 +259,7 @@ def scan_licenses(
     sentences, rules = sentences or SENTENCES, rules or RULES
 
     def run(batch: pa.RecordBatch):
-        known = [(name, re.compile(p)) for name, p in sentences]
+        known = compiled(sentences)
         ids = [identifiers(t or "", known) if t and _HINT.search(t) else [] for t in batch.column(1).to_pylist()]
         names = [recognise(x, rules) if x else [] for x in ids]
         yield {
@@ -176,7 +267,7 @@ def scan_licenses(
             "n_sentences": [len(x) for x in ids],
             "sentence_ids": ids,
             "licenses": names,
-            "license": [" AND ".join(dict.fromkeys(x)) for x in names],
+            "license": [joined(x) for x in names],
         }
 
     return map_batches(
