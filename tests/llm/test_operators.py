@@ -227,6 +227,39 @@ def test_passages(docs, empty):
     assert len(need - {r.doc_id for r in got}) <= 0.02 * len(need)
 
 
+def _planted(n, seed):
+    """(text, text, words that differ) of near passages at a similarity of
+    0.75 to 0.85 between words of their own."""
+    rng = np.random.default_rng(seed)
+    word = lambda k: [f"w{x}" for x in rng.integers(0, 10**9, k)]
+    for _ in range(n):
+        a = word(100)
+        while True:
+            b = list(a)
+            for i in rng.choice(np.arange(8, 92), int(rng.integers(2, 5)), replace=False):
+                b[i] = word(1)[0]
+            x, y = ({tuple(z[i : i + 5]) for i in range(96)} for z in (a, b))
+            if 0.75 <= len(x & y) / len(x | y) <= 0.85:
+                break
+        yield " ".join(word(30) + a + word(30)), " ".join(word(50) + b + word(20))
+
+
+def test_passages_near_the_threshold(spark):
+    texts = [t for pair in _planted(150, 3) for t in pair]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    found = {r.doc_id: r.rep_doc_id for r in op3.near_passages(df).collect()}
+    assert found == {i: i - 1 for i in range(1, 300, 2)}
+
+
+def test_matching_spans_with_changes_close_together():
+    # 60 of 70 shingles shared; the runs before and after the changes are too short alone
+    a = np.arange(1, 101, dtype=np.int64)
+    b = a.copy()
+    for i, j in ((20, 25), (28, 33), (70, 100)):
+        b[i:j] = -a[i:j]
+    assert op3.matching_spans(a, b, 46, 75) == [(0, 70, 0, 70, 60, 80)]
+
+
 def _links(data):
     sets = []
     for _, t in data:
