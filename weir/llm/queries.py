@@ -12,6 +12,10 @@ from weir.llm.op7_mixing import op7_mixing
 from weir.llm.op8_packing import op8_packing
 from weir.llm.op9_embeddings import op9_embeddings
 from weir.llm.op10_lines import op10_lines
+from weir.llm.op11_manifest import op11_manifest
+from weir.llm.op12_search import op12_search
+from weir.llm.op13_decontaminate import op13_decontaminate
+from weir.llm.oracle import ORACLE
 
 QUERIES = {
     f.__name__: f
@@ -26,7 +30,10 @@ QUERIES = {
         op8_packing,
         op9_embeddings,
         op10_lines,
+        op11_manifest,
+        op12_search,
+        op13_decontaminate,
     )
 }
 
-ORACLE: dict[str, str] = {}
+__all__ = ["ORACLE", "QUERIES"]
