@@ -4,7 +4,11 @@ from __future__ import annotations
 
 import json
 
+import pytest
+
+from weir.plans import documents
 from weir.plans.documents import flat_foods, flat_pets
+from weir.sinks import rejects
 
 PHOTO = "https://learnwebcode.github.io/json-example/images/"
 
@@ -124,3 +128,40 @@ def test_flat_foods_edges(spark):
     assert missing
     assert [r.calories_fat for r in rows if r.calories_fat is None] == [None]
     assert [r.food_name for r in rows if r.food_name is None] == [None]
+
+
+def test_foods_at_any_depth_keep_their_text(spark):
+    doc = (
+        '<?xml version="1.0"?>\n<!-- <food><name>no</name></food> --><n><food><name>a </name><mfr>007</mfr>'
+        '<serving units="g">3.50</serving><calories total="010" fat=""/><vitamins><a>1.0</a></vitamins>'
+        "<food><name><![CDATA[<x> 1.0]]></name><mfr>x &amp; y</mfr></food></food>"
+        "<g><food><name>b</name></food><h><food><name>c</name></food><food/><food><name>1</name><name>2</name></food></h></g></n>"
+    )
+    df = spark.createDataFrame([(doc,), ("<food><name>root</name></food>",), (None,), ("<n/>",)], "xml_data string")
+    got = sorted((r.food_name or "", r.manufacturer, r.serving_size, r.calories_total, r.calories_fat, r.vitamin_a) for r in documents.flat_foods(df).collect())
+    assert got == sorted([
+        ("a ", "007", "3.50", 10, None, "1.0"), ("<x> 1.0", "x & y", None, None, None, "0"), ("b", None, None, None, None, "0"),
+        ("c", None, None, None, None, "0"), ("", None, None, None, None, "0"), ("1", None, None, None, None, "0"),
+        ("root", None, None, None, None, "0")])
+
+
+BROKEN_XML = ["<n><food><name>z</name></n>", "plain", "<a/><b/>", "", "<a/><a/>"]
+BROKEN_JSON = ['{"pets":[{"na', "", '{"pets":{"name":"a"}}']
+
+
+@pytest.mark.parametrize("text", BROKEN_XML)
+def test_malformed_xml_fails_the_run(spark, text):
+    with pytest.raises(Exception, match="malformed"):
+        documents.flat_foods(spark.createDataFrame([(text,)], "xml_data string")).collect()
+
+
+def test_malformed_documents_are_counted_rejects(spark, workdir):
+    foods = spark.createDataFrame([(t,) for t in [*BROKEN_XML, "<n><food/></n>", None]], "xml_data string")
+    pets = spark.createDataFrame([(t,) for t in [*BROKEN_JSON, '{"pets":[{"name":"a"},{"name":"b"}]}', "[1]", None]], "json_data string")
+    for load, df, rows, broken in ((documents.load_foods, foods, 1, BROKEN_XML), (documents.load_pets, pets, 2, BROKEN_JSON)):
+        root = f"{workdir}/{load.__name__}"
+        for n in (1, 2):  # rows are appended again, rejects of the same load are not
+            assert load(df, f"{root}/rows", f"{root}/rejects", "run-1") == {"loaded": rows, "rejected": len(broken)}
+            assert spark.read.parquet(f"{root}/rows").count() == n * rows
+            refused = rejects.read(spark, f"{root}/rejects").collect()
+            assert sorted(r.record for r in refused) == sorted(broken) and {r.reason for r in refused} == {"malformed"}

@@ -26,6 +26,7 @@ SINGLE_PARTITION_OK = {
     "temp_percentiles", "temp_trimmed", "temp_daily_stats", "temp_hottest", "temp_coldest", "temp_extremes",
     "incremental_window", "dedup_last", "temp_incremental", "incremental_fallback_key",
     "temp_incremental_summary", "contract_violations", "load_upsert_composite", "audit_run_state", "load_rejects",
+    "load_rejects_counted",
 }
 
 

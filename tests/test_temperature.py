@@ -11,6 +11,8 @@ from pyspark.errors import PySparkException
 from py4j.protocol import Py4JJavaError
 
 from weir.plans import temperature as T
+from weir.operators.bounds import percentiles
+from weir.sinks import rejects
 from weir.sinks.tables import SnapshotTable
 from weir.sources.files import read_iot_csv
 
@@ -154,3 +156,36 @@ def test_full_load_audit(spark, csv_path, workdir):
     hist = spark.read.parquet(workdir + "/load_history").collect()
     assert [(r.batch_id, r.records_loaded) for r in hist] == [("b1", n)]
     assert SnapshotTable(spark, workdir + "/temperature_full").read().count() == n
+
+
+def test_bad_dates_are_counted_rejects(spark, csv_path, workdir):
+    bad = ["dev_x,Room Admin,31-02-2024 10:00,20,In", "dev_y,Room Admin,,21,In", "dev_z,Room Admin,soon,junk,In"]
+    with open(csv_path + "/IOT-temp.csv", "a") as f:
+        f.write("\n".join(bad) + "\n")
+    csv = read_iot_csv(spark, csv_path)
+    at = dt.datetime(2024, 2, 1, 2, tzinfo=dt.timezone.utc)
+    for _ in range(2):
+        assert T.full_load(spark, csv, workdir, "b1", at) == len(ROWS)
+        got = T.incremental_load(spark, csv, workdir + "/inc", at)
+        assert got["rejected"] == 3 and got["loaded"] == T.incremental_batch(csv, "b").count()
+    for path in (workdir, workdir + "/inc"):
+        refused = rejects.read(spark, path + "/rejects").collect()
+        assert {r.reason for r in refused} == {"bad date"} and len(refused) == 3
+        assert any('"soon"' in r.record for r in refused)
+
+
+def test_percentiles_of_one_plan(spark):
+    """Selection by histograms: values of very different size, heavy repeats,
+    one value, none; nothing runs while the plan is built."""
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    cases = [rng.normal(size=3000), np.concatenate([rng.normal(size=500) * 1e-9, [1e300, -1e300]]), np.repeat([1.0, 2.0, 7.0], [900, 50, 50]),
+             np.array([3.0]), np.array([1.5, -2.5])]
+    for x in cases:
+        df = spark.createDataFrame([(float(v),) for v in x], "v double").repartition(3)
+        before = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
+        out = percentiles(df, "v", [0.05, 0.5, 0.95])
+        assert spark.sparkContext.statusTracker().getJobIdsForGroup(None) == before
+        assert list(out.first()) == pytest.approx(list(np.quantile(x, [0.05, 0.5, 0.95])), rel=1e-12)
+    assert list(percentiles(spark.createDataFrame([], "v double"), "v").first()) == [None, None]

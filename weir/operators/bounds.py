@@ -14,7 +14,28 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from weir.functions.temporal import minus_days
-from weir.session import run_dir
+
+
+#: Bins of one narrowing step of ``percentiles``.
+BINS = 4096
+
+
+def _narrowed(counts: DataFrame, targets: DataFrame) -> DataFrame:
+    """Each target (i, at, rank, lo, hi: the value of this rank among those in
+    ``[lo, hi]``) moved to the one of ``BINS`` equal bins that holds it, its
+    range being the values that occur there."""
+    bins = counts.join(F.broadcast(targets), F.col("v").between(F.col("lo"), F.col("hi")))
+    # halves, as the difference of two doubles may be infinite
+    share = (F.col("v") / 2 - F.col("lo") / 2) / (F.col("hi") / 2 - F.col("lo") / 2)
+    number = F.when(F.col("hi") > F.col("lo"), F.least(F.floor(share * BINS), F.lit(BINS - 1))).otherwise(F.lit(0))
+    sums = bins.groupBy("i", "at", "rank", number.alias("bin")).agg(
+        F.sum("n").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")
+    )
+    # at most BINS rows a target
+    upto = F.sum("n").over(Window.partitionBy("i").orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    below = F.col("upto") - F.col("n")
+    hit = sums.withColumn("upto", upto).where((below <= F.col("rank")) & (F.col("upto") > F.col("rank")))
+    return hit.select("i", "at", (F.col("rank") - below).alias("rank"), "lo", "hi")
 
 
 def percentiles(
@@ -23,48 +44,43 @@ def percentiles(
     qs: Sequence[float] = (0.05, 0.95),
     names: Sequence[str] | None = None,
     approx_accuracy: int | None = None,
+    steps: int = 2,
 ) -> DataFrame:
     """One row with the ``qs`` percentiles of ``col``; NULLs skipped (AGG-2).
 
-    Exact by default (linear interpolation, as pandas ``quantile`` and
-    DuckDB ``quantile_cont``): values are counted, range-partitioned and
-    staged with their partition; a value's rank is the running count within
-    its partition after the totals of the partitions before it, so no task
-    ever holds all values. ``approx_accuracy`` switches to the
+    Exact by default (linear interpolation, as pandas ``quantile`` and DuckDB
+    ``quantile_cont``), by distributed selection: the values are counted once
+    (partial counts before the shuffle, which later steps reuse), ``steps``
+    histograms of ``BINS`` bins narrow the range of each rank that is asked
+    for, two a quantile, and only the values of its last bin are sorted. All of
+    it is one lazy plan. ``approx_accuracy`` switches to the
     ``percentile_approx`` sketch explicitly.
     """
     names = list(names or [f"p{int(round(q * 100)):02d}" for q in qs])
     if approx_accuracy:
         agg = F.percentile_approx(F.col(col), list(qs), approx_accuracy)
         return df.agg(agg.alias("_q")).select(*[F.col("_q").getItem(i).alias(n) for i, n in enumerate(names)])
-    spark = df.sparkSession
-    path = run_dir(spark, "percentiles")
-    (
-        df.select(F.col(col).cast("double").alias("v"))
-        .where("v is not null")
-        .groupBy("v")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .repartitionByRange("v")
-        .withColumn("part", F.spark_partition_id())
-        .write.parquet(path)
-    )
-    counts = spark.read.parquet(path)
-    totals = counts.groupBy("part").agg(F.sum("n").alias("t"))  # one row per partition
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(
-        "part", F.coalesce(F.sum("t").over(before), F.lit(0)).alias("off"), F.sum("t").over(Window.partitionBy()).alias("total")
-    )
-    inside = Window.partitionBy("part").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = counts.join(F.broadcast(offsets), "part").select("v", "total", (F.col("off") + F.sum("n").over(inside)).alias("upto"))
-    cols = []
-    for q, name in zip(qs, names):
+    counts = df.select(F.col(col).cast("double").alias("v")).where("v is not null").groupBy("v").agg(F.count(F.lit(1)).alias("n"))
+    span = counts.agg(F.sum("n").alias("total"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+    wanted = []
+    for k, q in enumerate(qs):
         at = F.lit(float(q)) * (F.col("total") - 1)
-        lo, hi = F.floor(at), F.ceil(at)
-        low = F.min(F.when(F.col("upto") >= lo + 1, F.col("v")))
-        high = F.min(F.when(F.col("upto") >= hi + 1, F.col("v")))
-        at, lo, hi = F.max(at), F.max(lo), F.max(hi)
-        cols.append(F.when(lo == hi, low).otherwise((hi - at) * low + (at - lo) * high).alias(name))
-    return ranked.agg(*cols)
+        for i, rank in ((2 * k, F.floor(at)), (2 * k + 1, F.ceil(at))):
+            wanted.append(F.struct(F.lit(i).alias("i"), at.alias("at"), rank.alias("rank"), "lo", "hi"))
+    targets = span.where("total > 0").select(F.inline(F.array(*wanted)))
+    for _ in range(steps):
+        targets = _narrowed(counts, targets)
+    rest = counts.join(F.broadcast(targets), F.col("v").between(F.col("lo"), F.col("hi")))
+    upto = F.sum("n").over(Window.partitionBy("i").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    below = F.col("upto") - F.col("n")
+    found = rest.withColumn("upto", upto).where((below <= F.col("rank")) & (F.col("upto") > F.col("rank")))
+    out = []
+    for k, name in enumerate(names):
+        low, high = (F.max(F.when(F.col("i") == 2 * k + j, F.col("v"))) for j in (0, 1))
+        at = F.max(F.when(F.col("i") == 2 * k, F.col("at")))
+        part = at - F.floor(at)
+        out.append(F.when(low == high, low).otherwise((1 - part) * low + part * high).alias(name))
+    return found.agg(*out)
 
 
 def within_bounds(df: DataFrame, col: str, bounds: DataFrame, lo: str, hi: str) -> DataFrame:

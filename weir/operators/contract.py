@@ -43,6 +43,17 @@ def conform(df: DataFrame, contract: Contract) -> DataFrame:
     )
 
 
+def checks(contract: Contract) -> list[tuple[str, str, Column]]:
+    """(rule, column, condition of a breach) of every check on single rows."""
+    out: list[tuple[str, str, Column]] = []
+    for c in contract.columns:
+        if not c.nullable or c.name in contract.key:
+            out.append(("not_null", c.name, F.col(c.name).isNull()))
+        if c.max_len is not None:
+            out.append(("max_length", c.name, F.length(F.col(c.name)) > c.max_len))
+    return out
+
+
 def violations(df: DataFrame, contract: Contract) -> DataFrame:
     """Rows ``(table_name, rule, column_name, violations)``, one per check.
 
@@ -51,23 +62,17 @@ def violations(df: DataFrame, contract: Contract) -> DataFrame:
     group carries its row count and per-check counts, and a global sum over
     the groups gives every figure. Without a key it is one global aggregate.
     """
-    checks: list[tuple[str, str, Column]] = []
-    key_cols = set(contract.key)
-    for c in contract.columns:
-        if not c.nullable or c.name in key_cols:
-            checks.append(("not_null", c.name, F.col(c.name).isNull()))
-        if c.max_len is not None:
-            checks.append(("max_length", c.name, F.length(F.col(c.name)) > c.max_len))
-    if not checks and not contract.key:
+    found = checks(contract)
+    if not found and not contract.key:
         raise ValueError(f"contract {contract.table} declares no checks")
-    counts = [F.count_if(cond).alias(f"_c{i}") for i, (_, _, cond) in enumerate(checks)]
+    counts = [F.count_if(cond).alias(f"_c{i}") for i, (_, _, cond) in enumerate(found)]
     if contract.key:
         groups = df.groupBy(*contract.key).agg(F.count(F.lit(1)).alias("_n"), *counts)
         totals = groups.agg(
-            *[F.sum(f"_c{i}").alias(f"_c{i}") for i in range(len(checks))],
+            *[F.sum(f"_c{i}").alias(f"_c{i}") for i in range(len(found))],
             F.sum(F.col("_n") - 1).alias("_dup"),
         )
-        checks.append(("unique", ",".join(contract.key), None))
+        found.append(("unique", ",".join(contract.key), None))
     else:
         totals = df.agg(*counts)
     items = [
@@ -76,7 +81,7 @@ def violations(df: DataFrame, contract: Contract) -> DataFrame:
             F.lit(col).alias("column_name"),
             F.coalesce(F.col("_dup" if cond is None else f"_c{i}"), F.lit(0)).cast("bigint").alias("violations"),
         )
-        for i, (rule, col, cond) in enumerate(checks)
+        for i, (rule, col, cond) in enumerate(found)
     ]
     return totals.select(F.inline(F.array(*items))).select(
         F.lit(contract.table).alias("table_name"), "rule", "column_name", "violations"

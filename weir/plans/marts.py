@@ -7,15 +7,19 @@ one day, which is what a daily run replaces with ``replace_date``.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from weir import schemas
 from weir.functions.docs import TIER_PREMIUM
 from weir.functions.temporal import as_date, on_day, up_to_day
+from weir.operators.contract import conform
 from weir.operators.dedup import distinct_values
 from weir.operators.setops import union_distinct
 from weir.operators.unnest import unnest_outer
+from weir.sinks.dated import DatedTable
 
 
 def _minutes(seconds_sum):
@@ -84,6 +88,19 @@ def watch_activity_daily_per_session(
     )
 
 
+def refresh_watch_activity(sessions: DatedTable, mart: DatedTable, days: Sequence[dt.date]) -> None:
+    """Recompute the daily mart of ``days`` from the stored sessions and put
+    them in place together (PIP-12, SNK-4). With the days that a load of the
+    sessions changed (``DatedTable.upsert``), a session that comes late, moves
+    to another day or changes its values corrects the days it belongs to and
+    belonged to; other days are neither read nor written."""
+    if days:
+        contract = schemas.WATCH_ACTIVITY_DAILY
+        stored = sessions.read(days)
+        rows = {r[0]: r[1] for r in stored.groupBy(sessions.date_col).count().collect()}  # at most one a day
+        mart.replace_days(conform(watch_activity_daily(stored), contract), days, contract, rows)
+
+
 def known_users(cases: DataFrame, reports: DataFrame) -> DataFrame:
     """Users seen in either table at any time (SET-1, DED-4)."""
     return union_distinct(distinct_values(cases, "user_id"), distinct_values(reports, "user_id"))

@@ -423,3 +423,66 @@ ORACLE["load_rejects"] = """SELECT CASE event_id % 10 WHEN 7 THEN 'malformed' WH
 FROM events GROUP BY 1"""
 
 ORACLE["load_support_abuse_daily"] = ORACLE["support_and_abuse_daily"]
+
+
+# ---- loads with rejects, tables by event date, streams with faults ---------------
+
+_CHUNK = "(p_partkey // 8)"
+ORACLE["load_flat_pets"] = ORACLE["flat_pets"] + "\nWHERE conv_id % 5 <> 3"
+ORACLE["load_flat_foods"] = ORACLE["flat_foods"] + f"\nWHERE {_CHUNK} % 7 <> 5"
+
+
+def _count(source: str, reason: str, what: str, rows: str) -> str:
+    return f"SELECT '{source}' AS source, '{reason}' AS reason, {what} AS records FROM {rows}"
+
+
+ORACLE["load_rejects_counted"] = f"""WITH {IOT}, good AS (SELECT * FROM iot WHERE seq % 11 <> 4),
+{_window('good', 'w')}, {_batch('w', 'b', INC_BATCH)}
+""" + "\nUNION ALL\n".join(
+    [
+        _count("pets", "loaded", "count(*)", "conversations WHERE conv_id % 5 <> 3"),
+        _count("pets", "malformed", "count(*)", "(SELECT DISTINCT conv_id, turn // 4 FROM conversations WHERE conv_id % 5 = 3)"),
+        _count("foods", "loaded", "count(*)", f"part WHERE {_CHUNK} % 7 <> 5"),
+        _count("foods", "malformed", "count(*)", f"(SELECT DISTINCT {_CHUNK} FROM part WHERE {_CHUNK} % 7 = 5)"),
+        _count("full", "loaded", "count(*)", "good"),
+        _count("full", "bad date", "count(*)", "iot WHERE seq % 11 = 4"),
+        _count("incremental", "loaded", "count(*)", "b"),
+        _count("incremental", "bad date", "count(*)", "iot WHERE seq % 11 = 4"),
+    ]
+)
+
+_L1, _L2 = "TIMESTAMP '2024-02-01 00:00:00'", "TIMESTAMP '2024-02-02 00:00:00'"
+
+ORACLE["load_dated_events"] = f"""SELECT r.*, CAST("timestamp" AS DATE) AS event_date,
+       CASE right(event_id, 1) WHEN '3' THEN {_L2} ELSE {_L1} END AS created_at,
+       CASE WHEN right(event_id, 1) IN ('3', '5') THEN {_L2} ELSE {_L1} END AS updated_at
+FROM ({ORACLE['raw_playback_events']}) r"""
+
+ORACLE["refresh_watch_activity"] = ORACLE["watch_activity_daily"]
+
+
+def _streamed(rows: str, key: str, stamp: str) -> str:
+    """A collection whose keys ending in 0-4 come with the first export."""
+    return f"""SELECT r.*, CASE WHEN right({key}, 1) IN ('0', '1', '2', '3', '4') THEN {_L1} ELSE {_L2} END AS {stamp}
+FROM ({rows}) r"""
+
+
+for _stream, _rows, _key, _stamp in (
+    ("stream_ingest_events", "raw_playback_events", "event_id", "created_at"),
+    ("stream_ingest_cases", "raw_support_cases", "ticket_id", "loaded_at"),
+    ("stream_ingest_recommendations", "raw_recommendations", "user_id", "created_at"),
+    ("stream_ingest_reports", "raw_reports", "review_id", "created_at"),
+):
+    ORACLE[_stream] = _streamed(ORACLE[_rows], _key, _stamp)
+
+ORACLE["stream_ingest_replayed"] = f"""SELECT CASE WHEN event_id % 10 IN (1, 7) THEN 'changed' ELSE event_type END AS event_type,
+       CASE WHEN event_id % 10 = 7 THEN {_L2} ELSE {_L1} END AS created_at,
+       CASE WHEN event_id % 10 IN (1, 7) THEN {_L2} ELSE {_L1} END AS updated_at, count(*) AS records
+FROM events GROUP BY ALL
+UNION ALL
+SELECT 'malformed', NULL, NULL, count(*) FROM events WHERE event_id % 10 = 7"""
+
+ORACLE["stream_last_readings"] = """WITH r AS (
+  SELECT date_trunc('hour', ts) AS noted_date, 'dev_' || user_id AS device_id, value, event_id FROM events)
+SELECT noted_date, device_id, arg_max(value, event_id) AS temperature, max(event_id) AS seq
+FROM r WHERE noted_date <= (SELECT max(noted_date) FROM r) - INTERVAL 7 DAY GROUP BY noted_date, device_id"""

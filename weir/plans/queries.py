@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weir import schemas
-from weir.sinks import audit
+from weir.sinks import audit, rejects
 from weir.functions.docs import json_text, json_text_nonempty, number_or_null, subscription_tier, text_or_null
 from weir.functions.text import prefix, suffix
 from weir.functions.temporal import on_day
@@ -25,7 +25,8 @@ from weir.operators.unnest import unnest, unnest_outer
 from weir.plans import documents, marts, raw, temperature
 from weir.session import prepare, run_dir
 from weir import streaming
-from weir.sinks.tables import KeyBucketedTable, SnapshotTable, append, read_partitioned, replace_date, replace_dates
+from weir.sinks.dated import DatedTable
+from weir.sinks.tables import KeyBucketedTable, SnapshotTable, _delete, _list_names, append, read_partitioned, replace_date, replace_dates
 from weir.sources import shaped
 from weir.sources.files import CORRUPT, SRC, read_collection, read_iot_csv
 
@@ -444,8 +445,8 @@ def load_partition_replace(spark, d):
     sessions = stored.read()
     mart = f"{root}/marts/watch_activity_daily"
     replace_dates(marts.watch_activity_daily(sessions), mart, "activity_date", spread_by=["user_id"])
-    replace_date(marts.watch_activity_daily(sessions, RERUN_DS), mart, "activity_date", RERUN_DS)
-    replace_date(marts.watch_activity_daily(sessions, RERUN_DS), mart, "activity_date", RERUN_DS)
+    for _ in range(2):
+        replace_date(marts.watch_activity_daily(sessions, RERUN_DS), mart, "activity_date", RERUN_DS, schemas.WATCH_ACTIVITY_DAILY)
     kept = sessions.filter(~on_day("start_time", RETRACTED_DS))
     replace_date(marts.watch_activity_daily(kept, RETRACTED_DS), mart, "activity_date", RETRACTED_DS)
     return read_partitioned(spark, mart, "activity_date")
@@ -484,7 +485,7 @@ def _load_raw(spark, docs, schema, build, contract) -> DataFrame:
     (key,) = contract.key
     table = SnapshotTable(spark, f"{root}/raw")
     part = F.substring(key, -1, 1).isin(*FIRST_LOAD)
-    for n, (some, at) in enumerate(((docs.where(part), LOAD_1), (docs, LOAD_2))):
+    for n, (some, at) in enumerate(((docs.where(part), LOAD_1), (docs, LOAD_2))):  # the second load updates the first's keys
         some.orderBy(SRC).drop(SRC).write.json(f"{root}/export-{n}")  # first in source order wins
         raw.load_collection(spark, read_collection(spark, f"{root}/export-{n}", schema), build, contract, table, at, f"{root}/rejects")
     return raw.as_json_text(table.read())
@@ -549,33 +550,242 @@ def load_support_abuse_daily(spark, d):
     mart = run_dir(spark, "support_abuse") + "/support_and_abuse_daily"
     for _ in range(2):
         rows = marts.support_and_abuse_daily(cases, reports, SNAPSHOT_DS)
-        replace_date(rows, mart, rows.columns[0], SNAPSHOT_DS)
+        replace_date(rows, mart, rows.columns[0], SNAPSHOT_DS, schemas.SUPPORT_AND_ABUSE_DAILY)
     return read_partitioned(spark, mart, rows.columns[0])
 
 
+def _pets_rejects(spark, d, root: str) -> dict[str, int]:
+    docs = shaped.pets_json_rows(_t(spark, d, "conversations"), cut=True)
+    return documents.load_pets(docs, f"{root}/pets", f"{root}/rejects/pets", FULL_BATCH)
+
+
+def _foods_rejects(spark, d, root: str) -> dict[str, int]:
+    docs = shaped.foods_xml_rows(_t(spark, d, "part"), nested=True, cut=True)
+    return documents.load_foods(docs, f"{root}/foods", f"{root}/rejects/foods", FULL_BATCH)
+
+
+@query
+def load_flat_pets(spark, d):
+    """PIP-1 / SNK-1 load: pets appended, cut documents put aside."""
+    root = run_dir(spark, "load_flat_pets")
+    _pets_rejects(spark, d, root)
+    return spark.read.parquet(f"{root}/pets")
+
+
+@query
+def load_flat_foods(spark, d):
+    """PIP-2 / SNK-1 load (XML-1): foods at any depth appended, cut documents
+    put aside."""
+    root = run_dir(spark, "load_flat_foods")
+    _foods_rejects(spark, d, root)
+    return spark.read.parquet(f"{root}/foods")
+
+
+@query
+def load_rejects_counted(spark, d):
+    """SRC-3, SRC-4, DAT-2, FIL-2: cut JSON, cut XML and days that do not exist,
+    each counted and stored as rejects; every load runs twice, which leaves
+    its rejects as they are."""
+    root = run_dir(spark, "load_rejects_counted")
+    readings = shaped.iot_readings(_t(spark, d, "events"), bad_dates=True)
+    out = []
+    for _ in range(2):
+        pets, foods = _pets_rejects(spark, d, root), _foods_rejects(spark, d, root)
+        full = temperature.full_load(spark, readings, f"{root}/full", FULL_BATCH, FULL_LOADED_AT)
+        run = temperature.incremental_load(spark, readings, f"{root}/inc", INC_START, clock=lambda: INC_END)
+        out = [("pets", pets["loaded"]), ("foods", foods["loaded"]), ("full", full), ("incremental", run["loaded"])]
+    paths = {"pets": "rejects/pets", "foods": "rejects/foods", "full": "full/rejects", "incremental": "inc/rejects"}
+    counted = spark.createDataFrame([(s, "loaded", n) for s, n in out], "source string, reason string, records long")
+    for source, path in paths.items():
+        refused = rejects.read(spark, f"{root}/{path}").where("record is not null")
+        counted = counted.unionByName(
+            refused.groupBy(F.lit(source).alias("source"), "reason").agg(F.count(F.lit(1)).alias("records"))
+        )
+    return counted
+
+
+#: Orders from this day on come late or a day off in the first export.
+LATE_FROM = dt.date(1998, 6, 1)
+
+
+def _late_sessions(spark, d) -> tuple[DataFrame, DataFrame]:
+    """Two exports of the sessions: of the orders since ``LATE_FROM``, the first
+    lacks those whose key ends in 3 and has those ending in 5 a day late; the
+    second has these two, right."""
+    orders, lineitem = _t(spark, d, "orders", "lineitem")
+    recent, digit = F.col("o_orderdate") >= F.lit(LATE_FROM), F.pmod("o_orderkey", F.lit(10))
+    moved = F.when(recent & (digit == 5), F.col("o_orderdate") + F.make_dt_interval(F.lit(1))).otherwise(F.col("o_orderdate"))
+    first = orders.where(~(recent & (digit == 3))).withColumn("o_orderdate", moved.cast(orders.schema["o_orderdate"].dataType))
+    second = orders.where(recent & digit.isin(3, 5))
+    return shaped.watch_session_docs(first, lineitem), shaped.watch_session_docs(second, lineitem)
+
+
+@query
+def load_dated_events(spark, d):
+    """SRC-5 / SNK-3: playback events kept by event date; the second load
+    brings events that were missing and moves others to the day before, each
+    of which is there once."""
+    docs = shaped.playback_event_docs(_t(spark, d, "events"))
+    digit = F.substring("event_id", -1, 1)
+    at = F.col("timestamp").cast("timestamp")
+    late = F.when(digit == "5", shaped.iso_text(at + F.make_dt_interval(F.lit(1)), F.lit(0))).otherwise(F.col("timestamp"))
+    table = DatedTable(spark, run_dir(spark, "load_dated") + "/playback_events_raw", ["event_id"], event_time="timestamp")
+    contract = schemas.PLAYBACK_EVENTS_RAW
+    for part, load in ((docs.where(digit != "3").withColumn("timestamp", late), LOAD_1), (docs.where(digit.isin("3", "5")), LOAD_2)):
+        insert_only, stamps = raw.ingest_stamps(_lit_ts(load), contract)
+        table.upsert(raw.playback_events(part), insert_only=insert_only, stamps=stamps, contract=contract)
+    return raw.as_json_text(table.read())
+
+
+@query
+def refresh_watch_activity(spark, d):
+    """PIP-12 / SNK-4: the mart follows the loads of the sessions, recomputing
+    the days that each of them changed."""
+    root = run_dir(spark, "refresh")
+    contract = schemas.WATCH_SESSIONS_RAW
+    table = DatedTable(spark, f"{root}/raw/watch_sessions_raw", ["session_id"], event_time="start_time", cluster_by=["user_id"])
+    mart = DatedTable(spark, f"{root}/marts/watch_activity_daily", ["activity_date", "user_id"], "activity_date")
+    for docs, at in zip(_late_sessions(spark, d), (LOAD_1, LOAD_2)):
+        insert_only, stamps = raw.ingest_stamps(_lit_ts(at), contract)
+        changes = table.upsert(raw.watch_sessions(docs), insert_only=insert_only, stamps=stamps, contract=contract)
+        marts.refresh_watch_activity(table, mart, changes.days)
+    return mart.read()
+
+
 # ---- streaming drivers -----------------------------------------------------------
 
 
+def _stream_raw(spark, name: str, parts, schema, build, contract, table, replay: bool = False) -> tuple[DataFrame, str]:
+    """Exports written and ingested one after the other; with ``replay``, the
+    stream forgets its last commit and runs again after each."""
+    root = run_dir(spark, name)
+    table = table(f"{root}/raw")
+    src, ckpt = f"{root}/export", f"{root}/_checkpoint"
+    for lines, load_time in zip(parts, (LOAD_1, LOAD_2)):
+        lines.write.mode("append").text(src)
+        for again in range(2 if replay else 1):
+            at = load_time + again * dt.timedelta(days=30)
+            stream = streaming.collection_stream(spark, src, schema)
+            streaming.ingest_stream(
+                stream, build, table, contract.key, ckpt, clock=lambda t=at: t, contract=contract, rejects_path=f"{root}/rejects"
+            ).awaitTermination()
+            if replay:
+                forget_last_commit(spark, ckpt)
+    return table.read(), f"{root}/rejects"
+
+
+def forget_last_commit(spark, checkpoint: str) -> None:
+    """Leave a stream as a driver does that is lost after a batch was stored
+    and before Spark noted it: the batch is run again."""
+    last = max((int(n) for n in _list_names(spark, f"{checkpoint}/commits") if n.isdigit()), default=None)
+    if last is not None:
+        _delete(spark, f"{checkpoint}/commits/{last}")
+        _delete(spark, f"{checkpoint}/commits/.{last}.crc")
+
+
+def _export_lines(docs: DataFrame, key: str) -> list[DataFrame]:
+    """Documents as JSON lines in two exports by the last digit of their key,
+    with a cut copy of every tenth key's line between them."""
+    line = F.to_json(F.struct(*[c for c in docs.columns if c != SRC]))
+    digit = F.substring(key, -1, 1)
+    texts = F.when(digit == "7", F.array(F.left(line, F.length(line) - 2), line)).otherwise(F.array(line))
+    both = docs.orderBy(SRC).select(digit.isin(*FIRST_LOAD).alias("early"), F.explode(texts).alias("value"))
+    return [both.where("early").select("value"), both.where("not early").select("value")]
+
+
+def _snapshot(spark):
+    return lambda path: SnapshotTable(spark, path)
+
+
 @query
 def stream_ingest_sessions(spark, d):
     """STM-1: the sessions export as a file stream; two runs, the second
     picks up only the files exported since the first, each micro-batch
-    upserted into the key-bucketed raw table (a micro-batch rewrites only
-    the buckets its sessions fall in)."""
-    orders, lineitem = _t(spark, d, "orders", "lineitem")
-    docs = shaped.watch_session_docs(orders, lineitem).drop(SRC)
-    root = run_dir(spark, "stream_ingest")
-    src, ckpt = root + "/exports/WatchSessions", root + "/_checkpoints/watch_sessions"
-    table = KeyBucketedTable(
-        spark, root + "/raw/watch_sessions_raw", ["session_id"], UPSERT_BUCKETS, cluster_by=["start_time"]
+    upserted into the raw table."""
+    docs = shaped.watch_session_docs(*_t(spark, d, "orders", "lineitem"))
+    parts = _export_lines(docs, "session_id")
+    rows, _ = _stream_raw(spark, "stream_sessions", parts, schemas.WATCH_SESSIONS, raw.watch_sessions, schemas.WATCH_SESSIONS_RAW, _snapshot(spark))
+    return raw.as_json_text(rows.drop("created_at", "updated_at"))
+
+
+@query
+def stream_ingest_events(spark, d):
+    """STM-1, PIP-8: playback events, into a table kept by event date."""
+    docs = shaped.playback_event_docs(_t(spark, d, "events"))
+    parts = _export_lines(docs, "event_id")
+    table = lambda path: DatedTable(spark, path, ["event_id"], event_time="timestamp")
+    rows, _ = _stream_raw(spark, "stream_events", parts, schemas.PLAYBACK_EVENTS, raw.playback_events, schemas.PLAYBACK_EVENTS_RAW, table)
+    return raw.as_json_text(rows.drop("event_date", "updated_at"))
+
+
+@query
+def stream_ingest_cases(spark, d):
+    """STM-1, PIP-9: support cases."""
+    docs = shaped.support_case_docs(*_t(spark, d, "orders", "lineitem"))
+    parts = _export_lines(docs, "ticket_id")
+    rows, _ = _stream_raw(spark, "stream_cases", parts, schemas.SUPPORT_CASES, raw.support_cases, schemas.SUPPORT_CASES_RAW, _snapshot(spark))
+    return raw.as_json_text(rows)
+
+
+@query
+def stream_ingest_recommendations(spark, d):
+    """STM-1, PIP-10: recommendations."""
+    docs = shaped.recommendation_docs(*_t(spark, d, "orders", "lineitem"))
+    parts = _export_lines(docs, "user_id")
+    contract = schemas.CONTENT_RECOMMENDATIONS_RAW
+    rows, _ = _stream_raw(spark, "stream_recommendations", parts, schemas.CONTENT_RECOMMENDATIONS, raw.recommendations, contract, _snapshot(spark))
+    return raw.as_json_text(rows.drop("updated_at"))
+
+
+@query
+def stream_ingest_reports(spark, d):
+    """STM-1, PIP-11: abuse reports."""
+    docs = shaped.abuse_report_docs(*_t(spark, d, "orders", "lineitem"))
+    parts = _export_lines(docs, "review_id")
+    rows, _ = _stream_raw(spark, "stream_reports", parts, schemas.ABUSE_REPORTS, raw.abuse_reports, schemas.ABUSE_REPORTS_RAW, _snapshot(spark))
+    return raw.as_json_text(rows.drop("updated_at"))
+
+
+@query
+def stream_ingest_replayed(spark, d):
+    """STM-1: cut lines are refused and counted, a key that comes again takes
+    the later batch, and a batch that Spark runs again after it was stored
+    changes nothing, its stamps included."""
+    docs = shaped.playback_event_docs(_t(spark, d, "events"))
+    line = F.to_json(F.struct(*[c for c in docs.columns if c != SRC]))
+    changed = F.to_json(F.struct("event_id", "timestamp", F.lit("changed").alias("event_type"), "details"))
+    digit = F.substring("event_id", -1, 1)
+    parts = [
+        docs.select(F.when(digit == "7", F.left(line, F.length(line) - 2)).otherwise(line).alias("value")),
+        docs.where(digit.isin("1", "7")).select(changed.alias("value")),
+    ]
+    rows, refused = _stream_raw(
+        spark, "stream_replayed", parts, schemas.PLAYBACK_EVENTS, raw.playback_events, schemas.PLAYBACK_EVENTS_RAW, _snapshot(spark), replay=True
     )
-    early = F.substring("start_time", 1, 4) < F.lit("1998")
-    for part, load_time in ((docs.filter(early), LOAD_1), (docs.filter(~early), LOAD_2)):
-        part.write.mode("append").json(src)
-        stream = streaming.collection_stream(spark, src, schemas.WATCH_SESSIONS)
-        run = streaming.ingest_stream(stream, raw.watch_sessions, table, ["session_id"], ckpt, clock=lambda t=load_time: t)
-        run.awaitTermination()
-    return raw.as_json_text(table.read().drop("created_at", "updated_at"))
+    loaded = rows.groupBy("event_type", "created_at", "updated_at").agg(F.count(F.lit(1)).alias("records"))
+    cut = rejects.read(spark, refused).groupBy(F.col("reason").alias("event_type")).agg(F.count(F.lit(1)).alias("records"))
+    return loaded.unionByName(cut, allowMissingColumns=True)
+
+
+@query
+def stream_last_readings(spark, d):
+    """STM-2 / DED-2: the last reading per (hour, device) of a stream, once the
+    watermark has passed the hour; the export comes in four files by day, one a
+    trigger."""
+    root = run_dir(spark, "stream_last")
+    src, out = f"{root}/readings", f"{root}/last"
+    readings = _t(spark, d, "events").select(
+        F.date_trunc("hour", F.col("ts")).cast("timestamp").alias("noted_date"),
+        F.concat(F.lit("dev_"), F.col("user_id").cast("string")).alias("device_id"),
+        F.col("value").alias("temperature"),
+        F.col("event_id").alias("seq"),
+    )
+    for lo, hi in zip((1, 9, 17, 25), (9, 17, 25, 32)):
+        readings.where((F.dayofmonth("noted_date") >= lo) & (F.dayofmonth("noted_date") < hi)).coalesce(1).write.mode("append").parquet(src)
+    stream = spark.readStream.schema(readings.schema).option("maxFilesPerTrigger", 1).parquet(src)
+    last = streaming.last_within(stream, ["noted_date", "device_id"], "noted_date", ["seq"])
+    streaming.append_stream(last, out, f"{root}/_checkpoint").awaitTermination()
+    return spark.read.parquet(out)
 
 
 @query

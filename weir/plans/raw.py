@@ -12,6 +12,7 @@ order (``_src`` from the file scan, or any declared order columns).
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,11 +21,13 @@ from pyspark.sql import functions as F
 from weir import schemas
 from weir.functions.docs import json_text, safe_size, subscription_tier
 from weir.functions.temporal import parse_instant, seconds_between
-from weir.operators.contract import conform, violations
+from weir.operators.contract import conform
 from weir.operators.dedup import keep_first
-from weir.session import run_dir
-from weir.sinks.tables import SnapshotTable, append
-from weir.sources.files import SRC, split_rejects
+from weir.sinks import rejects
+from weir.sinks.audit import counted
+from weir.sinks.dated import DatedTable
+from weir.sinks.tables import SnapshotTable
+from weir.sources.files import SRC
 
 # Statuses that close a support case.
 CLOSED_STATUSES = ("resolved", "closed")
@@ -135,38 +138,39 @@ def ingest_stamps(run_time: Column, contract=None) -> tuple[dict[str, Column], d
     return {"created_at": run_time}, {"updated_at": run_time}
 
 
+def load_id(run_time: dt.datetime) -> str:
+    """The name of a load in the rejects folder."""
+    return run_time.strftime("%Y%m%dT%H%M%S%f")
+
+
 def load_collection(
     spark: SparkSession,
     docs: DataFrame,
     build: Callable[[DataFrame], DataFrame],
     contract,
-    table: SnapshotTable,
+    table: SnapshotTable | DatedTable,
     run_time: dt.datetime,
-    rejects: str | None = None,
+    rejects_path: str | None = None,
 ) -> dict[str, int]:
     """One load of a document collection (PIP-7..PIP-11, SNK-3, SNK-7, SNK-8).
 
-    Documents that are malformed or have no key go to the ``rejects`` folder
-    and are counted; the others are built, one per key (the first in source
-    order wins within a load; across loads the later load wins), staged, held
-    against the contract (a breach fails the run before anything is stored)
-    and upserted with the target's stamps. Returns the counts.
+    The documents are parsed and written aside once; malformed ones and those
+    without a key go to ``rejects_path`` under the name of the load, counted by
+    the same write. The others are built, one per key (the first in source
+    order wins within a load; across loads the later load wins), and upserted
+    with the target's stamps in a single pass, which also holds them against
+    the contract: a breach fails the load, and nothing is published. A load
+    that runs again (same ``run_time``) replaces its rejects. Returns the
+    counts of keys loaded and documents rejected.
     """
     (key,) = contract.key
-    good, bad = split_rejects(docs, key)
-    stage = run_dir(spark, f"load-{contract.table}")
-    bad.withColumn("load_time", F.lit(run_time).cast("timestamp")).write.parquet(f"{stage}/rejects")
-    refused = spark.read.parquet(f"{stage}/rejects")
-    build(good).write.parquet(f"{stage}/rows")
-    rows = spark.read.parquet(f"{stage}/rows")
-    broken = [r for r in violations(rows, contract).where("violations > 0").collect()]  # one row per check
-    if broken:
-        raise ValueError(f"{contract.table}: " + ", ".join(f"{r.rule}({r.column_name}) {r.violations}x" for r in broken))
+    part = rejects.split(rejects.mark_documents(docs, key), contract.table)
+    if rejects_path:
+        rejects.store(part, rejects_path, load_id(run_time))
+    rows, obs = counted(build(part.rows), f"load-{contract.table}-{uuid.uuid4().hex}")
     insert_only, stamps = ingest_stamps(F.lit(run_time).cast("timestamp"), contract)
-    table.upsert(rows, [key], insert_only=insert_only, stamps=stamps)
-    if rejects:
-        append(refused, rejects)
-    return {"loaded": rows.count(), "rejected": refused.count()}
+    table.upsert(rows, [key], insert_only=insert_only, stamps=stamps, contract=contract)
+    return {"loaded": int(obs.get["rows"]), "rejected": part.rejected}
 
 
 def as_json_text(df: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ any others), plus ``_src`` for file order.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,7 +23,7 @@ from weir.operators.contract import conform
 from weir.operators.dedup import keep_last
 from weir.operators.ranking import bottom_k, top_k
 from weir.operators.setops import union_distinct
-from weir.sinks import audit
+from weir.sinks import audit, rejects
 from weir.sinks.tables import SnapshotTable
 from weir.sources.files import SRC
 
@@ -96,7 +97,8 @@ def temperature_extremes(csv: DataFrame, k: int = 5, qs=(0.05, 0.95), fmt: str =
 
 def load_extremes(table: SnapshotTable, extremes: DataFrame) -> int:
     """Upsert by day; days that stop being extreme stay (Q13)."""
-    return table.upsert(conform(extremes, schemas.TEMPERATURE_DAILY_STATS), ["day"])
+    contract = schemas.TEMPERATURE_DAILY_STATS
+    return table.upsert(conform(extremes, contract), ["day"], contract=contract)
 
 
 # ---- shared cleaning ---------------------------------------------------------
@@ -111,9 +113,17 @@ def _opt(df: DataFrame, name: str) -> Column:
     return F.col(name) if name in df.columns else F.lit(None).cast("string")
 
 
+def marked(csv: DataFrame, fmt: str = IOT_TS_FORMAT, strip: bool = True) -> DataFrame:
+    """Normalised names and the timestamp parsed leniently; a row without a
+    valid timestamp gets ``_reason`` and, as ``_record``, its columns (PRJ-1, DAT-2, FIL-2)."""
+    df = normalised(csv, strip)
+    body = F.to_json(F.struct(*[c for c in df.columns if c != SRC]))
+    df = df.withColumn("_body", body).withColumn("noted_date", parse_ts_lenient("noted_date", fmt))
+    return rejects.mark(df, F.when(F.col("noted_date").isNull(), rejects.BAD_DATE), F.col("_body")).drop("_body")
+
+
 def parsed(csv: DataFrame, fmt: str = IOT_TS_FORMAT, strip: bool = True) -> DataFrame:
-    """Normalised names, lenient timestamp parse, unparsable rows dropped
-    (PRJ-1, DAT-2, FIL-2)."""
+    """The rows of ``marked`` with a timestamp; the loads count the others."""
     df = normalised(csv, strip)
     return df.withColumn("noted_date", parse_ts_lenient("noted_date", fmt)).dropna(subset=["noted_date"])
 
@@ -121,16 +131,20 @@ def parsed(csv: DataFrame, fmt: str = IOT_TS_FORMAT, strip: bool = True) -> Data
 # ---- full load (PIP-4) -------------------------------------------------------
 
 
+def _clean(df: DataFrame, id_suffix: int) -> list[Column]:
+    return [
+        F.col("noted_date"),
+        number_or_null(_opt(df, "temp")).alias("temperature"),
+        F.coalesce(_opt(df, "out_in"), F.lit(UNKNOWN_LOCATION)).alias("location"),
+        suffix(_opt(df, "id"), id_suffix).alias("device_id"),
+    ]
+
+
 def full_clean(csv: DataFrame, fmt: str = IOT_TS_FORMAT, id_suffix: int = 10) -> DataFrame:
     """Rows for the full load: timestamp, temperature, location, device id
     (last ``id_suffix`` characters of ``id``) (STR-1, STR-4, Q7, Q8, Q18)."""
     df = parsed(csv, fmt, strip=False)
-    return df.select(
-        "noted_date",
-        number_or_null(_opt(df, "temp")).alias("temperature"),
-        F.coalesce(_opt(df, "out_in"), F.lit(UNKNOWN_LOCATION)).alias("location"),
-        suffix(_opt(df, "id"), id_suffix).alias("device_id"),
-    )
+    return df.select(*_clean(df, id_suffix))
 
 
 def full_load(
@@ -140,17 +154,20 @@ def full_load(
     batch_id: str,
     loaded_at: dt.datetime,
     fmt: str = IOT_TS_FORMAT,
+    id_suffix: int = 10,
 ) -> int:
-    """Clean -> staging -> final table, atomically replaced, plus one audit
-    row with the staging row count (SNK-2, SNK-5, SNK-9). Returns the count."""
-    staging = SnapshotTable(spark, f"{root}/staging_temperature")
-    rows, obs = audit.counted(conform(full_clean(csv, fmt), schemas.TEMPERATURE_FULL), "staging_rows")
-    staging.replace(rows)
-    count = int(obs.get["rows"])
+    """Parse -> staging -> final table, atomically replaced, plus one audit row
+    with the staging row count (SNK-2, SNK-5, SNK-9). Rows without a valid
+    timestamp go to ``rejects`` under the batch, counted by the staging write;
+    a breach of the contract publishes nothing. Returns the rows loaded."""
+    part = rejects.split(marked(csv, fmt, strip=False), "temperature-full")
+    rejects.store(part, f"{root}/rejects", batch_id)
+    contract = schemas.TEMPERATURE_FULL
+    rows = conform(part.rows.select(*_clean(part.rows, id_suffix)), contract)
     final = SnapshotTable(spark, f"{root}/temperature_full")
-    final.replace(staging.read().withColumn("load_timestamp", F.lit(loaded_at).cast("timestamp")))
-    audit.record_full_load(spark, f"{root}/load_history", batch_id, count, loaded_at)
-    return count
+    final.replace(rows.withColumn("load_timestamp", F.lit(loaded_at).cast("timestamp")), contract)
+    audit.record_full_load(spark, f"{root}/load_history", batch_id, part.loaded, loaded_at)
+    return part.loaded
 
 
 # ---- incremental load (PIP-5, PIP-6) ----------------------------------------
@@ -161,6 +178,15 @@ def incremental_window(csv: DataFrame, days: int = 7, fmt: str = IOT_TS_FORMAT)
     return trailing_window(parsed(csv, fmt), "noted_date", days)
 
 
+def batch_of(
+    readings: DataFrame, batch_id: str, days: int = 7, order_by: Sequence[str] = (SRC,)
+) -> DataFrame:
+    """One incremental batch of parsed readings: the window's rows, last one
+    per (noted_date, device_id) in source order (DED-2)."""
+    rows = incremental_rows(trailing_window(readings, "noted_date", days), batch_id)
+    return conform(keep_last(rows, ["noted_date", "device_id"], list(order_by)), schemas.TEMPERATURE_INCREMENTAL)
+
+
 def with_fallback_id(window: DataFrame) -> DataFrame:
     """``_fallback``: ``row_<hash of the row's content>-<number among identical
     rows>`` for rows without an id (STR-5, Q9). It depends on content alone,
@@ -205,10 +231,8 @@ def incremental_batch(
     fmt: str = IOT_TS_FORMAT,
     order_by: Sequence[str] = (SRC,),
 ) -> DataFrame:
-    """One incremental batch: the window's rows, last one per
-    (noted_date, device_id) in source order (DED-2)."""
-    rows = incremental_rows(incremental_window(csv, days, fmt), batch_id)
-    return conform(keep_last(rows, ["noted_date", "device_id"], list(order_by)), schemas.TEMPERATURE_INCREMENTAL)
+    """``batch_of`` the readings of an export that have a timestamp."""
+    return batch_of(parsed(csv, fmt), batch_id, days, order_by)
 
 
 def load_incremental(table: SnapshotTable, batch: DataFrame, loaded_at: dt.datetime) -> int:
@@ -219,9 +243,34 @@ def load_incremental(table: SnapshotTable, batch: DataFrame, loaded_at: dt.datet
         ["noted_date", "device_id"],
         update_cols=["temperature", "location", "batch_id"],
         stamps={"load_timestamp": stamp},
+        contract=schemas.TEMPERATURE_INCREMENTAL,
     )
 
 
+def incremental_load(
+    spark: SparkSession,
+    csv: DataFrame,
+    root: str,
+    started: dt.datetime,
+    days: int = 7,
+    fmt: str = IOT_TS_FORMAT,
+    clock=None,
+) -> dict[str, int]:
+    """One run of the incremental load (PIP-5): the export is parsed once,
+    rows without a valid timestamp go to ``rejects`` under the batch, the
+    window's last rows are upserted by (noted_date, device_id), and the run is
+    logged. Returns the keys loaded and the rows rejected."""
+    batch_id = audit.incremental_batch_id(started)
+    table = SnapshotTable(spark, f"{root}/temperature_incremental")
+    with audit.audited_run(spark, f"{root}/load_history_incremental", "incremental", batch_id, clock=clock) as run:
+        part = rejects.split(marked(csv, fmt), "temperature-incremental")
+        rejects.store(part, f"{root}/rejects", batch_id)
+        batch, obs = audit.counted(batch_of(part.rows, batch_id, days), f"incremental-{batch_id}-{uuid.uuid4().hex}")
+        load_incremental(table, batch, started)
+        run["records"] = int(obs.get["rows"])
+    return {"loaded": run["records"], "rejected": part.rejected}
+
+
 def incremental_summary(target: DataFrame) -> DataFrame:
     """Row count, period, and mean / min / max temperature to 2 decimals, in
     one aggregate (PIP-6, AGG-8). An empty table gives a count of 0 and NULLs."""

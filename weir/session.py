@@ -58,7 +58,10 @@ def build_session(
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to a session created elsewhere."""
-    for key, value in RUNTIME_CONF.items():
+    # listing many folders: a few tasks a core (10,000 tasks otherwise, most of
+    # which start for a single folder on a small cluster)
+    listing = {"spark.sql.sources.parallelPartitionDiscovery.parallelism": str(4 * spark.sparkContext.defaultParallelism)}
+    for key, value in (RUNTIME_CONF | listing).items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
     return spark

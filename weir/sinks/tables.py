@@ -2,25 +2,31 @@
 
 * append: Spark's job commit adds the new files; a rerun duplicates (SNK-1).
 * snapshot tables (replace, upsert): every load writes a complete new version
-  directory ``v=<n>``, then publishes it by creating the marker file
+  directory, then publishes it by renaming a finished marker file to
   ``_commits/<n>``. Readers take the highest marker, so a failed or lost job
   never exposes a half-written table, and the version being read is never
-  the one being overwritten (SNK-2, SNK-3).
-* date-partitioned marts: one directory per date; replacing a date is a
-  static overwrite of that directory, which also clears it when the new
-  result is empty (SNK-4).
+  the one being overwritten (SNK-2, SNK-3). The marker also holds the ledger
+  of stream loads, so that a batch is in the table exactly once.
+* date-partitioned marts: one directory per date; a date is replaced by
+  swapping in a finished directory, also when the new result is empty (SNK-4).
+
+Contracts are held in the pass that writes a version (SNK-7): NULL and length
+checks are metrics of the write, uniqueness comes out of the upsert's own
+grouping. A breach deletes the new version; nothing is published.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import json
 import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from weir.operators.contract import Contract, checks
 from weir.session import run_dir
 
 # ---- tiny Hadoop FileSystem helpers (markers only, never data) -------------
@@ -44,14 +50,31 @@ def _delete(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def _rename(spark: SparkSession, old: str, new: str) -> None:
+    """Move a file or folder; fails where ``new`` exists."""
+    (source, _), (target, _) = _path(spark, old), _path(spark, new)
+    sc = spark.sparkContext
+    files = sc._jvm.org.apache.hadoop.fs.FileContext.getFileContext(source.toUri(), sc._jsc.hadoopConfiguration())
+    files.rename(source, target, sc._gateway.new_array(sc._jvm.org.apache.hadoop.fs.Options.Rename, 0))
+
+
 def _create_marker(spark: SparkSession, path: str, text: str) -> None:
-    p, fs = _path(spark, path)
-    out = fs.create(p, False)  # fails if another load already published it
-    out.writeBytes(text)
+    """Write a marker aside and rename it: a marker is never seen half-written,
+    and of two loads that publish the same version one fails."""
+    folder, name = path.rsplit("/", 1)
+    aside = f"{folder}/.{name}-{uuid.uuid4().hex}"
+    p, fs = _path(spark, aside)
+    out = fs.create(p, False)
+    out.write(bytearray(text.encode()))
     out.close()
+    try:
+        _rename(spark, aside, path)
+    finally:
+        _delete(spark, aside)
 
 
-def _read_marker(spark: SparkSession, path: str) -> str:
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small text file, whole."""
     p, fs = _path(spark, path)
     source = fs.open(p)
     try:
@@ -60,6 +83,13 @@ def _read_marker(spark: SparkSession, path: str) -> str:
         source.close()
 
 
+def _read_marker(spark: SparkSession, path: str) -> str:
+    text = read_text(spark, path)
+    if not text:
+        raise ValueError(f"empty marker {path}")
+    return text
+
+
 # ---- append ------------------------------------------------------------------
 
 
@@ -68,10 +98,95 @@ def append(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
+def append_held(df: DataFrame, path: str, contract: Contract) -> int:
+    """Append rows that are held against ``contract`` while they are written
+    aside; a breach appends nothing. Returns the rows appended."""
+    spark = df.sparkSession
+    path = path.rstrip("/")
+    aside = f"{path}/_staging-{uuid.uuid4().hex}"
+    rows, obs, names = held(df, contract)
+    rows.write.parquet(aside)
+    try:
+        refuse(obs, names)
+        attempt = uuid.uuid4().hex
+        for name in _list_names(spark, aside):
+            if not name.startswith(("_", ".")):
+                _rename(spark, f"{aside}/{name}", f"{path}/{attempt}-{name}")
+    finally:
+        _delete(spark, aside)
+    return int(obs.get["rows"])
+
+
 # ---- snapshot tables ---------------------------------------------------------
 
 
-class SnapshotTable:
+class ContractError(ValueError):
+    """Rows that breach the contract of their target."""
+
+
+#: Number of source rows of a key, in the output of ``merge_grouped``.
+SOURCES = "_sources"
+
+
+def held(df: DataFrame, contract: Contract | None, keys: Sequence[str] = ()) -> tuple[DataFrame, Observation, list[str]]:
+    """``df`` with metrics that fill in while it is written: ``rows`` and, per
+    check of ``contract`` but uniqueness, the rows that breach it (SNK-7).
+    With ``keys``, ``df`` is the outcome of an upsert: source rows without a
+    key and keys with several source rows are counted as well."""
+    found = [(f"{contract.table}: {rule}({col})", cond) for rule, col, cond in checks(contract)] if contract else []
+    if keys:
+        empty = F.lit(False)
+        for k in keys:
+            empty = empty | F.col(k).isNull()
+        found.append(("upsert source: rows without a key", empty & (F.col(SOURCES) > 0)))
+        found.append(("upsert source: keys more than once", ~empty & (F.col(SOURCES) > 1)))
+    obs = Observation(f"held-{uuid.uuid4().hex}")
+    counts = [F.count_if(cond).alias(f"c{i}") for i, (_, cond) in enumerate(found)]
+    return df.observe(obs, F.count(F.lit(1)).alias("rows"), *counts).drop(SOURCES), obs, [name for name, _ in found]
+
+
+def refuse(obs: Observation, names: Sequence[str]) -> None:
+    """Raise if a written frame breached one of its checks."""
+    got = obs.get
+    broken = [f"{name} {got[f'c{i}']}x" for i, name in enumerate(names) if got[f"c{i}"]]
+    if broken:
+        raise ContractError(", ".join(broken))
+
+
+class Published:
+    """A table whose versions are published by markers ``_commits/<n>``, each a
+    JSON object with what belongs to the version."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark = spark
+        self.root = root.rstrip("/")
+
+    def _versions(self) -> list[int]:
+        return sorted(int(n) for n in _list_names(self.spark, f"{self.root}/_commits") if n.isdigit())
+
+    def version(self) -> int | None:
+        return max(self._versions(), default=None)
+
+    def _state(self, version: int | None) -> dict:
+        if version is None:
+            return {}
+        return json.loads(_read_marker(self.spark, f"{self.root}/_commits/{version:020d}"))
+
+    def _publish(self, version: int, state: dict) -> None:
+        _create_marker(self.spark, f"{self.root}/_commits/{version:020d}", json.dumps(state))
+
+    def loaded(self, load: tuple[str, int]) -> bool:
+        """Whether the batch ``(stream, epoch)`` is part of the table: epochs of
+        a stream come in order, so the ledger is one number a stream."""
+        name, epoch = load
+        return self._state(self.version()).get("loads", {}).get(name, -1) >= epoch
+
+    @staticmethod
+    def _ledger(state: dict, load: tuple[str, int] | None) -> dict[str, int]:
+        return state.get("loads", {}) | ({load[0]: load[1]} if load else {})
+
+
+class SnapshotTable(Published):
     """A Parquet table replaced as a whole by each load.
 
     ``cluster_by`` names columns (typically the event time a daily mart
@@ -88,38 +203,53 @@ class SnapshotTable:
         schema: T.StructType | None = None,
         cluster_by: Sequence[str] = (),
     ):
-        self.spark = spark
-        self.root = root.rstrip("/")
+        super().__init__(spark, root)
         self.schema = schema
         self.cluster_by = list(cluster_by)
 
-    def version(self) -> int | None:
-        names = [n for n in _list_names(self.spark, f"{self.root}/_commits") if n.isdigit()]
-        return max(map(int, names)) if names else None
-
     def read(self) -> DataFrame:
         v = self.version()
         if v is None:
             if self.schema is None:
                 raise FileNotFoundError(f"no committed version under {self.root}")
             return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.parquet(f"{self.root}/{self._folder(v)}")
-
-    def _folder(self, version: int) -> str:
-        return _read_marker(self.spark, f"{self.root}/_commits/{version:020d}")
+        return self.spark.read.parquet(f"{self.root}/{self._state(v)['folder']}")
 
-    def commit(self, df: DataFrame) -> int:
+    def commit(
+        self,
+        df: DataFrame,
+        contract: Contract | None = None,
+        load: tuple[str, int] | None = None,
+        keys: Sequence[str] = (),
+    ) -> int:
         """Write ``df`` as the next version and publish it. Every attempt has a
         folder of its own, which its marker names: of two loads that run at
-        the same time one publishes, the other fails and changes nothing."""
-        v = (self.version() or 0) + 1
+        the same time one publishes, the other fails and changes nothing.
+        Rows that breach ``contract`` (or, of an upsert, the ``keys``) fail the
+        load before it is published; a ``load`` that the table has already is
+        left out."""
+        old = self.version()
+        state = self._state(old)
+        if load and self.loaded(load):
+            return old
+        v = (old or 0) + 1
         folder = f"v={v}-{uuid.uuid4().hex}"
         if self.cluster_by:
             df = df.sortWithinPartitions(*self.cluster_by)
+        df, obs, names = held(df, contract, keys)
         df.write.mode("errorifexists").parquet(f"{self.root}/{folder}")
-        _create_marker(self.spark, f"{self.root}/_commits/{v:020d}", folder)
+        try:
+            refuse(obs, names)
+        except ContractError:
+            _delete(self.spark, f"{self.root}/{folder}")
+            raise
+        self._publish(v, {"folder": folder, "loads": self._ledger(state, load), "rows": int(obs.get["rows"])})
         return v
 
+    def count(self) -> int:
+        """Rows of the current version, as counted by the write."""
+        return int(self._state(self.version()).get("rows", 0))
+
     def vacuum(self, keep: int = 2) -> list[int]:
         """Delete every version older than the newest ``keep`` published ones
         (each load writes a full copy, so without this storage grows with the
@@ -129,20 +259,16 @@ class SnapshotTable:
         the versions removed."""
         if keep < 1:
             raise ValueError("keep must be at least 1")
-        published = sorted(int(n) for n in _list_names(self.spark, f"{self.root}/_commits") if n.isdigit())
-        if len(published) <= keep:
-            return []
-        oldest_kept = published[-keep]
-        old = [v for v in published if v < oldest_kept]
+        old = self._versions()[:-keep]
         for v in old:
-            folder = self._folder(v)
+            folder = self._state(v)["folder"]
             _delete(self.spark, f"{self.root}/_commits/{v:020d}")
             _delete(self.spark, f"{self.root}/{folder}")
         return old
 
-    def replace(self, df: DataFrame) -> int:
+    def replace(self, df: DataFrame, contract: Contract | None = None) -> int:
         """Truncate-and-load in one step (SNK-2)."""
-        return self.commit(df)
+        return self.commit(df, contract)
 
     def upsert(
         self,
@@ -151,12 +277,19 @@ class SnapshotTable:
         update_cols: Sequence[str] | None = None,
         insert_only: Mapping[str, Column] | None = None,
         stamps: Mapping[str, Column] | None = None,
+        contract: Contract | None = None,
+        load: tuple[str, int] | None = None,
     ) -> int:
-        """Keyed upsert as a new version (SNK-3); see ``merge``."""
+        """Keyed upsert as a new version (SNK-3) by the rules of ``merge``.
+
+        The source is evaluated once, in the job that writes the version:
+        target and source rows are grouped by key, which also counts the
+        source rows of a key. A NULL key or a key twice fails the load."""
+        if load and self.loaded(load):
+            return self.version()
         target = self.read() if self.version() is not None else None
-        staged = staged_source(self.spark, source, keys)
-        merged = merge(target, staged, keys, update_cols, insert_only, stamps)
-        return self.commit(merged)
+        merged = merge_grouped(target, source, keys, update_cols, insert_only, stamps)
+        return self.commit(merged, contract, load, keys)
 
 
 def staged_source(spark: SparkSession, source: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -236,6 +369,58 @@ def merge(
     )
 
 
+def merge_grouped(
+    target: DataFrame | None,
+    source: DataFrame,
+    keys: Sequence[str],
+    update_cols: Sequence[str] | None = None,
+    insert_only: Mapping[str, Column] | None = None,
+    stamps: Mapping[str, Column] | None = None,
+    extra: Mapping[str, Column] | None = None,
+) -> DataFrame:
+    """``merge`` by grouping: the rows of both sides are shuffled once on the
+    key and every key's target and source row meet in a group. ``_sources``
+    counts the source rows of the key, so that the caller can refuse a key
+    that comes twice; ``extra`` columns may use ``_t`` and ``_s``, the two
+    rows as structs (null where a side lacks the key)."""
+    insert_only, stamps = dict(insert_only or {}), dict(stamps or {})
+    keys = list(keys)
+    data_cols = [c for c in source.columns if c not in keys]
+    clash = sorted(set(data_cols) & (set(insert_only) | set(stamps)))
+    if clash:
+        raise ValueError(f"stamps would replace source columns: {', '.join(clash)}")
+    update_cols = list(update_cols if update_cols is not None else data_cols)
+    out_cols = keys + data_cols + [c for c in [*insert_only, *stamps] if c not in data_cols]
+    out_cols = list(dict.fromkeys(out_cols))
+    tcols = [c for c in target.columns if c not in keys] if target is not None else []
+    out_cols += [c for c in tcols if c not in out_cols]
+    # a struct column of its own keeps a side apart from its values, all of which may be null
+    s_side = F.struct(F.lit(True).alias("_hit"), *data_cols)
+    t_fields = [T.StructField("_hit", T.BooleanType()), *[target.schema[c] for c in tcols]] if target is not None else []
+    t_type = T.StructType(t_fields or [T.StructField("_hit", T.BooleanType())])
+    s_type = T.StructType([T.StructField("_hit", T.BooleanType()), *[source.schema[c] for c in data_cols]])
+    rows = source.select(*keys, F.lit(None).cast(t_type).alias("_t"), s_side.alias("_s"))
+    if target is not None:
+        t_side = F.struct(F.lit(True).alias("_hit"), *tcols)
+        rows = rows.unionByName(target.select(*keys, t_side.alias("_t"), F.lit(None).cast(s_type).alias("_s")))
+    # shuffled before grouping: partial groups would only add a sort of the
+    # unshuffled rows, as keys are unique on each side
+    pairs = rows.repartition(*[F.col(k) for k in keys]).groupBy(*keys).agg(
+        F.first("_t", ignorenulls=True).alias("_t"),
+        F.first("_s", ignorenulls=True).alias("_s"),
+        F.count("_s").alias(SOURCES),
+    )
+    present = set(tcols)
+    columns = _merged_columns(
+        out_cols, keys, data_cols, update_cols, insert_only, stamps,
+        t=lambda c: F.col("_t").getField(c) if c in present else F.lit(None),
+        s=lambda c: F.col("_s").getField(c),
+        hit_t=F.col("_t").isNotNull(),
+        hit_s=F.col("_s").isNotNull(),
+    )
+    return pairs.select(*columns, SOURCES, *[c.alias(n) for n, c in (extra or {}).items()])
+
+
 def _merged_columns(out_cols, keys, data_cols, update_cols, insert_only, stamps, t, s, hit_t, hit_s) -> list[Column]:
     """The upsert rule per output column, given accessors of the target
     (``t``) and source (``s``) value of a column and whether each side has
@@ -402,23 +587,36 @@ class KeyBucketedTable:
 # ---- date-partitioned tables -------------------------------------------------
 
 
-def replace_date(df: DataFrame, root: str, date_col: str, ds: str | dt.date) -> None:
+def replace_date(
+    df: DataFrame, root: str, date_col: str, ds: str | dt.date, contract: Contract | None = None
+) -> None:
     """Delete the rows of day ``ds`` and insert ``df``'s rows of that day (SNK-4).
 
-    The result is written to a hidden folder first and then takes the place
-    of the day's folder: a job that fails leaves the day as it was, an empty
-    result leaves it empty, and a rerun is idempotent.
+    The result is written to a hidden folder, the day's folder is renamed
+    aside, the new one takes its place, and only then the old one is deleted.
+    A job that fails leaves the day as it was; a driver lost between the two
+    renames leaves the day missing, with its old rows in ``_old-*``, until the
+    load is rerun. A reader that listed the day before the swap loses its
+    files; ``weir.sinks.dated.DatedTable`` publishes days without that gap. An
+    empty result leaves the day empty, and a rerun is idempotent.
     """
     spark = df.sparkSession
     day = ds if isinstance(ds, dt.date) else dt.date.fromisoformat(str(ds))
     root = root.rstrip("/")
-    staging = f"{root}/_staging-{uuid.uuid4().hex}"
-    df.filter(F.col(date_col) == F.lit(day)).drop(date_col).write.parquet(staging)
+    attempt = uuid.uuid4().hex
+    staging, aside = f"{root}/_staging-{attempt}", f"{root}/_old-{attempt}"
+    df, obs, names = held(df.filter(F.col(date_col) == F.lit(day)), contract)
+    df.drop(date_col).write.parquet(staging)
+    try:
+        refuse(obs, names)
+    except ContractError:
+        _delete(spark, staging)
+        raise
     target = f"{root}/{date_col}={day.isoformat()}"
-    _delete(spark, target)
-    old, fs = _path(spark, staging)
-    if not fs.rename(old, _path(spark, target)[0]):
-        raise OSError(f"could not move {staging} to {target}")
+    if f"{date_col}={day.isoformat()}" in _list_names(spark, root):
+        _rename(spark, target, aside)
+    _rename(spark, staging, target)
+    _delete(spark, aside)
 
 
 def replace_dates(df: DataFrame, root: str, date_col: str, spread_by: Sequence[str] = (), partitions: int | None = None) -> None:

@@ -84,6 +84,12 @@ def malformed(df: DataFrame, col: str, doc: str = "doc") -> DataFrame:
     return df.where(F.col(col).isNotNull() & (F.col(doc).isNull() | F.col(f"{doc}.{CORRUPT}").isNotNull()))
 
 
+def _once(df: DataFrame, value: Column, alias: str) -> DataFrame:
+    """``df`` with ``value`` computed once a row: as a plain column, the
+    optimizer would compute it anew for every field that is read of it."""
+    return df.select(*[c for c in df.columns if c != alias], F.explode(F.array(value)).alias(alias))
+
+
 def _with_corrupt(schema: T.StructType) -> T.StructType:
     return schema if CORRUPT in schema.names else T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
 
@@ -91,7 +97,44 @@ def _with_corrupt(schema: T.StructType) -> T.StructType:
 def parse_json_column(df: DataFrame, col: str, schema: T.StructType, alias: str = "doc") -> DataFrame:
     """Documents held as JSON text in a column, parsed in place (SRC-3); text
     that does not parse is kept in ``<alias>._corrupt_record``."""
-    return df.withColumn(alias, F.from_json(F.col(col), _with_corrupt(schema), {"columnNameOfCorruptRecord": CORRUPT}))
+    return _once(df, F.from_json(F.col(col), _with_corrupt(schema), {"columnNameOfCorruptRecord": CORRUPT}), alias)
+
+
+#: Fixed value: stands before every text of an XML document while it is parsed
+#: (a private-use character, which no exchanged text should hold).
+_TEXT = "\uE000"
+
+
+def is_text(c: Column) -> Column:
+    """Whether a value of ``parse_xml_tree`` is a text (and not the JSON of an element)."""
+    return F.ltrim(c).startswith(_TEXT)
+
+
+def plain_text(c: Column) -> Column:
+    """A text of ``parse_xml_tree`` as it stands in the document."""
+    return F.replace(c, F.lit(_TEXT), F.lit(""))
+
+
+def parse_xml_tree(df: DataFrame, col: str, alias: str = "doc") -> DataFrame:
+    """Documents held as XML text in a column, parsed whole and in place
+    (SRC-4): ``<alias>.tree`` is the document as VARIANT (an object whose one
+    entry is the root element), ``<alias>._corrupt_record`` is set where it
+    does not parse.
+
+    Elements are objects, repeated ones arrays; attributes are ``_name``
+    entries, the text of an element with attributes is ``_VALUE``. White space
+    around texts is kept, as an XPath ``text()`` read keeps it. Texts come back
+    through ``plain_text``: each is marked before parsing, as the parser would
+    otherwise turn ``007`` or ``3.50`` into numbers.
+    """
+    body = F.regexp_replace(F.col(col), r"^\uFEFF?\s*<\?xml[^>]*\?>", "")
+    body = F.regexp_replace(body, r"^\s*<!DOCTYPE[^>\[]*(\[[^\]]*\])?[^>]*>", "")
+    body = F.regexp_replace(body, "<!--(?s:.*?)-->", "")
+    body = F.regexp_replace(body, r"<!\[CDATA\[", "<![CDATA[" + _TEXT)
+    body = F.regexp_replace(body, r">([^<]*[^<\s][^<]*)<", ">" + _TEXT + "$1<")
+    options = {"ignoreSurroundingSpaces": "false", "attributePrefix": "_", "valueTag": "_VALUE", "columnNameOfCorruptRecord": CORRUPT}
+    whole = F.concat(F.lit("<document><tree>"), body, F.lit("</tree></document>"))
+    return _once(df, F.from_xml(whole, f"tree variant, {CORRUPT} string", options), alias)
 
 
 def parse_xml_column(df: DataFrame, col: str, schema: T.StructType, alias: str = "doc") -> DataFrame:

@@ -250,17 +250,20 @@ def playback_event_docs(events: DataFrame) -> DataFrame:
 # ---- IoT temperature export ← events -------------------------------------------
 
 
-def iot_readings(events: DataFrame, missing_ids: bool = False) -> DataFrame:
+def iot_readings(events: DataFrame, missing_ids: bool = False, bad_dates: bool = False) -> DataFrame:
     """The CSV export's columns, all text: a device per user, readings logged
     per hour, view and click readings indoor, error readings ``nan``.
-    With ``missing_ids`` the signup readings come without a device id."""
+    With ``missing_ids`` the signup readings come without a device id, with
+    ``bad_dates`` every eleventh reading has a day that no month has."""
     dev = F.concat(F.lit("dev_"), _s("user_id"))
     if missing_ids:
         dev = F.when(F.col("event_type") != "signup", dev)
     return events.select(
         dev.alias("id"),
         F.lit("Room Admin").alias("room_id/id"),
-        F.date_format(F.col("ts"), "dd-MM-yyyy HH:00").alias("noted_date"),
+        F.when(F.lit(bad_dates) & (F.pmod("event_id", F.lit(11)) == 4), F.date_format(F.col("ts"), "'32'-MM-yyyy HH:00"))
+        .otherwise(F.date_format(F.col("ts"), "dd-MM-yyyy HH:00"))
+        .alias("noted_date"),
         F.when(F.col("event_type") == "error", F.lit("nan"))
         .otherwise(_s(F.floor("value").cast("bigint")))
         .alias("temp"),
@@ -275,10 +278,11 @@ def iot_readings(events: DataFrame, missing_ids: bool = False) -> DataFrame:
 TURNS_PER_DOC = 4
 
 
-def pets_json_rows(conversations: DataFrame) -> DataFrame:
+def pets_json_rows(conversations: DataFrame, cut: bool = False) -> DataFrame:
     """``raw_json(json_data)``: a turn is a pet; a document holds up to
     ``TURNS_PER_DOC`` turns of one conversation. System turns have an empty
-    food list and a null birth year."""
+    food list and a null birth year. With ``cut``, documents of every fifth
+    conversation end before their last brace."""
     system = F.col("role") == "system"
     pet = F.struct(
         F.concat_ws("-", "role", _s("conv_id"), _s("turn")).alias("name"),
@@ -290,7 +294,11 @@ def pets_json_rows(conversations: DataFrame) -> DataFrame:
     docs = conversations.groupBy("conv_id", F.floor(F.col("turn") / TURNS_PER_DOC).alias("part")).agg(
         F.collect_list(pet).alias("pets")
     )
-    return docs.select(F.to_json(F.struct("pets")).alias("json_data"))
+    text = F.to_json(F.struct("pets"))
+    if cut:
+        broken = F.pmod("conv_id", F.lit(5)) == 3
+        text = F.when(broken, F.left(text, F.length(text) - 1)).otherwise(text)
+    return docs.select(text.alias("json_data"))
 
 
 # ---- XML documents in a column ← part ----------------------------------------------
@@ -339,9 +347,11 @@ def _el(tag: str, value: Column) -> Column:
     return F.concat(F.lit(f"\t<{tag}>"), xml_escape(value), F.lit(f"</{tag}>\n"))
 
 
-def foods_xml_rows(part: DataFrame) -> DataFrame:
+def foods_xml_rows(part: DataFrame, nested: bool = False, cut: bool = False) -> DataFrame:
     """``raw_xml(xml_data)``: a part is a food; economy parts have no
-    vitamins, promo parts no minerals."""
+    vitamins, promo parts no minerals. With ``nested``, standard parts stand on
+    shelves below the root, and small ones inside the food of the part before
+    them in their document; with ``cut``, every seventh document ends early."""
     f = food_fields()
     vitamins = F.when(
         F.col("p_type") != "ECONOMY",
@@ -362,12 +372,23 @@ def foods_xml_rows(part: DataFrame) -> DataFrame:
         minerals,
         F.lit("</food>"),
     )
-    docs = part.groupBy(F.floor(F.col("p_partkey") / PARTS_PER_DOC).alias("chunk")).agg(
-        F.array_join(F.collect_list(food), "\n").alias("foods")
+    shelf = F.concat(F.lit("<aisle>\n<shelf>\n"), food, F.lit("\n</shelf>\n</aisle>"))
+    kind = F.when(F.lit(nested) & (F.col("p_type") == "STANDARD"), "shelf").when(F.lit(nested) & (F.col("p_type") == "SMALL"), "inner")
+    placed = F.struct("p_partkey", kind.alias("kind"), F.when(kind == "shelf", shelf).otherwise(food).alias("xml"))
+    docs = part.groupBy(F.floor(F.col("p_partkey") / PARTS_PER_DOC).alias("chunk")).agg(F.array_sort(F.collect_list(placed)).alias("foods"))
+    end = "</food>"
+    # an inner food goes in before the end of what stands so far, if that is a food
+    joined = F.aggregate(
+        "foods",
+        F.lit(""),
+        lambda acc, x: F.when(
+            (x["kind"] == "inner") & acc.endswith(end),
+            F.concat(F.left(acc, F.length(acc) - len(end)), x["xml"], F.lit(end)),
+        ).otherwise(F.concat(acc, F.when(acc != "", F.lit("\n")).otherwise(F.lit("")), x["xml"])),
     )
-    return docs.select(
-        F.concat(
-            F.lit('<?xml version="1.0"?>\n<nutrition>\n'), F.lit(DAILY_VALUES_XML), F.lit("\n"),
-            F.col("foods"), F.lit("\n</nutrition>\n"),
-        ).alias("xml_data")
+    whole = F.concat(
+        F.lit('<?xml version="1.0"?>\n<nutrition>\n'), F.lit(DAILY_VALUES_XML), F.lit("\n"), joined, F.lit("\n</nutrition>\n")
     )
+    if cut:
+        whole = F.when(F.pmod("chunk", F.lit(7)) == 5, F.left(whole, F.length(whole) - 20)).otherwise(whole)
+    return docs.select(whole.alias("xml_data"))
