@@ -25,6 +25,7 @@ from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -322,8 +323,6 @@ def cleaned(text: bytes, spans: list[tuple[int, int]], n_words: int, n_hit: int,
 
 
 def _cleaned_udf(max_coverage: float):
-    import pandas as pd
-
     @F.pandas_udf("string")
     def fn(text: pd.Series, spans: pd.Series, n_words: pd.Series, n_hit: pd.Series) -> pd.Series:
         out = []
