@@ -31,8 +31,9 @@ from weir.llm.text import mix, shingle_set, slices, words
 #: Links hold when 100 * intersection >= PERCENT * union.
 PERCENT = 75
 SHINGLE = 5
-#: Points of a region block; a task joins two blocks at a time.
-BLOCK = 1024
+#: Points and shingles of a region block, about; a task joins two blocks at a
+#: time. The larger the blocks, the fewer pairs of them a point goes to.
+BLOCK, BLOCK_SHINGLES = 4096, 2_000_000
 #: Cells of at most this many points are verified pair by pair.
 LEAF = 64
 #: A shingle is common when this share of the documents holds it (at least
@@ -325,11 +326,12 @@ def jaccard_join(docs: DataFrame, with_text_hash: bool = False) -> DataFrame:
     met = keys.join(pivots.select("s", "region"), "s").groupBy("point")
     met = met.agg(F.collect_list("s").alias("shared"), F.collect_set("region").alias("regions"))
     met = stage.write(met.join(reps.select("point", "n"), "point"), "met")
-    member = met.select(F.explode_outer("regions").alias("region"), "point")
+    member = met.select(F.explode_outer("regions").alias("region"), "point", "n")
     stage.release()
     # regions of more than a block are dealt into pairs of blocks
-    sizes = member.groupBy("region").agg(F.count(F.lit(1)).alias("m"))
-    dealt = member.join(sizes, "region").withColumn("blocks", F.ceil(F.col("m") / BLOCK).cast("int"))
+    blocks = F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int")
+    sizes = member.groupBy("region").agg(blocks.alias("blocks"))
+    dealt = member.drop("n").join(sizes, "region")
     dealt = dealt.withColumn("block", F.pmod(F.xxhash64("point"), F.col("blocks")).cast("int"))
     dealt = dealt.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "region", "point", F.least("block", "o").cast("long").alias("b1"), F.greatest("block", "o").cast("long").alias("b2"), F.col("block").cast("long").alias("block")
