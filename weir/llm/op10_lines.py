@@ -144,7 +144,8 @@ def line_dedup(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int = MIN
     stage.release()
     added = ["n_lines", "n_removed", "n_runs", "longest_run"]
     cols = [c for c in docs.columns if c not in added]
-    d = keyed(docs.select(*cols)).join(facts, "_key", "left")
+    # facts grow with the documents: a shuffle join at every size, never a broadcast
+    d = keyed(docs.select(*cols)).join(facts.hint("merge"), "_key", "left")
     d = d.withColumn("_lines", F.split("text", "\n"))
     d = d.withColumn("_kept", F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), "_gone"))
     kept = F.array_join(F.transform("_kept", lambda i: F.get("_lines", i)), "\n")
