@@ -198,13 +198,54 @@ def test_licenses_wrapped(leader):
         ("Home\nMIT License\nContact us", ["MIT"]),
         ("Some page\nCopyright 2020 A Writer\nAll rights reserved.", ["Proprietary"]),
     ]
-    known = op2.compiled(op2.SENTENCES)
+    known = op2.compiled([*op2.SENTENCES, *op2.NOTICES])
     for text, want in texts:
         text = "".join(leader + x for x in text.splitlines(True))
         got = op2.recognise(op2.identifiers(text, known), op2.RULES)
         assert got == want, (text, got)
 
 
+NOTICES = [
+    ("This project is licensed under the MIT License.", "MIT"),
+    ("This project is licensed under the Apache License 2.0.", "Apache-2.0"),
+    ("This software is released under the MIT license - see the LICENSE file for details.", "MIT"),
+    ("Licensed under the MIT License (see LICENSE).", "MIT"),
+    ("This article is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.", "CC-BY-SA"),
+    ("The code is available under the GPLv3.", "GPL-3.0"),
+    ("All of our tools are distributed under the terms of the GNU LGPL v2.1 or later.", "LGPL-2.1"),
+    ("Copyright 2020 A Writer, distributed under the Boost Software License, Version 1.0.", "BSL-1.0"),
+    ("The data set is published under CC0 1.0 Universal.", "CC0-1.0"),
+    ("foo is dual licensed under the Apache License, Version 2.0 and you may choose", "Apache-2.0"),
+    ("Licensed under the\nEclipse Public License - v 2.0", "EPL-2.0"),
+    ("This project is not licensed under the MIT License.", ""),
+    ("It is no longer available under the GPLv2.", ""),
+    ("This was never released under the Apache License 2.0.", ""),
+    ("Code without a note isn't covered by the MIT license.", ""),
+    ("She was licensed under the state law in 2004.", ""),
+    ("The bridge is available under certain conditions.", ""),
+    ("They studied under the MIT professor.", ""),
+]
+
+
+@pytest.mark.parametrize("text, want", NOTICES)
+def test_license_notices(spark, text, want):
+    known = op2.compiled([*op2.SENTENCES, *op2.NOTICES])
+    assert op2.joined(op2.recognise(op2.identifiers(text, known), op2.RULES)) == want
+
+
+def test_license_rules_with_gaps():
+    run = ["bsd-grant", "bsd-source", "all-rights", "bsd-binary", "bsd-as-is"]
+    assert op2.recognise(run, op2.RULES) == ["BSD-2-Clause", "Proprietary"]
+    far = ["mpl-notice", *["isc-title"] * (op2.GAP + 1), "mpl-copy"]
+    assert op2.recognise(far, [("MPL-2.0", ("mpl-notice", "mpl-copy"))]) == []
+
+
+def test_license_rows(spark):
+    df = spark.createDataFrame([(None, "MIT License"), (7, "MIT License"), (7, "MIT License"), (8, "x " * 500_000 + "\nMIT License")], "doc_id long, text string")
+    got = op2.scan_licenses(df).collect()
+    assert Counter((r.doc_id, r.license) for r in got) == Counter([(None, "MIT"), (7, "MIT"), (7, "MIT"), (8, "MIT")])
+
+
 def test_license_expressions_joined():
     assert op2.joined(["MIT OR Apache-2.0", "BSD-3-Clause", "BSD-3-Clause"]) == "(MIT OR Apache-2.0) AND BSD-3-Clause"
 

@@ -78,8 +78,58 @@ SENTENCES: list[tuple[str, str]] = [
     ("all-rights", r"(copyright .* )?all rights reserved"),
 ]
 
-# Fixed values: (licence, identifiers that must follow each other), most
-# specific first. Identifiers that no rule names may not stand between.
+_V = r"( version| ?v)? ?"
+_LATER = r"( only)? or( at your option)?( any)? (later|newer|greater|higher)( versions?)?"
+_CC = r"( license)?( [0-9] [0-9])?( international| unported| generic)?( public)?( license)?"
+_GPL = r"(gnu )?(gpl|general public licen[cs]e)( gpl)?"
+# What notices call a licence (identifier, normalised name), the
+# more specific names first.
+NAMES: list[tuple[str, str]] = [
+    ("gpl3-later", rf"{_GPL}{_V}3( 0)?{_LATER}"),
+    ("gpl2-later", rf"{_GPL}{_V}2( 0)?{_LATER}"),
+    ("gpl3-notice", rf"{_GPL}{_V}3( 0)?( only)?( licen[cs]e)?"),
+    ("gpl2-notice", rf"{_GPL}{_V}2( 0)?( only)?( licen[cs]e)?"),
+    ("gpl-notice", rf"{_GPL}( licen[cs]e)?"),
+    ("lgpl3-notice", rf"(gnu )?(lgpl|lesser general public licen[cs]e)( lgpl)?{_V}3( 0)?({_LATER}| only)?"),
+    ("lgpl2-1-notice", rf"(gnu )?(lgpl|lesser general public licen[cs]e)( lgpl)?{_V}2 1({_LATER}| only)?"),
+    ("lgpl-notice", r"(gnu )?(lgpl|lesser general public licen[cs]e|library general public licen[cs]e)( lgpl)?"),
+    ("agpl3-notice", rf"(gnu )?(agpl|affero general public licen[cs]e)( agpl)?{_V}3( 0)?({_LATER}| only)?"),
+    ("agpl-notice", r"(gnu )?(agpl|affero general public licen[cs]e)( agpl)?"),
+    ("apache-notice", rf"(apache( software)? licen[cs]e( al| asl)?|asl|apache){_V}2( 0)?( licen[cs]e)?"),
+    ("mit-notice", r"(mit x11|mit expat|expat|mit)( style)?( licen[cs]e)?( mit)?"),
+    ("isc-notice", r"isc( licen[cs]e)?"),
+    ("bsd2-notice", r"((2 clause|two clause|simplified|freebsd) bsd|bsd (2|two) clause)( licen[cs]e)?"),
+    ("bsd-notice", r"((3 clause|three clause|new|modified|revised) bsd|bsd (3|three) clause|bsd)( style)?( licen[cs]e)?"),
+    ("mpl-notice", rf"(mozilla public licen[cs]e|mpl)( mpl)?{_V}2( 0)?"),
+    ("epl2-notice", rf"(eclipse public licen[cs]e|epl)( epl)?{_V}2( 0)?"),
+    ("epl1-notice", rf"(eclipse public licen[cs]e|epl)( epl)?{_V}1( 0)?"),
+    ("boost-notice", rf"(boost software licen[cs]e|bsl)( bsl)?({_V}1( 0)?)?"),
+    ("artistic2-notice", rf"artistic licen[cs]e{_V}2( 0)?"),
+    ("zlib-notice", r"zlib( libpng)?( licen[cs]e)?"),
+    ("cc-by-nc-sa", rf"(cc by nc sa|creative commons attribution non ?commercial share ?alike)( cc by nc sa)?{_CC}"),
+    ("cc-by-nc-nd", rf"(cc by nc nd|creative commons attribution non ?commercial no ?deriv(ative)?s)( cc by nc nd)?{_CC}"),
+    ("cc-by-nc", rf"(cc by nc|creative commons attribution non ?commercial)( cc by nc)?{_CC}"),
+    ("cc-by-sa", rf"(cc by sa|creative commons attribution share ?alike)( cc by sa)?{_CC}"),
+    ("cc-by-nd", rf"(cc by nd|creative commons attribution no ?deriv(ative)?s)( cc by nd)?{_CC}"),
+    ("cc-by", rf"(cc by|creative commons attribution)( cc by)?{_CC}"),
+    ("cc0", r"(cc0|creative commons zero|creative commons cc0)( [0-9] [0-9])?( universal)?( public domain dedication)?( licen[cs]e)?"),
+    ("unlicense", r"unlicense( licen[cs]e)?"),
+]
+# A notice: what it is about (a few words, none of which denies it), a verb,
+# the name, and what may follow a name.
+_DENIED = r"(?!(?:[a-z0-9]+ ){0,16}?(?:not|never|neither|nor|no|without|formerly|previously|unlike|cannot|isn|aren|wasn|don|doesn)(?: |$))"
+_ABOUT = r"(?:[a-z0-9]+ ){0,14}?"
+_VERB = r"(?:(?:re)?released|(?:dual |multi |re)?licen[cs]ed|available|distributed|published|provided|covered|offered|shared|governed)(?: to you)?(?: as open source)? (?:under|by|with)"
+_TERMS = r"(?: the| a| an)?(?: terms(?: and conditions)? of(?: either)?(?: the| a| an)?)?"
+_AFTER = r"(?: (?:the |a )?licen[cs]e)?(?: (?:see|as|and|or|which|that|you|for|in|at|with|a copy|please|unless|refer|found|copyright|http|https|the) ?.*)?"
+NOTICES = [(k, f"{_DENIED}{_ABOUT}{_VERB}{_TERMS} {name}{_AFTER}") for k, name in NAMES]
+
+#: Known identifiers that may stand between two of a rule.
+GAP = 2
+
+# Fixed values: (licence, identifiers in their order), most specific first. Up
+# to ``GAP`` other known sentences may stand between two of them, and any
+# number of unknown ones.
 RULES: list[tuple[str, tuple[str, ...]]] = [
     ("Apache-2.0", ("apache-notice", "apache-compliance", "apache-obtain", "apache-as-is", "apache-see")),
     ("BSD-3-Clause", ("bsd-grant", "bsd-source", "bsd-binary", "bsd-endorse", "bsd-as-is")),
@@ -114,8 +164,16 @@ RULES: list[tuple[str, tuple[str, ...]]] = [
     ("GPL-3.0", ("gpl3-notice",)),
     ("GPL-2.0", ("gpl2-notice",)),
     ("GPL", ("gpl-notice",)),
+    ("LGPL-3.0", ("lgpl3-notice",)),
+    ("LGPL-2.1", ("lgpl2-1-notice",)),
     ("LGPL", ("lgpl-notice",)),
+    ("AGPL-3.0", ("agpl3-notice",)),
     ("AGPL", ("agpl-notice",)),
+    ("EPL-2.0", ("epl2-notice",)),
+    ("EPL-1.0", ("epl1-notice",)),
+    ("BSL-1.0", ("boost-notice",)),
+    ("Artistic-2.0", ("artistic2-notice",)),
+    ("Zlib", ("zlib-notice",)),
     ("CC-BY-NC-SA", ("cc-by-nc-sa",)),
     ("CC-BY-NC-ND", ("cc-by-nc-nd",)),
     ("CC-BY-NC", ("cc-by-nc",)),
@@ -130,7 +188,7 @@ RULES: list[tuple[str, tuple[str, ...]]] = [
 RULES = [rule for name, run in RULES for rule in ([(name, ("all-rights", *run))] if run != ("all-rights",) else []) + [(name, run)]]
 
 #: A sentence is only normalised when it holds one of these (every pattern does).
-HINT = r"licen[sc]e|permi|warrant|copyright|redistribut|liable|software|public domain|cc0|mpl|reserved"
+HINT = r"licen[sc]e|under|permi|warrant|copyright|redistribut|liable|software|public domain|cc0|mpl|reserved"
 
 # A sentence ends at . ! ? ; before white space (but for the version that a
 # grant names after a semicolon), or at a colon at a line end.
@@ -151,7 +209,8 @@ def compiled(sentences: list[tuple[str, str]]) -> list[tuple[str, re.Pattern, bo
     """(identifier, pattern over lines of normalised words, whether it may
     start anywhere): a match is of whole lines, and a space also stands for a
     line end."""
-    return [(k, re.compile(rf"^(?:{p.replace(' ', chr(92) + 's')})$", re.M | re.S), p.startswith(".*")) for k, p in sentences]
+    spaced = [(k, re.sub(r" (?!\?)", r"\\s", p).replace(" ?", r"\s?"), p.startswith(".*")) for k, p in sentences]
+    return [(k, re.compile(rf"^(?:{p})$", re.M | re.S), anywhere) for k, p, anywhere in spaced]
 
 
 def paragraphs(text: str):
@@ -222,6 +281,20 @@ def joined(names: list[str]) -> str:
     return " AND ".join(names)
 
 
+def _place(ids: list[str], used: list[bool], run: tuple[str, ...], i: int) -> list[int] | None:
+    """Where ``run`` stands from place ``i`` on, each next one within ``GAP``."""
+    if used[i] or ids[i] != run[0]:
+        return None
+    at = [i]
+    for x in run[1:]:
+        span = range(at[-1] + 1, min(at[-1] + 2 + GAP, len(ids)))
+        j = next((j for j in span if ids[j] == x and not used[j]), None)
+        if j is None:
+            return None
+        at.append(j)
+    return at
+
+
 def recognise(ids: list[str], rules: list[tuple[str, tuple[str, ...]]]) -> list[str]:
     """Licences of the rules that the sequence holds, in order of their place
     in it; rules are tried in order and use up what they match."""
@@ -235,10 +308,11 @@ def recognise(ids: list[str], rules: list[tuple[str, tuple[str, ...]]]) -> list[
     for name, run in rules:
         if not present.issuperset(run):
             continue
-        k = len(run)
-        for i in range(len(ids) - k + 1):
-            if tuple(ids[i : i + k]) == run and not any(used[i : i + k]):
-                used[i : i + k] = [True] * k
+        for i in range(len(ids)):
+            at = _place(ids, used, run, i)
+            if at:
+                for j in at:
+                    used[j] = True
                 found.append((i, name))
     return [n for _, n in sorted(found)]
 
@@ -256,7 +330,7 @@ def scan_licenses(
     sentences. Repeated rows are scanned alike; null ids pass through; extra
     columns are ignored; an empty table gives no rows.
     """
-    sentences, rules = sentences or SENTENCES, rules or RULES
+    sentences, rules = sentences or [*SENTENCES, *NOTICES], rules or RULES
 
     def run(batch: pa.RecordBatch):
         known = compiled(sentences)

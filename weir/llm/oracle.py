@@ -119,3 +119,69 @@ found AS (
 SELECT d.doc_id, CAST(len(d.ws) AS BIGINT) AS n_words, coalesce(w.n_hit, 0) AS n_hit, coalesce(f.n_items, 0) AS n_items,
        sha256(coalesce(f.ids, '')) AS items_sha256, coalesce(w.n_hit, 0) > 0 AS contaminated
 FROM docs d LEFT JOIN words w USING (r) LEFT JOIN found f USING (r)"""
+
+# ---- op1: substrings ---------------------------------------------------------------
+
+# texts as hexadecimal digits, two a byte; the 50-byte strings that start at each byte
+ORACLE["op1_substrings"] = """WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+places AS (
+  SELECT r, doc_id, i, substring(h, CAST(2 * i + 1 AS BIGINT), 100) AS s
+  FROM (SELECT r, doc_id, h, unnest(range(0, strlen(h) // 2 - 49)) AS i FROM d WHERE strlen(h) >= 100)),
+firsts AS (SELECT s, min(doc_id) AS first FROM places GROUP BY s HAVING min(doc_id) < max(doc_id)),
+runs AS (
+  SELECT p.r, p.i, sum(CASE WHEN p.i - before > 50 OR before IS NULL THEN 1 ELSE 0 END) OVER (PARTITION BY p.r ORDER BY p.i) AS run
+  FROM (SELECT p.r, p.i, lag(p.i) OVER (PARTITION BY p.r ORDER BY p.i) AS before
+        FROM places p JOIN firsts f ON f.s = p.s WHERE f.first < p.doc_id) p),
+spans AS (SELECT r, run, min(i) AS a, max(i) + 50 AS b FROM runs GROUP BY r, run),
+gaps AS (
+  SELECT s.r, s.b AS a, coalesce(lead(s.a) OVER (PARTITION BY s.r ORDER BY s.a), strlen(d.h) // 2) AS b
+  FROM spans s JOIN d ON d.r = s.r
+  UNION ALL SELECT r, 0, min(a) FROM spans GROUP BY r),
+kept AS (SELECT g.r, string_agg(substring(d.h, CAST(2 * g.a + 1 AS BIGINT), CAST(2 * (g.b - g.a) AS BIGINT)), '' ORDER BY g.a) AS h
+         FROM gaps g JOIN d ON d.r = g.r GROUP BY g.r),
+sums AS (SELECT r, count(*) AS n_spans, CAST(sum(b - a) AS BIGINT) AS n_removed FROM spans GROUP BY r)
+SELECT d.doc_id, CAST(strlen(d.h) // 2 AS BIGINT) AS n_bytes, coalesce(s.n_removed, 0) AS n_removed, coalesce(s.n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(k.h, d.h))) AS kept_sha256
+FROM d LEFT JOIN sums s ON s.r = d.r LEFT JOIN kept k ON k.r = d.r"""
+
+# ---- components, shared by op4 and op9 ------------------------------------------------
+
+# ``nodes`` (r, id) and ``links`` (a, b, both ways) are given
+_REACH = """reach AS (
+  SELECT a AS r, b AS other FROM links
+  UNION
+  SELECT x.r, l.b FROM reach x JOIN links l ON l.a = x.other),
+least AS (SELECT x.r, min(n.id) AS id FROM reach x JOIN nodes n ON n.r = x.other GROUP BY x.r),
+degree AS (SELECT a AS r, count(*) AS n FROM links GROUP BY a)"""
+
+_SHINGLE_WORDS = "regexp_extract_all(" + _LOWER + r", '[^\x20\x09-\x0D]+')"
+
+ORACLE["op4_jaccard"] = f"""WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS r, doc_id, {_SHINGLE_WORDS.format('text')} AS ws FROM documents),
+nodes AS (SELECT r, doc_id AS id FROM d),
+shingles AS (
+  SELECT DISTINCT r, array_to_string(ws[i : i + 4], ' ') AS s
+  FROM (SELECT r, ws, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) AS i FROM d WHERE len(ws) > 0)),
+sizes AS (SELECT r, count(*) AS n FROM shingles GROUP BY r),
+common AS (SELECT a.r AS a, b.r AS b, count(*) AS n FROM shingles a JOIN shingles b ON a.s = b.s AND a.r <> b.r GROUP BY a.r, b.r),
+links AS (
+  SELECT c.a, c.b FROM common c JOIN sizes x ON x.r = c.a JOIN sizes y ON y.r = c.b
+  WHERE 100 * c.n >= 75 * (x.n + y.n - c.n)),
+{_REACH}
+SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, least(d.doc_id, coalesce(l.id, d.doc_id)) AS component_id, coalesce(g.n, 0) AS n_links
+FROM d LEFT JOIN sizes s ON s.r = d.r LEFT JOIN least l ON l.r = d.r LEFT JOIN degree g ON g.r = d.r"""
+
+ORACLE["op9_embeddings"] = f"""WITH RECURSIVE e AS (
+  SELECT row_number() OVER () AS r, vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+nodes AS (SELECT r, vec_id AS id FROM e),
+fit AS (
+  SELECT r, v, sqrt(list_dot_product(v, v)) AS norm FROM e
+  WHERE len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(v, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT x.r AS a, y.r AS b FROM fit x JOIN fit y ON x.r <> y.r AND len(x.v) = len(y.v)
+  WHERE list_dot_product(x.v, y.v) / (x.norm * y.norm) >= 0.9),
+{_REACH}
+SELECT e.vec_id, coalesce(g.n, 0) AS n_links, least(e.vec_id, coalesce(l.id, e.vec_id)) AS component_id,
+       e.vec_id = least(e.vec_id, coalesce(l.id, e.vec_id)) AS kept
+FROM e LEFT JOIN least l ON l.r = e.r LEFT JOIN degree g ON g.r = e.r"""
