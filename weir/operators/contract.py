@@ -6,7 +6,7 @@ states them and ``violations`` counts breaches in one pass over the data.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,6 +30,10 @@ class Contract:
     def names(self) -> list[str]:
         return [c.name for c in self.columns]
 
+    def whole(self, *names: str) -> Contract:
+        """The contract with the columns ``names`` kept as VARIANT (JSN-4)."""
+        return replace(self, columns=tuple(replace(c, type="variant") if c.name in names else c for c in self.columns))
+
 
 def conform(df: DataFrame, contract: Contract) -> DataFrame:
     """Select the contract's columns in order, cast to the declared types.

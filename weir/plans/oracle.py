@@ -486,3 +486,13 @@ ORACLE["stream_last_readings"] = """WITH r AS (
   SELECT date_trunc('hour', ts) AS noted_date, 'dev_' || user_id AS device_id, value, event_id FROM events)
 SELECT noted_date, device_id, arg_max(value, event_id) AS temperature, max(event_id) AS seq
 FROM r WHERE noted_date <= (SELECT max(noted_date) FROM r) - INTERVAL 7 DAY GROUP BY noted_date, device_id"""
+
+_K = "CAST(json_extract_string(props, '$.k') AS INTEGER)"
+ORACLE["load_raw_unknown_fields"] = f"""SELECT 'play_' || event_id AS event_id,
+       '{{' || CASE WHEN event_id % 10 = 3 THEN '"buffer":{{"a":true,"z":' || CAST(floor(value * 10) AS INTEGER) || '}},' ELSE '' END
+           || CASE WHEN event_id % 10 IN (1, 3) THEN '"codec":"' || event_type || '",' ELSE '' END
+           || '"position_seconds":' || CAST(floor(value * 10) AS INTEGER)
+           || ',"quality":"' || ['144p', '360p', '720p', '1080p'][{_K} % 4 + 1]
+           || '","video_id":"vid_' || user_id || '"}}' AS details,
+       CASE WHEN event_id % 10 < 5 THEN {_L1} ELSE {_L2} END AS created_at
+FROM events"""

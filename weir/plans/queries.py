@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -543,6 +544,29 @@ def load_rejects(spark, d):
     return refused.unionByName(table.read().agg(F.lit("loaded").alias("reason"), F.count(F.lit(1)).alias("records")))
 
 
+@query
+def load_raw_unknown_fields(spark, d):
+    """JSN-4: playback events whose details have fields that no schema knows,
+    kept whole through the raw load and a second one; the text form has the
+    fields in alphabetical order."""
+    docs = shaped.playback_event_docs(_t(spark, d, "events"))
+    contract = schemas.PLAYBACK_EVENTS_RAW.whole("details")
+    build = partial(raw.playback_events, contract=contract)
+    root = run_dir(spark, "load_unknown")
+    digit = F.substring("event_id", -1, 1)
+    more = [
+        F.when(digit.isin("1", "3"), F.col("event_type")).alias("codec"),
+        F.when(digit == "3", F.struct(F.col("details.position_seconds").alias("z"), F.lit(True).alias("a"))).alias("buffer"),
+    ]
+    table = SnapshotTable(spark, f"{root}/raw")
+    for n, (part, at) in enumerate(((docs.where(digit.isin(*FIRST_LOAD)), LOAD_1), (docs, LOAD_2))):
+        line = part.select("event_id", "timestamp", "event_type", F.struct("details.*", *more).alias("details"))
+        line.write.json(f"{root}/export-{n}")
+        export = read_collection(spark, f"{root}/export-{n}", schemas.keep_whole(schemas.PLAYBACK_EVENTS, "details"))
+        raw.load_collection(spark, export, build, contract, table, at, f"{root}/rejects")
+    return raw.as_json_text(table.read()).select("event_id", "details", "created_at")
+
+
 @query
 def load_support_abuse_daily(spark, d):
     """PIP-13 load (SNK-4): the snapshot of a day replaced per date, twice."""

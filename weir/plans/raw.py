@@ -4,6 +4,8 @@ Each function is a pure ``DataFrame -> DataFrame`` step over documents read
 with the collection schema (``weir.schemas``); loading the result is
 ``SnapshotTable.upsert`` with ``ingest_stamps``. Nested values stay typed
 (arrays/structs) in the raw layer; ``as_json_text`` gives their text form.
+With ``schemas.keep_whole`` and ``Contract.whole``, nested values are kept as
+VARIANT instead, with the fields that no schema knows (JSN-4).
 
 The duplicate policy is the reference's: first document per key in source
 order (``_src`` from the file scan, or any declared order columns).
@@ -39,7 +41,7 @@ def _first(df: DataFrame, key: str, order_by: Sequence[str] | None, contract) ->
 
 
 def watch_sessions(
-    docs: DataFrame, order_by: Sequence[str] | None = None, tier_delimiter: str = "_"
+    docs: DataFrame, order_by: Sequence[str] | None = None, tier_delimiter: str = "_", contract=schemas.WATCH_SESSIONS_RAW
 ) -> DataFrame:
     """Sessions: UTC instants, whole-second duration, subscription tier (PIP-7)."""
     start, end = parse_instant("start_time"), parse_instant("end_time")
@@ -55,10 +57,12 @@ def watch_sessions(
         "actions",
         *(order_by or [SRC]),
     )
-    return _first(df, "session_id", order_by, schemas.WATCH_SESSIONS_RAW)
+    return _first(df, "session_id", order_by, contract)
 
 
-def playback_events(docs: DataFrame, order_by: Sequence[str] | None = None) -> DataFrame:
+def playback_events(
+    docs: DataFrame, order_by: Sequence[str] | None = None, contract=schemas.PLAYBACK_EVENTS_RAW
+) -> DataFrame:
     """Playback events with a UTC instant (PIP-8)."""
     df = docs.select(
         "event_id",
@@ -67,12 +71,17 @@ def playback_events(docs: DataFrame, order_by: Sequence[str] | None = None) -> D
         "details",
         *(order_by or [SRC]),
     )
-    return _first(df, "event_id", order_by, schemas.PLAYBACK_EVENTS_RAW)
+    return _first(df, "event_id", order_by, contract)
 
 
-def support_cases(docs: DataFrame, order_by: Sequence[str] | None = None) -> DataFrame:
+def support_cases(
+    docs: DataFrame, order_by: Sequence[str] | None = None, contract=schemas.SUPPORT_CASES_RAW
+) -> DataFrame:
     """Support cases: resolution time for closed cases, message count (PIP-9)."""
     created, updated = parse_instant("created_at"), parse_instant("updated_at")
+    messages = F.col("messages")
+    if docs.schema["messages"].dataType.typeName() == "variant":
+        messages = F.try_variant_get("messages", "$", "array<variant>")
     df = docs.select(
         "ticket_id",
         "user_id",
@@ -84,10 +93,10 @@ def support_cases(docs: DataFrame, order_by: Sequence[str] | None = None) -> Dat
         F.when(F.col("status").isin(*CLOSED_STATUSES), seconds_between(created, updated)).alias(
             "resolution_time_seconds"
         ),
-        safe_size("messages").alias("messages_count"),
+        safe_size(messages).alias("messages_count"),
         *(order_by or [SRC]),
     )
-    return _first(df, "ticket_id", order_by, schemas.SUPPORT_CASES_RAW)
+    return _first(df, "ticket_id", order_by, contract)
 
 
 def recommendations(docs: DataFrame, order_by: Sequence[str] | None = None) -> DataFrame:
@@ -174,10 +183,12 @@ def load_collection(
 
 
 def as_json_text(df: DataFrame) -> DataFrame:
-    """Nested columns (arrays, structs) replaced by their JSON text (JSN-3)."""
+    """Nested columns (arrays, structs) replaced by their JSON text (JSN-3);
+    a VARIANT has its fields in alphabetical order there, whatever the order
+    in its document."""
     out = []
     for f in df.schema.fields:
-        if f.dataType.typeName() in ("array", "struct", "map"):
+        if f.dataType.typeName() in ("array", "struct", "map", "variant"):
             out.append(json_text(f.name).alias(f.name))
         else:
             out.append(F.col(f.name))

@@ -148,6 +148,14 @@ FOODS_DOC = T.StructType(
     ]
 )
 
+
+
+def keep_whole(schema: T.StructType, *names: str) -> T.StructType:
+    """``schema`` with the nested fields ``names`` read as VARIANT: whole, with
+    whatever fields a document has there (JSN-4)."""
+    return T.StructType([T.StructField(f.name, T.VariantType()) if f.name in names else f for f in schema.fields])
+
+
 # ---- target contracts --------------------------------------------------------
 
 TS = "timestamp"

@@ -161,7 +161,10 @@ class DatedTable(Published):
         compared = [c for c in (update_cols or staged.columns) if target is not None and c in target.columns and c not in self.keys]
         same = F.lit(True)
         for c in compared:
-            same = same & F.col("_t").getField(c).eqNullSafe(F.col("_s").getField(c))
+            was, now = F.col("_t").getField(c), F.col("_s").getField(c)
+            if isinstance(staged.schema[c].dataType, T.VariantType):  # compared as text: it has no equality
+                was, now = F.to_json(was), F.to_json(now)
+            same = same & was.eqNullSafe(now)
         merged = merge_grouped(
             target, staged, self.keys, update_cols, insert_only, stamps,
             extra={
