@@ -10,6 +10,7 @@ from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -540,6 +541,63 @@ def test_embeddings_count_every_link(spark):
     assert [got[i].n_links for i in range(len(x))] == links.tolist()
 
 
+def _planted(rng, n, dim, pairs):
+    """Vectors without structure, some with a near copy, and groups of a few."""
+    x = rng.normal(size=(n, dim))
+    near = x[:pairs] + 0.25 * rng.normal(size=(pairs, dim)) * np.linalg.norm(x[:pairs], axis=1)[:, None] / np.sqrt(dim)
+    few = np.repeat(x[pairs : pairs + 40], 4, axis=0) + 0.1 * rng.normal(size=(160, dim))
+    return np.concatenate([x, near, few])
+
+
+def test_embeddings_without_structure(spark, monkeypatch):
+    """Regions that no split makes cheaper are searched over the graph."""
+    searched = []
+    graph_links = op9.graph_links
+    monkeypatch.setattr(op9, "graph_links", lambda *a: searched.append(a[2]) or graph_links(*a))
+    x = _planted(np.random.default_rng(3), 5000, 32, 800)
+    got, links = _embedded(spark, x)
+    assert searched  # by the graph, not block by block
+    found = np.array([got[i].n_links for i in range(len(x))])
+    assert (found <= links).all() and found.sum() >= 0.95 * links.sum() > 1000
+    # the audit's answer to a search that finds too little: more overlap, then every block
+    searched.clear()
+    monkeypatch.setattr(op9, "audit", lambda *_: 0.0)
+    got, links = _embedded(spark, x)
+    assert searched == [op9.OVERLAP, op9.OVERLAP + 1, op9.OVERLAP + 2]
+    assert [got[i].n_links for i in range(len(x))] == links.tolist()
+
+
+def test_embeddings_audit_counts_what_is_missing(spark):
+    x = _planted(np.random.default_rng(4), 500, 16, 200)
+    rows = [(0, i, True, v.tolist(), 1) for i, v in enumerate(x)]
+    loose = spark.createDataFrame(rows, "u long, point long, home boolean, v array<double>, copies long")
+    y = x / np.linalg.norm(x, axis=1)[:, None]
+    link = y @ y.T >= 0.9
+    np.fill_diagonal(link, False)
+    every = spark.createDataFrame([(0, i, 0, int(n)) for i, n in enumerate(link.sum(axis=1)) if n], "u long, point long, low long, links long")
+    assert op9.audit(loose, every, 1000) == 1.0
+    half = every.withColumn("links", F.floor(F.col("links") / 2))
+    assert op9.audit(loose, half, 1000) < 0.7
+    assert op9.audit(loose, every.where("false"), 1000) == 0.0
+
+
+def test_pruned_graph_reaches_near_vectors():
+    x = op9.matrix(pa.array(list(_planted(np.random.default_rng(5), 800, 16, 300))))
+    adj = op9.pruned_graph(x)
+    assert adj.shape[1] <= op9.DEGREE
+    q, v = op9.range_search(x, adj, 0.9)
+    link = x @ x.T >= 0.9
+    np.fill_diagonal(link, False)
+    assert link[q, v].all() and len(q) >= 0.97 * link.sum()
+
+
+def test_embeddings_repeated_and_null_ids(spark):
+    a, b = [1.0, 0.0, 0.2], [0.0, 1.0, 0.0]
+    df = spark.createDataFrame([(1, a), (1, a), (None, a), (None, b), (2, b), (3, [0.5, -1.0, 3.0])], "vec_id long, embedding array<double>")
+    got = Counter(map(tuple, op9.near_duplicates(df).select("vec_id", "n_links", "component_id", "kept").collect()))
+    assert got == Counter([(1, 2, 1, True), (1, 2, 1, True), (None, 2, 1, False), (None, 1, 2, False), (2, 1, 2, True), (3, 0, 3, True)])
+
+
 def test_lines(docs, empty):
     got = op10.line_dedup(docs.drop("kept", "score")).collect()
     assert op10.line_dedup(empty).count() == 0
@@ -564,6 +622,41 @@ def test_lines(docs, empty):
     assert Counter((r.doc_id, r.text, r.n_lines, r.n_removed, r.n_runs) for r in got) == want
 
 
+@pytest.mark.parametrize("least", [1, 3, 5])
+def test_lines_any_run_length(spark, least):
+    import random
+
+    rng = random.Random(least)
+    data = []
+    for i in range(60):
+        lines = [f"l{rng.randint(0, 60)}" for _ in range(rng.randint(0, 25))]
+        if i and rng.random() < 0.7:  # a run of an earlier text
+            src = rng.choice(data)[1].split("\n")
+            a = rng.randint(0, len(src))
+            lines[(at := rng.randint(0, len(lines))) : at] = src[a : a + rng.randint(1, 12)]
+        data.append((i, "\n".join(lines)))
+    data.append((100, "漢" * 250 + "\nx1"))
+    data.append((101, "x2\n" + "漢" * 250 + "\nx3"))
+    seen, single, want = set(), set(), {}
+    for i, t in data:
+        seq = [(j, x) for j, x in enumerate(t.split("\n")) if x.strip()]
+        gone = set()
+        for a in range(len(seq)):
+            run = tuple(x for _, x in seq[a : a + least])
+            if len(run) == least:
+                if run in seen:
+                    gone |= set(range(a, a + least))
+                seen.add(run)
+            if seq[a][1] in single and len(seq[a][1]) >= 200:
+                gone.add(a)
+            single.add(seq[a][1])
+        out = {seq[a][0] for a in gone}
+        want[i] = ("\n".join(x for j, x in enumerate(t.split("\n")) if j not in out), len(gone))
+    df = spark.createDataFrame(data, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: (r.text, r.n_removed) for r in op10.line_dedup(df, min_lines=least).collect()}
+    assert got == want and sum(n for _, n in got.values()) > 20 and got[101][1] == 1
+
+
 def test_pipeline_stages(spark, docs):
     stage, d = run_dir(spark, "pipeline-test"), docs.select(*corpus_pipeline.COLUMNS)
     ids = {i for i, _ in rows()}

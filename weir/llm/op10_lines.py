@@ -19,10 +19,11 @@ from weir.llm.common import Stage, ranked, table
 
 WORD_CHAR = "[^\\x20\\x09-\\x0D]"
 WORD = WORD_CHAR + "+"
-#: A repeated run counts with this many lines (a power of two) ...
+#: A repeated run counts with this many lines ...
 MIN_LINES = 2
-#: ... or as a single line with this many words.
-MIN_WORDS = 20
+#: ... or as a single line with this many words, or this many characters (scripts
+#: without spaces).
+MIN_WORDS, MIN_CHARS = 20, 200
 
 _PLACE = ["doc", "key", "seq"]
 
@@ -35,7 +36,7 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 def line_table(docs: DataFrame) -> DataFrame:
     """One row per non-blank line: doc (null ids last), key, seq (number among
-    the non-blank lines), line (number among all), h1, h2, n_words."""
+    the non-blank lines), line (number among all), h1, h2, n_words, n_chars."""
     lines = F.transform(F.split("text", "\n"), lambda x, i: F.struct(i.alias("line"), x.alias("text")))
     # posexplode_outer: posexplode would compute the array once more in a filter
     return (
@@ -54,6 +55,7 @@ def line_table(docs: DataFrame) -> DataFrame:
             F.xxhash64("x.text").alias("h1"),
             F.xxhash64(F.lit("second"), "x.text").alias("h2"),
             F.regexp_count("x.text", F.lit(WORD)).alias("n_words"),
+            F.char_length("x.text").alias("n_chars"),
         )
     )
 
@@ -77,14 +79,24 @@ def _intervals(stage: Stage, suffixes: DataFrame, by: list[str], name: str) -> D
 
 def repeated_runs(stage: Stage, lines: DataFrame, min_lines: int) -> DataFrame:
     """(doc, key, seq, run), staged: a run of ``run`` lines from ``seq`` on that
-    also stands earlier, ``run`` being 1, ``min_lines`` and every further power
-    of two up to the longest repeat."""
+    also stands earlier, ``run`` being 1, ``min_lines`` and every larger power
+    of two up to the longest repeat.
+
+    The ranks at a power of two give those at any length up to its double: a
+    run of ``m`` lines is one of ``k`` lines here and one ``m - k`` lines on."""
+
+    def at_distance(level: DataFrame, ahead: int) -> DataFrame:
+        other = F.max("rank").over(Window.partitionBy("doc", "key").orderBy("seq").rangeBetween(ahead, ahead))
+        return level.select(*_PLACE, F.col("rank").alias("r1"), other.alias("r2")).where("r2 is not null")
+
     level = _intervals(stage, lines.select(*_PLACE, "h1", "h2"), ["h1", "h2"], "ranks-1")
     found = [level.where("later").select(*_PLACE, F.lit(1).alias("run"))]
     k = 1
     while True:
-        ahead = F.max("rank").over(Window.partitionBy("doc", "key").orderBy("seq").rangeBetween(k, k))
-        pairs = level.select(*_PLACE, F.col("rank").alias("r1"), ahead.alias("r2")).where("r2 is not null")
+        if k < min_lines < 2 * k:
+            exact = _intervals(stage, at_distance(level, min_lines - k), ["r1", "r2"], "ranks-least")
+            found.append(exact.where("later").select(*_PLACE, F.lit(min_lines).alias("run")))
+        pairs = at_distance(level, k)
         k *= 2
         level = _intervals(stage, pairs, ["r1", "r2"], f"ranks-{k}")
         if k == 2:  # the rounds get smaller; the first two hold nearly all rows
@@ -97,29 +109,32 @@ def repeated_runs(stage: Stage, lines: DataFrame, min_lines: int) -> DataFrame:
     for f in found[1:]:
         out = out.unionByName(f)
     out = stage.write(out, "runs")
-    for name in [f"ranks-{1 << i}" for i in range(k.bit_length())]:
+    for name in [f"ranks-{1 << i}" for i in range(k.bit_length())] + ["ranks-least"]:
         stage.drop(name)
         stage.drop(f"{name}-intervals")
     return out
 
 
-def line_dedup(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int = MIN_WORDS) -> DataFrame:
+def line_dedup(
+    docs: DataFrame, min_lines: int = MIN_LINES, min_words: int = MIN_WORDS, min_chars: int = MIN_CHARS
+) -> DataFrame:
     """``docs`` with the kept lines as ``text`` and n_lines (non-blank),
-    n_removed, n_runs (maximal deleted runs), longest_run (largest power of two
-    of lines in a row, from ``min_lines`` on, that also stand earlier; 0
+    n_removed, n_runs (maximal deleted runs), longest_run (``min_lines`` or the
+    largest power of two above it of lines in a row that also stand earlier; 0
     without).
 
     A line goes when it belongs to a run of ``min_lines`` lines that also
     stands earlier in the corpus (by doc_id, then line; within a document
-    too), or when it has ``min_words`` words and stands earlier itself; runs
-    are judged on the input. Blank lines are not part of the sequences and
+    too), or when it has ``min_words`` words or ``min_chars`` characters and
+    stands earlier itself; runs are judged on the input. Texts and lines of any
+    length are taken whole. Blank lines are not part of the sequences and
     stay. Null text stays null with 0 lines; null ids come last; rows equal
     in id and text are one document and get the same result; an empty table
     gives no rows; other columns pass through (the added names replace
     columns of the same name).
     """
-    if min_lines < 1 or min_lines & (min_lines - 1):
-        raise ValueError("min_lines must be a power of two")
+    if min_lines < 1:
+        raise ValueError("min_lines must be positive")
     stage = Stage(docs.sparkSession, "line-dedup")
     lines = stage.write(line_table(docs), "lines")
     runs = repeated_runs(stage, lines, min_lines)
@@ -128,7 +143,7 @@ def line_dedup(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int = MIN
     )
     single = (
         runs.where("run = 1")
-        .join(lines.where(F.col("n_words") >= min_words).select(*_PLACE), _PLACE, "left_semi")
+        .join(lines.where((F.col("n_words") >= min_words) | (F.col("n_chars") >= min_chars)).select(*_PLACE), _PLACE, "left_semi")
         .select("key", "seq")
     )
     gone = lines.select("key", "seq", "line").distinct().join(window.unionByName(single).distinct(), ["key", "seq"], "left_semi")
