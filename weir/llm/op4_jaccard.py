@@ -31,9 +31,8 @@ from weir.llm.text import mix, shingle_set, slices, words
 #: Links hold when 100 * intersection >= PERCENT * union.
 PERCENT = 75
 SHINGLE = 5
-#: Points and shingles of a region block, about; a task joins two blocks at a
-#: time. The larger the blocks, the fewer pairs of them a point goes to.
-BLOCK, BLOCK_SHINGLES = 4096, 2_000_000
+#: Points and shingles of a region block, about; a task joins two blocks at a time.
+BLOCK, BLOCK_SHINGLES = 1024, 2_000_000
 #: Cells of at most this many points are verified pair by pair.
 LEAF = 64
 #: A shingle is common when this share of the documents holds it (at least
@@ -377,7 +376,8 @@ def _sets(docs: DataFrame, left: DataFrame) -> DataFrame:
     d = docs.select(
         F.col("doc_id").cast("long").alias("d"), F.col("text").cast("string").alias("text"), F.xxhash64("text").alias("h")
     )
-    j = left.join(d, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("th") == F.col("h")))
+    # the points grow with the documents: a shuffle join at every size, never a broadcast
+    j = left.hint("merge").join(d, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("th") == F.col("h")))
     kept = ["point", "n", "copies", "regions"]
 
     def run(batch: pa.RecordBatch):
