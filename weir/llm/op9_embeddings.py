@@ -473,7 +473,7 @@ def audit(loose: DataFrame, links: DataFrame, rows: int = AUDIT_ROWS) -> float:
     counts = map_batches(loose.select("u", "point", "v", "copies"), count, "u long, point long, n long")
     truth = counts.groupBy("u", "point").agg(F.sum("n").alias("n"))
     found = links.groupBy("u", "point").agg(F.sum("links").alias("f"))
-    r = truth.join(found, ["u", "point"], "left").agg(F.sum("n").alias("n"), F.sum(F.least("f", "n")).alias("f")).first()
+    r = truth.join(found, ["u", "point"], "left").agg(F.sum("n").alias("n"), F.sum(F.least(F.coalesce("f", F.lit(0)), "n")).alias("f")).first()
     return 1.0 if not r.n else (r.f or 0) / r.n
 
 
