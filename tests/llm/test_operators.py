@@ -591,6 +591,20 @@ def test_pruned_graph_reaches_near_vectors():
     assert link[q, v].all() and len(q) >= 0.97 * link.sum()
 
 
+def test_graph_reaches_all_of_a_group():
+    # in a group of near copies, many are among nobody's nearest neighbours
+    rng = np.random.default_rng(6)
+    one = rng.normal(size=64)
+    x = np.concatenate([one + 0.11 * rng.normal(size=(230, 64)), rng.normal(size=(900, 64))])
+    x = op9.matrix(pa.array(list(x)))
+    adj = op9.pruned_graph(x)
+    a, k = np.nonzero(adj >= 0)
+    q, v = op9.range_search(x, op9.undirected(a, adj[a, k], len(x)), 0.9)
+    link = x @ x.T >= 0.9
+    np.fill_diagonal(link, False)
+    assert link.sum() > 50_000 and link[q, v].all() and len(q) >= 0.99 * link.sum()
+
+
 def test_embeddings_repeated_and_null_ids(spark):
     a, b = [1.0, 0.0, 0.2], [0.0, 1.0, 0.0]
     df = spark.createDataFrame([(1, a), (1, a), (None, a), (None, b), (2, b), (3, [0.5, -1.0, 3.0])], "vec_id long, embedding array<double>")

@@ -42,8 +42,8 @@ FAN, FIT_ROWS = 64, 8192
 MAX_DEPTH = 12
 #: A split is taken when it leaves at most this share of a cell's comparisons.
 PAYS = 0.5
-#: A cell is a dense group when half of its sample is this near to its mean
-#: (the square root of ``COSINE``: two such vectors are commonly in range).
+#: Cells are dense when half of their sample is this near to its mean (the
+#: square root of ``COSINE``: two such vectors are commonly in range).
 DENSE = 0.949
 #: Shards that a vector goes to, and how much of the way between two centroids
 #: it may be nearer to the first and still go to the second.
@@ -83,6 +83,23 @@ def kmeans(x: np.ndarray, k: int, rounds: int = 6) -> np.ndarray:
     return c
 
 
+def apart(c: np.ndarray) -> np.ndarray:
+    """Centroids without those in range of an earlier one, which would cut a
+    group of near copies."""
+    keep: list[int] = []
+    for j in range(len(c)):
+        if not keep or (c[keep] @ c[j]).max() < COSINE:
+            keep.append(j)
+    return c[keep]
+
+
+def dense(x: np.ndarray) -> bool:
+    """Whether half of the vectors are so near to their mean that they are
+    commonly in range of each other."""
+    mean = x.mean(axis=0)
+    return bool((x @ mean >= DENSE * np.sqrt(mean @ mean)).mean() >= 0.5)
+
+
 def visits(x: np.ndarray, c: np.ndarray, home: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(row, child, at home) of the children that rows are dealt to. A vector
     in reach of ``x`` and nearest to centroid j lies beyond the plane between j
@@ -155,6 +172,19 @@ def pruned_graph(x: np.ndarray) -> np.ndarray:
     return out
 
 
+def undirected(a: np.ndarray, b: np.ndarray, m: int) -> np.ndarray:
+    """Neighbour numbers (rows padded with -1) by the edges (a, b) and their
+    reverses: without these, vectors that are nobody's near neighbour could
+    only be left, not reached."""
+    code = np.unique(np.concatenate([a * m + b, b * m + a]))
+    a, b = code // m, code % m
+    n = np.bincount(a, minlength=m)
+    adj = np.full((m, max(1, int(n.max()) if len(n) else 1)), -1, dtype=np.int64)
+    start = np.cumsum(n) - n
+    adj[a, np.arange(len(a)) - start[a]] = b
+    return adj
+
+
 def range_search(x: np.ndarray, adj: np.ndarray, radius: float) -> tuple[np.ndarray, np.ndarray]:
     """Pairs (query, other) with cosine >= radius that the search finds; every
     row is a query."""
@@ -257,9 +287,7 @@ def regions(stage: Stage, points: DataFrame) -> tuple[DataFrame, DataFrame]:
             _, child, own = visits(x, c, home)
             # the sample only decides where pairs meet, never whether
             if comparisons(child, own) > PAYS * comparisons(np.zeros(len(x), dtype=np.int64), home):
-                mean = x[home].mean(axis=0)
-                near = x[home] @ mean >= DENSE * np.sqrt(mean @ mean)
-                return [{"cell": [key[0]], "cs": [[]], "dense": [bool(near.mean() >= 0.5)]}]
+                return [{"cell": [key[0]], "cs": [[]], "dense": [dense(x[home])]}]
             return [{"cell": [key[0]], "cs": [c.tolist()], "dense": [False]}]
 
         cents = stage.write(by_group(sample, ["cell"], fit, "cell long, cs array<array<double>>, dense boolean"), f"centroids-{depth}")
@@ -345,6 +373,7 @@ def overlapping_shards(stage: Stage, loose: DataFrame, overlap: int) -> DataFram
         big = sized.where(F.col("m") > CELL)
         n_big = sizes.where(F.col("m") > CELL).count()
         if not n_big or depth == MAX_DEPTH:
+            done = done.unionByName(big.select(*columns))
             break
         order = Window.partitionBy("cell").orderBy(F.xxhash64("point"), "point")
         sample = big.withColumn("n", F.row_number().over(order)).where(F.col("n") <= FIT_ROWS)
@@ -353,11 +382,14 @@ def overlapping_shards(stage: Stage, loose: DataFrame, overlap: int) -> DataFram
             x = matrix(t["v"])
             # many more children than a vector goes to, or the shards never shrink
             k = int(min(FAN, max(4 * overlap, -(-t["m"][0].as_py() * 2 * overlap // CELL))))
-            return [{"cell": [key[0]], "cs": [kmeans(x, min(k, len(x))).tolist()]}]
+            c = apart(kmeans(x, min(k, len(x))))
+            # a dense group stays together, in blocks
+            return [] if len(c) < 2 or dense(x) else [{"cell": [key[0]], "cs": [c.tolist()]}]
 
         cents = stage.write(by_group(sample, ["cell"], fit, "cell long, cs array<array<double>>"), f"shard-centroids-{overlap}-{depth}")
         # FAN centroids per oversize shard: broadcast while that is at most a
         # few dozen MB, else a join on the shard
+        done = done.unionByName(big.join(cents, "cell", "left_anti").select(*columns))
         dealt = big.join(F.broadcast(cents) if n_big <= 1000 else cents, "cell")
 
         def assign(batch: pa.RecordBatch):
@@ -370,15 +402,15 @@ def overlapping_shards(stage: Stage, loose: DataFrame, overlap: int) -> DataFram
                 top = np.argsort(-near, axis=1, kind="stable")[:, : min(overlap, len(c))]
                 best = top[:, :1]
                 behind = np.take_along_axis(near, best, axis=1) - np.take_along_axis(near, top, axis=1)
-                apart = np.sqrt(np.maximum(0, 2 - 2 * (c @ c.T)))[best, top]
-                row, rank = np.nonzero(behind <= MARGIN * apart + 1e-12)
+                between = np.sqrt(np.maximum(0, 2 - 2 * (c @ c.T)))[best, top]
+                row, rank = np.nonzero(behind <= MARGIN * between + 1e-12)
                 rows = pa.array(at[row])
                 # a path of children, hashed: equal for equal paths
                 child = mix(mix(np.array([cell]).view(np.uint64)) + top[row, rank].astype(np.uint64)) >> np.uint64(2)
                 yield {"u": batch.column("u").take(rows), "cell": child.astype(np.int64), "point": batch.column("point").take(rows), "v": batch.column("v").take(rows)}
 
         now = stage.write(map_batches(dealt, assign, "u long, cell long, point long, v array<double>"), f"shards-{overlap}-{depth}")
-    return stage.write(done.unionByName(big.select(*columns)).distinct(), f"shards-{overlap}")
+    return stage.write(done.distinct(), f"shards-{overlap}")
 
 
 def _shard_blocks(shards: DataFrame) -> DataFrame:
@@ -409,12 +441,7 @@ def _search(key: tuple, t: pa.Table):
     pos = np.searchsorted(point[order], flat)
     pos[pos == len(point)] = 0
     inside = point[order][pos] == flat
-    code = np.unique(rows[inside] * len(point) + order[pos[inside]])
-    a, b = code // len(point), code % len(point)
-    n = np.bincount(a, minlength=len(point))
-    adj = np.full((len(point), max(1, int(n.max()) if len(n) else 1)), -1, dtype=np.int64)
-    start = np.cumsum(n) - n
-    adj[a, np.arange(len(a)) - start[a]] = b
+    adj = undirected(rows[inside], order[pos[inside]], len(point))
     q, v = range_search(matrix(t["v"]), adj, COSINE)
     own = home[q] | home[v]  # two visitors of a region meet in another one
     if key[1] != key[2]:
