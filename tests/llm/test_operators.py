@@ -541,7 +541,7 @@ def test_embeddings_count_every_link(spark):
     assert [got[i].n_links for i in range(len(x))] == links.tolist()
 
 
-def _planted(rng, n, dim, pairs):
+def _scattered(rng, n, dim, pairs):
     """Vectors without structure, some with a near copy, and groups of a few."""
     x = rng.normal(size=(n, dim))
     near = x[:pairs] + 0.25 * rng.normal(size=(pairs, dim)) * np.linalg.norm(x[:pairs], axis=1)[:, None] / np.sqrt(dim)
@@ -554,7 +554,7 @@ def test_embeddings_without_structure(spark, monkeypatch):
     searched = []
     graph_links = op9.graph_links
     monkeypatch.setattr(op9, "graph_links", lambda *a: searched.append(a[2]) or graph_links(*a))
-    x = _planted(np.random.default_rng(3), 5000, 32, 800)
+    x = _scattered(np.random.default_rng(3), 5000, 32, 800)
     got, links = _embedded(spark, x)
     assert searched  # by the graph, not block by block
     found = np.array([got[i].n_links for i in range(len(x))])
@@ -568,7 +568,7 @@ def test_embeddings_without_structure(spark, monkeypatch):
 
 
 def test_embeddings_audit_counts_what_is_missing(spark):
-    x = _planted(np.random.default_rng(4), 500, 16, 200)
+    x = _scattered(np.random.default_rng(4), 500, 16, 200)
     rows = [(0, i, True, v.tolist(), 1) for i, v in enumerate(x)]
     loose = spark.createDataFrame(rows, "u long, point long, home boolean, v array<double>, copies long")
     y = x / np.linalg.norm(x, axis=1)[:, None]
@@ -582,7 +582,7 @@ def test_embeddings_audit_counts_what_is_missing(spark):
 
 
 def test_pruned_graph_reaches_near_vectors():
-    x = op9.matrix(pa.array(list(_planted(np.random.default_rng(5), 800, 16, 300))))
+    x = op9.matrix(pa.array(list(_scattered(np.random.default_rng(5), 800, 16, 300))))
     adj = op9.pruned_graph(x)
     assert adj.shape[1] <= op9.DEGREE
     q, v = op9.range_search(x, adj, 0.9)
