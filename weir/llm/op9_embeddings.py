@@ -48,6 +48,9 @@ DENSE = 0.949
 #: Shards that a vector goes to, and how much of the way between two centroids
 #: it may be nearer to the first and still go to the second.
 OVERLAP, MARGIN = 3, 0.3
+#: Most children of a split into shards: as every level of splits multiplies
+#: the copies of a vector, there are to be few levels.
+SHARD_FAN = 256
 DEGREE, CANDIDATES, ALPHA, BEAM = 24, 64, 1.2, 16
 #: Vectors in reach of the range are expanded, not reported.
 SLACK = 0.05
@@ -381,16 +384,16 @@ def overlapping_shards(stage: Stage, loose: DataFrame, overlap: int) -> DataFram
         def fit(key, t: pa.Table):
             x = matrix(t["v"])
             # many more children than a vector goes to, or the shards never shrink
-            k = int(min(FAN, max(4 * overlap, -(-t["m"][0].as_py() * 2 * overlap // CELL))))
+            k = int(min(SHARD_FAN, max(4 * overlap, -(-t["m"][0].as_py() * 2 * overlap // CELL))))
             c = apart(kmeans(x, min(k, len(x))))
             # a dense group stays together, in blocks
             return [] if len(c) < 2 or dense(x) else [{"cell": [key[0]], "cs": [c.tolist()]}]
 
         cents = stage.write(by_group(sample, ["cell"], fit, "cell long, cs array<array<double>>"), f"shard-centroids-{overlap}-{depth}")
-        # FAN centroids per oversize shard: broadcast while that is at most a
-        # few dozen MB, else a join on the shard
+        # SHARD_FAN centroids per oversize shard: broadcast while that is at most
+        # a few dozen MB, else a join on the shard
         done = done.unionByName(big.join(cents, "cell", "left_anti").select(*columns))
-        dealt = big.join(F.broadcast(cents) if n_big <= 1000 else cents, "cell")
+        dealt = big.join(F.broadcast(cents) if n_big <= 250 else cents, "cell")
 
         def assign(batch: pa.RecordBatch):
             cells = batch.column("cell").to_numpy()
