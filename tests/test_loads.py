@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import datetime as dt
+import os
 import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from weir.operators.dedup import keep_first, keep_last
+from weir.plans.queries import QUERIES
 from weir.sinks import audit
-from weir.sinks.tables import BUCKET, KeyBucketedTable, SnapshotTable, append, key_bucket, merge, read_partitioned, replace_date, replace_dates
+from weir.sinks.tables import BUCKET, KeyBucketedTable, SnapshotTable, append, key_bucket, merge, merge_grouped, read_partitioned, replace_date, replace_dates
 
 UTC = dt.timezone.utc
 T1 = dt.datetime(2024, 2, 1, tzinfo=UTC)
@@ -246,3 +248,34 @@ def test_bucketed_upsert_plan_prunes_target_and_shuffles_once(spark, workdir):
     # an empty source writes nothing
     table.upsert(_frame(spark, []))
     assert table.read().count() == 100
+
+
+def test_upsert_shuffles_each_side_once(spark):
+    """A source that comes from a window on the key is not shuffled again."""
+    rows = spark.range(100).select(F.concat(F.lit("k"), "id").alias("k"), F.col("id").cast("int").alias("v"), F.lit("x").alias("note"))
+    first = keep_first(rows, ["k"], ["v"])
+    plan = merge_grouped(rows, first, ["k"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2
+
+
+def test_reports_export_is_compressed_and_first_in_source_order_wins(spark, workdir):
+    """Lines that repeat (orderkey, linenumber): the smallest by its own columns
+    is loaded, whatever the order of the table's rows."""
+    at = dt.datetime(1998, 1, 1)
+    orders = [(o, o % 3, "F", 1.0, at, "1-URGENT") for o in range(40)]
+    line = lambda o, p: (o, p, 1, 1, float(p), 1.0, 0.0, 0.0, "N", "O", at)
+    lines = [line(o, p) for p in (9, 5, 7) for o in range(40)]
+    spark.createDataFrame(
+        orders, "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string"
+    ).write.parquet(f"{workdir}/orders.parquet")
+    spark.createDataFrame(
+        lines,
+        "l_orderkey long, l_partkey long, l_linenumber int, l_suppkey long, l_quantity double, l_extendedprice double, "
+        "l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    ).repartition(3).write.parquet(f"{workdir}/lineitem.parquet")
+    for name in ("load_raw_reports", "stream_ingest_reports"):
+        got = QUERIES[name](spark, workdir)
+        exports = got.inputFiles()[0].split("/raw/")[0].removeprefix("file:")
+        assert {(r.review_id, r.object_id) for r in got.collect()} == {(f"abuse_{o}_1", "vid_5") for o in range(40)}
+        files = [f for d, _, fs in os.walk(exports) if "/export" in d for f in fs if f.startswith("part-")]
+        assert files and all(f.endswith(".gz") for f in files)

@@ -479,19 +479,31 @@ def audit_run_state(spark, d):
 FIRST_LOAD = ("0", "1", "2", "3", "4")
 
 
+#: Exports are compressed: as plain text they are several times the tables
+#: they come from. A file is one task's rows, and is read by one task.
+EXPORT = {"compression": "gzip"}
+
+
 def _load_raw(spark, docs, schema, build, contract) -> DataFrame:
     """Two loads of a collection export: a part of the documents, then all of
-    them; stamps tell which load brought a key first."""
+    them; stamps tell which load brought a key first. ``docs`` have the rows of
+    a key in one partition and in source order, so that the first of them wins;
+    the order among keys is free."""
     root = run_dir(spark, f"load_{contract.table}")
     (key,) = contract.key
     table = SnapshotTable(spark, f"{root}/raw")
     part = F.substring(key, -1, 1).isin(*FIRST_LOAD)
     for n, (some, at) in enumerate(((docs.where(part), LOAD_1), (docs, LOAD_2))):  # the second load updates the first's keys
-        some.orderBy(SRC).drop(SRC).write.json(f"{root}/export-{n}")  # first in source order wins
+        some.drop(SRC).write.options(**EXPORT).json(f"{root}/export-{n}")
         raw.load_collection(spark, read_collection(spark, f"{root}/export-{n}", schema), build, contract, table, at, f"{root}/rejects")
     return raw.as_json_text(table.read())
 
 
+def _by_key(docs: DataFrame, key: str) -> DataFrame:
+    """``docs`` with the rows of a key in one partition and in source order."""
+    return docs.repartition(key).sortWithinPartitions(SRC)
+
+
 @query
 def load_raw_sessions(spark, d):
     """PIP-7 load: sessions export -> raw by keyed upsert, twice."""
@@ -516,14 +528,14 @@ def load_raw_cases(spark, d):
 @query
 def load_raw_recommendations(spark, d):
     """PIP-10 load."""
-    docs = shaped.recommendation_docs(*_t(spark, d, "orders", "lineitem"))
+    docs = _by_key(shaped.recommendation_docs(*_t(spark, d, "orders", "lineitem")), "user_id")
     return _load_raw(spark, docs, schemas.CONTENT_RECOMMENDATIONS, raw.recommendations, schemas.CONTENT_RECOMMENDATIONS_RAW)
 
 
 @query
 def load_raw_reports(spark, d):
     """PIP-11 load."""
-    docs = shaped.abuse_report_docs(*_t(spark, d, "orders", "lineitem"))
+    docs = shaped.abuse_report_docs(*_t(spark, d, "orders", "lineitem"), in_order=True)
     return _load_raw(spark, docs, schemas.ABUSE_REPORTS, raw.abuse_reports, schemas.ABUSE_REPORTS_RAW)
 
 
@@ -686,7 +698,7 @@ def _stream_raw(spark, name: str, parts, schema, build, contract, table, replay:
     table = table(f"{root}/raw")
     src, ckpt = f"{root}/export", f"{root}/_checkpoint"
     for lines, load_time in zip(parts, (LOAD_1, LOAD_2)):
-        lines.write.mode("append").text(src)
+        lines.write.mode("append").options(**EXPORT).text(src)
         for again in range(2 if replay else 1):
             at = load_time + again * dt.timedelta(days=30)
             stream = streaming.collection_stream(spark, src, schema)
@@ -708,12 +720,13 @@ def forget_last_commit(spark, checkpoint: str) -> None:
 
 
 def _export_lines(docs: DataFrame, key: str) -> list[DataFrame]:
-    """Documents as JSON lines in two exports by the last digit of their key,
-    with a cut copy of every tenth key's line between them."""
+    """Documents, as ``_load_raw`` has them, as JSON lines in two exports by the
+    last digit of their key, with a cut copy of every tenth key's line between
+    them."""
     line = F.to_json(F.struct(*[c for c in docs.columns if c != SRC]))
     digit = F.substring(key, -1, 1)
     texts = F.when(digit == "7", F.array(F.left(line, F.length(line) - 2), line)).otherwise(F.array(line))
-    both = docs.orderBy(SRC).select(digit.isin(*FIRST_LOAD).alias("early"), F.explode(texts).alias("value"))
+    both = docs.select(digit.isin(*FIRST_LOAD).alias("early"), F.explode(texts).alias("value"))
     return [both.where("early").select("value"), both.where("not early").select("value")]
 
 
@@ -754,7 +767,7 @@ def stream_ingest_cases(spark, d):
 @query
 def stream_ingest_recommendations(spark, d):
     """STM-1, PIP-10: recommendations."""
-    docs = shaped.recommendation_docs(*_t(spark, d, "orders", "lineitem"))
+    docs = _by_key(shaped.recommendation_docs(*_t(spark, d, "orders", "lineitem")), "user_id")
     parts = _export_lines(docs, "user_id")
     contract = schemas.CONTENT_RECOMMENDATIONS_RAW
     rows, _ = _stream_raw(spark, "stream_recommendations", parts, schemas.CONTENT_RECOMMENDATIONS, raw.recommendations, contract, _snapshot(spark))
@@ -764,7 +777,7 @@ def stream_ingest_recommendations(spark, d):
 @query
 def stream_ingest_reports(spark, d):
     """STM-1, PIP-11: abuse reports."""
-    docs = shaped.abuse_report_docs(*_t(spark, d, "orders", "lineitem"))
+    docs = shaped.abuse_report_docs(*_t(spark, d, "orders", "lineitem"), in_order=True)
     parts = _export_lines(docs, "review_id")
     rows, _ = _stream_raw(spark, "stream_reports", parts, schemas.ABUSE_REPORTS, raw.abuse_reports, schemas.ABUSE_REPORTS_RAW, _snapshot(spark))
     return raw.as_json_text(rows.drop("updated_at"))

@@ -66,7 +66,7 @@ def split(marked: DataFrame, name: str, reasons: Sequence[str] = REASONS) -> Spl
     counts = [F.count_if(F.col(REASON) == r).alias(f"r{i}") for i, r in enumerate(reasons)]
     loaded, refused = F.count_if(F.col(REASON).isNull()).alias("loaded"), F.count(REASON).alias("refused")
     out = marked.observe(obs, loaded, refused, *counts).withColumn(_SIDE, F.col(REASON).isNotNull())
-    out.write.partitionBy(_SIDE).parquet(path)
+    out.write.partitionBy(_SIDE).option("compression", "zstd").parquet(path)
     got = obs.get
     by_reason = {r: int(got[f"r{i}"]) for i, r in enumerate(reasons) if got[f"r{i}"]}
     if sum(by_reason.values()) != got["refused"]:

@@ -378,11 +378,12 @@ def merge_grouped(
     stamps: Mapping[str, Column] | None = None,
     extra: Mapping[str, Column] | None = None,
 ) -> DataFrame:
-    """``merge`` by grouping: the rows of both sides are shuffled once on the
-    key and every key's target and source row meet in a group. ``_sources``
-    counts the source rows of the key, so that the caller can refuse a key
-    that comes twice; ``extra`` columns may use ``_t`` and ``_s``, the two
-    rows as structs (null where a side lacks the key)."""
+    """``merge`` by grouping: each side is grouped by key (a source that comes
+    from a window on the key is not shuffled again), and the target and source
+    row of a key meet in a full outer join of the groups. ``_sources`` counts
+    the source rows of the key, so that the caller can refuse a key that comes
+    twice; ``extra`` columns may use ``_t`` and ``_s``, the two rows as structs
+    (null where a side lacks the key)."""
     insert_only, stamps = dict(insert_only or {}), dict(stamps or {})
     keys = list(keys)
     data_cols = [c for c in source.columns if c not in keys]
@@ -396,20 +397,20 @@ def merge_grouped(
     out_cols += [c for c in tcols if c not in out_cols]
     # a struct column of its own keeps a side apart from its values, all of which may be null
     s_side = F.struct(F.lit(True).alias("_hit"), *data_cols)
-    t_fields = [T.StructField("_hit", T.BooleanType()), *[target.schema[c] for c in tcols]] if target is not None else []
-    t_type = T.StructType(t_fields or [T.StructField("_hit", T.BooleanType())])
-    s_type = T.StructType([T.StructField("_hit", T.BooleanType()), *[source.schema[c] for c in data_cols]])
-    rows = source.select(*keys, F.lit(None).cast(t_type).alias("_t"), s_side.alias("_s"))
-    if target is not None:
-        t_side = F.struct(F.lit(True).alias("_hit"), *tcols)
-        rows = rows.unionByName(target.select(*keys, t_side.alias("_t"), F.lit(None).cast(s_type).alias("_s")))
+    t_type = T.StructType([T.StructField("_hit", T.BooleanType()), *[target.schema[c] for c in tcols]] if target is not None else [])
+
     # shuffled before grouping: partial groups would only add a sort of the
     # unshuffled rows, as keys are unique on each side
-    pairs = rows.repartition(*[F.col(k) for k in keys]).groupBy(*keys).agg(
-        F.first("_t", ignorenulls=True).alias("_t"),
-        F.first("_s", ignorenulls=True).alias("_s"),
-        F.count("_s").alias(SOURCES),
-    )
+    def grouped(rows: DataFrame, side: Column, name: str, *counts: Column) -> DataFrame:
+        sides = rows.select(*keys, side.alias(name)).repartition(*[F.col(k) for k in keys])
+        return sides.groupBy(*keys).agg(F.first(name).alias(name), *counts)
+
+    pairs = grouped(source, s_side, "_s", F.count(F.lit(1)).alias(SOURCES))
+    if target is None:
+        pairs = pairs.withColumn("_t", F.lit(None).cast(t_type))
+    else:
+        t_side = F.struct(F.lit(True).alias("_hit"), *tcols)
+        pairs = grouped(target, t_side, "_t").join(pairs, keys, "full_outer").fillna(0, [SOURCES])
     present = set(tcols)
     columns = _merged_columns(
         out_cols, keys, data_cols, update_cols, insert_only, stamps,

@@ -186,11 +186,20 @@ def recommendation_docs(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
 # ---- AbuseReports ← lineitem + orders ------------------------------------------
 
 
-def abuse_report_docs(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
+def abuse_report_docs(orders: DataFrame, lineitem: DataFrame, in_order: bool = False) -> DataFrame:
     """One report per line item, by the order's customer. (orderkey,
     linenumber) repeats in the data, so review ids repeat too; source order
-    is the line's own columns."""
+    is the line's own columns. With ``in_order`` the lines of an order are in
+    one partition and in source order."""
+    own = [
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
+        "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
+    ]
+    if in_order:  # an exchange that is asked for is never split for skew
+        lineitem = lineitem.select(*own).repartition("l_orderkey")
     j = lineitem.join(per_order(orders.select("o_orderkey", "o_custkey")), lineitem.l_orderkey == orders.o_orderkey, "inner")
+    if in_order:
+        j = j.sortWithinPartitions(*own)
     flags = (
         F.when(F.col("l_returnflag") == "R", F.array(F.lit("spam_suspected")))
         .when(F.col("l_returnflag") == "A", F.array(F.lit("other"), F.lit("nudity")))
@@ -205,8 +214,7 @@ def abuse_report_docs(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
         F.lit("").alias("file"),
         F.lit(0).cast("bigint").alias("block"),
         F.col("l_orderkey").alias("row"),
-        "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
-        "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
+        *own[1:],
     )
     return j.select(
         F.concat(F.lit("abuse_"), _s("l_orderkey"), F.lit("_"), _s("l_linenumber")).alias("review_id"),
