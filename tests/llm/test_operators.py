@@ -386,6 +386,13 @@ def test_quality_held_out(spark):
     assert share[1] >= 0.98 and share.get(0, 0) <= 0.1
 
 
+def test_quality_uses_every_label(spark):
+    ids = spark.range(50_000).select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias("quality"))
+    got = op5.labelled_ids(ids.union(ids)).groupBy("good", "half").count().collect()
+    assert len(got) == 4 and sum(r["count"] for r in got) == 50_000
+    assert all(r["count"] > 12_000 for r in got)
+
+
 def _ids(t, end):
     return np.array([*_tok().encode(t or "", add_special_tokens=False).ids, end], dtype="<u4")
 

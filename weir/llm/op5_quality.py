@@ -1,7 +1,7 @@
 """Quality rules: hashed n-gram log-likelihood ratio with fixed thresholds.
 
 Two multinomials over hashed word 1- and 2-grams: the trusted target (documents
-labelled good, a bounded sample) and the raw corpus (all documents). A
+labelled good) and the raw corpus (all documents). A
 document's score is its log-likelihood ratio divided by its number of n-grams;
 documents below the threshold go, as do those that fail the base rules. Built
 from DataFrame functions only.
@@ -13,14 +13,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weir.llm.common import Stage, table
+from weir.operators.bounds import percentiles
 
 SPACE = "[\\x20\\x09-\\x0D]+"
 WORD_CHAR = "[^\\x20\\x09-\\x0D]"
 SYMBOLS = "#*$%&|<>"
 
 BUCKETS = 1 << 14
-#: Labelled rows of each class that are used for the fit, at most.
-FIT_ROWS = 20_000
 
 
 def word_array(text: Column) -> Column:
@@ -76,22 +75,14 @@ def with_grams(docs: DataFrame) -> DataFrame:
     return d.withColumn("_h2", _shifted(F.col("_h1"), 1, lambda a, b: F.xxhash64(a, b)))
 
 
-def labelled_ids(labels: DataFrame, fit_rows: int) -> DataFrame:
-    """At most ``fit_rows`` ids of each quality, the smallest by hash of the id
-    (t_id, good, half). An id labelled both ways counts as good. One half of
-    the ids fits the target, the other the threshold: scores of documents that
-    the target was fitted on are too high."""
-    ids = (
+def labelled_ids(labels: DataFrame) -> DataFrame:
+    """Every labelled id (t_id, good, half). An id labelled both ways counts as
+    good. One half of the ids fits the target, the other the threshold: scores
+    of documents that the target was fitted on are too high."""
+    return (
         labels.where("quality in (0, 1) and doc_id is not null")
         .groupBy(F.col("doc_id").cast("long").alias("t_id"))
         .agg((F.max("quality") == 1).alias("good"))
-    )
-    order = [F.xxhash64("t_id"), F.col("t_id")]
-    return (
-        ids.where("good")
-        .orderBy(*order)
-        .limit(fit_rows)
-        .unionByName(ids.where("not good").orderBy(*order).limit(fit_rows))
         .withColumn("half", F.pmod(F.xxhash64(F.lit("half"), "t_id"), F.lit(2)))
     )
 
@@ -101,7 +92,8 @@ def log_ratios(docs: DataFrame, fit: DataFrame, buckets: int) -> list[float] | N
     cover every document. ``buckets`` numbers reach the driver. None when
     nothing is trusted."""
     trusted = fit.where("good and half = 0")
-    marked = docs.join(F.broadcast(trusted), docs["doc_id"] == trusted["t_id"], "left").select(
+    # the labels grow with the documents: the planner broadcasts few of them only
+    marked = docs.join(trusted, docs["doc_id"] == trusted["t_id"], "left").select(
         "text", F.col("t_id").isNotNull().alias("good")
     )
     # explode_outer: explode would add a filter on the array's size below the
@@ -139,23 +131,21 @@ def score(ratios: list[float], buckets: int) -> Column:
     return F.when(n > 0, (total("_h1") + total("_h2")) / n)
 
 
-def threshold(docs: DataFrame, fit: DataFrame, ratios: list[float], buckets: int) -> float | None:
+def threshold(docs: DataFrame, fit: DataFrame, ratios: list[float], buckets: int, stage: Stage) -> float | None:
     """Midway between the 1 % quantile of the good sample's scores and the 90 %
     quantile of the bad one's, never above the former. Null without a good
-    score."""
-    labelled = docs.select("doc_id", "text").join(F.broadcast(fit.where("half = 1")), F.col("doc_id") == F.col("t_id"))
+    score. The quantiles are exact, over every score of the threshold's half."""
+    labelled = docs.select("doc_id", "text").join(fit.where("half = 1"), F.col("doc_id") == F.col("t_id"))
     scored = with_grams(labelled).select("good", score(ratios, buckets).alias("s"), F.size("_h1").alias("n")).where("n >= 20")
-    # exact: at most fit_rows labelled ids of each class (times their repeated rows)
-    q = scored.agg(
-        F.percentile(F.when(F.col("good"), F.col("s")), F.lit(0.01)).alias("good"),
-        F.percentile(F.when(~F.col("good"), F.col("s")), F.lit(0.9)).alias("bad"),
-    ).first()
-    if q.good is None or q.bad is None:
-        return q.good
-    return min(q.good, (q.good + q.bad) / 2)
+    scores = stage.write(scored.select("good", "s"), "scores")
+    good = percentiles(scores.where("good"), "s", [0.01], ["q"]).first().q
+    bad = percentiles(scores.where("not good"), "s", [0.9], ["q"]).first().q
+    if good is None or bad is None:
+        return good
+    return min(good, (good + bad) / 2)
 
 
-def quality(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, fit_rows: int = FIT_ROWS) -> DataFrame:
+def quality(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     """``docs`` with the base columns, ``score`` (double) and ``kept``.
 
     kept: the base rules hold and the score is at least the threshold. Null or
@@ -164,12 +154,13 @@ def quality(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, fit_rows
     are never in the fit; repeated rows are judged alike; extra columns pass
     through (names that start with an underscore are reserved).
     """
-    fit = Stage(docs.sparkSession, "quality").write(labelled_ids(labels, fit_rows), "fit")
+    stage = Stage(docs.sparkSession, "quality")
+    fit = stage.write(labelled_ids(labels), "fit")
     ratios = log_ratios(docs, fit, buckets)
     based = base_columns(docs)
     if ratios is None:
         return _judged(based.withColumn("score", F.lit(None).cast("double")), F.lit(True))
-    level = threshold(docs, fit, ratios, buckets)
+    level = threshold(docs, fit, ratios, buckets, stage)
     passes = F.lit(True) if level is None else F.coalesce(F.col("score") >= F.lit(level), F.lit(False))
     return _judged(based.withColumn("score", score(ratios, buckets)), passes)
 
