@@ -393,6 +393,23 @@ def test_quality_uses_every_label(spark):
     assert all(r["count"] > 12_000 for r in got)
 
 
+def test_quality_shuffles_text_once(spark, monkeypatch):
+    plans = {}
+    write = op5.Stage.write
+
+    def kept(self, df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return write(self, df, name)
+
+    monkeypatch.setattr(op5.Stage, "write", kept)
+    texts = [(i, f"{'good' if i % 2 else 'bad'} " * 10 + " ".join(f"w{(i * j) % 97}" for j in range(30))) for i in range(200)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    op5.quality(docs, docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("quality"))).collect()
+    # texts are scored where they lie; ids and scores meet the labels
+    assert "Exchange" not in plans["scored"] and "Join" not in plans["scored"]
+    assert "text" not in plans["scores"]
+
+
 def _ids(t, end):
     return np.array([*_tok().encode(t or "", add_special_tokens=False).ids, end], dtype="<u4")
 

@@ -91,8 +91,8 @@ def log_ratios(docs: DataFrame, fit: DataFrame, buckets: int) -> list[float] | N
     """log p_target - log p_raw per bucket, add-one smoothed; the raw counts
     cover every document. ``buckets`` numbers reach the driver. None when
     nothing is trusted."""
-    trusted = fit.where("good and half = 0")
-    # the labels grow with the documents: the planner broadcasts few of them only
+    # the labels grow with the documents: a shuffle join at every size
+    trusted = fit.where("good and half = 0").hint("merge")
     marked = docs.join(trusted, docs["doc_id"] == trusted["t_id"], "left").select(
         "text", F.col("t_id").isNotNull().alias("good")
     )
@@ -134,10 +134,15 @@ def score(ratios: list[float], buckets: int) -> Column:
 def threshold(docs: DataFrame, fit: DataFrame, ratios: list[float], buckets: int, stage: Stage) -> float | None:
     """Midway between the 1 % quantile of the good sample's scores and the 90 %
     quantile of the bad one's, never above the former. Null without a good
-    score. The quantiles are exact, over every score of the threshold's half."""
-    labelled = docs.select("doc_id", "text").join(fit.where("half = 1"), F.col("doc_id") == F.col("t_id"))
-    scored = with_grams(labelled).select("good", score(ratios, buckets).alias("s"), F.size("_h1").alias("n")).where("n >= 20")
-    scores = stage.write(scored.select("good", "s"), "scores")
+    score. The quantiles are exact, over every score of the threshold's half.
+
+    Every document is scored where it lies: only ids and scores are shuffled
+    to the labels, no text."""
+    scored = with_grams(docs.select("doc_id", "text")).select("doc_id", score(ratios, buckets).alias("s"), F.size("_h1").alias("n"))
+    scored = stage.write(scored, "scored")
+    half = fit.where("half = 1").hint("merge")
+    labelled = scored.where("n >= 20").join(half, scored["doc_id"] == half["t_id"])
+    scores = stage.write(labelled.select("good", "s"), "scores")
     good = percentiles(scores.where("good"), "s", [0.01], ["q"]).first().q
     bad = percentiles(scores.where("not good"), "s", [0.9], ["q"]).first().q
     if good is None or bad is None:
@@ -157,6 +162,7 @@ def quality(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS) -> DataF
     stage = Stage(docs.sparkSession, "quality")
     fit = stage.write(labelled_ids(labels), "fit")
     ratios = log_ratios(docs, fit, buckets)
+    stage.release()
     based = base_columns(docs)
     if ratios is None:
         return _judged(based.withColumn("score", F.lit(None).cast("double")), F.lit(True))
