@@ -293,6 +293,52 @@ def test_passages_near_the_threshold(spark):
     assert found == {i: i - 1 for i in range(1, 300, 2)}
 
 
+def test_passages_behind_frequent_phrases(spark):
+    # two documents share a passage; more, with smaller and intermediate ids, share thirds of it
+    rng = np.random.default_rng(5)
+    word = lambda k: [f"w{x}" for x in rng.integers(0, 10**9, k)]
+    texts, want = [], set()
+    for _ in range(6):
+        p = word(100)
+        parts = [word(60) + p[a : a + 35] + word(60) for a in range(0, 100, 15) for _ in range(3)]
+        first, last = word(40) + p + word(30), word(20) + p + word(50)
+        group = [*parts[::3], first, *parts[1::3], last, *parts[2::3]]
+        want.add((len(texts) + group.index(last), len(texts) + group.index(first)))
+        texts += [" ".join(t) for t in group]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    assert {(r.doc_id, r.rep_doc_id) for r in op3.near_passages(df).collect()} == want
+
+
+@pytest.mark.parametrize("direct", [64, 2])
+def test_passages_pair_every_entry(monkeypatch, direct):
+    monkeypatch.setattr(op3, "DIRECT", direct)
+    e = np.zeros(9, dtype=op3.ENTRY)
+    e["key"], e["c"] = 8, 3
+    e["doc"], e["th"] = [5, 1, 2, 3, 4, 9, 9, 1, 7], [50, 10, 20, 30, 40, 10, 10, 10, 20]
+    copies, left = op3._copies(e)
+    assert sorted(copies[["doc", "rep"]].tolist()) == [(7, 2), (9, 1)]
+    pairs, frequent = op3._all_pairs(left)
+    got = pairs[["doc", "rep"]].tolist()
+    for x in frequent:
+        block = np.arange(len(x)) // 2
+        for a in range(3):
+            for b in range(a, 3):
+                in_two = (block == a) | (block == b)
+                got += op3._cross(x[in_two], block[in_two], a != b)[["doc", "rep"]].tolist()
+    assert sorted(got) == [(a, b) for a in range(1, 6) for b in range(1, a)]
+
+
+def test_passages_of_a_frequent_key(spark, monkeypatch):
+    monkeypatch.setattr(op3, "DIRECT", 2)
+    monkeypatch.setattr(op3, "BLOCK", 2)
+    rng = np.random.default_rng(6)
+    word = lambda k: [f"w{x}" for x in rng.integers(0, 10**9, k)]
+    p = word(120)
+    df = spark.createDataFrame([(i, " ".join(word(20) + p + word(20))) for i in range(7)], "doc_id long, text string").repartition(3)
+    got = {(r.doc_id, r.rep_doc_id) for r in op3.near_passages(df).collect()}
+    assert got == {(a, b) for a in range(7) for b in range(a)}
+
+
 def test_matching_spans_with_changes_close_together():
     # 60 of 70 shingles shared; the runs before and after the changes are too short alone
     a = np.arange(1, 101, dtype=np.int64)
