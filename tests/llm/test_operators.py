@@ -380,6 +380,18 @@ def test_jaccard(docs, empty):
     assert op4.jaccard_join(empty).count() == 0
 
 
+def test_jaccard_in_rounds(spark, monkeypatch):
+    monkeypatch.setattr(op4, "BLOCK", 8)
+    written = []
+    write = op4.Stage.write
+    monkeypatch.setattr(op4.Stage, "write", lambda self, df, name: written.append(name) or write(self, df, name))
+    data = [(i, " ".join(f"w{j}" for j in range(40)) + f" x{i}") for i in range(30)] + [(i, f"text {i} " * 9) for i in range(30, 40)]
+    got = op4.jaccard_join(spark.createDataFrame(data, "doc_id long, text string")).collect()
+    assert Counter((r.doc_id, r.n_shingles, r.component, r.n_links) for r in got) == _links(data)
+    # a region of several blocks is not sent out all at once
+    assert {"links-0", "links-1"} <= set(written)
+
+
 def test_metric_join_is_exact():
     rng = np.random.default_rng(2)
     base = [rng.choice(5000, 60, replace=False) for _ in range(12)]

@@ -20,6 +20,8 @@ blocks of bounded size.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -325,6 +327,7 @@ def jaccard_join(docs: DataFrame, with_text_hash: bool = False) -> DataFrame:
     met = keys.join(pivots.select("s", "region"), "s").groupBy("point")
     met = met.agg(F.collect_list("s").alias("shared"), F.collect_set("region").alias("regions"))
     met = stage.write(met.join(reps.select("point", "n"), "point"), "met")
+    stage.drop("reps")
     member = met.select(F.explode_outer("regions").alias("region"), "point", "n")
     stage.release()
     # regions of more than a block are dealt into pairs of blocks
@@ -339,15 +342,31 @@ def jaccard_join(docs: DataFrame, with_text_hash: bool = False) -> DataFrame:
     possible = stage.write(
         by_group(first, ["region", "b1", "b2"], _possible, "region long, b1 long, b2 long, point long, block long"), "possible"
     )
+    stage.drop("met")
     stage.release()
     # whole sets of the points that are left, from the texts of their documents
-    left = possible.select("point").distinct().join(reps.drop("prefix"), "point")
-    regions = possible.groupBy("point").agg(F.array_sort(F.collect_set("region")).alias("regions"))
-    left = stage.write(left.join(regions, "point"), "left")
+    places = possible.groupBy("point").agg(
+        F.array_sort(F.collect_set("region")).alias("regions"), F.collect_list(F.struct("region", "b1", "b2", "block")).alias("places")
+    )
+    left = sk.select(F.col("row").alias("point"), "doc_id", "th", "n").join(points.select("point", "copies"), "point")
+    left = stage.write(left.join(places, "point"), "left")
     sets = stage.write(_sets(docs, left), "sets")
+    size = left.agg(F.count(F.lit(1)).alias("points"), F.sum(F.size("places")).alias("rows")).first()
+    stage.drop("possible")
+    stage.drop("left")
     stage.release()
-    second = possible.join(sets, "point")
-    got = stage.write(by_group(second, ["region", "b1", "b2"], _links, "point long, low long, links long"), "links")
+    # each set is sent to all its block pairs: in rounds that send about as many
+    # sets as there are, so that the disk they take grows with the points only
+    rounds = -(-(size.rows or 0) // max(1, size.points)) or 1
+    parts = []
+    for k in range(rounds):
+        due = F.filter("places", lambda x: F.pmod(F.xxhash64(x["region"], x["b1"], x["b2"]), F.lit(rounds)) == k)
+        second = sets.withColumn("places", due).where(F.size("places") > 0).withColumn("x", F.explode("places"))
+        second = second.select("x.*", "point", "n", "copies", "regions", "shingles")
+        parts.append(stage.write(by_group(second, ["region", "b1", "b2"], _links, "point long, low long, links long"), f"links-{k}"))
+        stage.release()
+    stage.drop("sets")
+    got = reduce(DataFrame.unionByName, parts)
     comps = components(stage, got.select(F.col("point").alias("a"), F.col("low").alias("b")))
     counted = got.groupBy("point").agg(F.sum("links").alias("links"))
     label = points.join(comps.withColumnRenamed("node", "point"), "point", "left").join(counted, "point", "left")
@@ -378,7 +397,7 @@ def _sets(docs: DataFrame, left: DataFrame) -> DataFrame:
     )
     # the points grow with the documents: a shuffle join at every size, never a broadcast
     j = left.hint("merge").join(d, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("th") == F.col("h")))
-    kept = ["point", "n", "copies", "regions"]
+    kept = ["point", "n", "copies", "regions", "places"]
 
     def run(batch: pa.RecordBatch):
         sets = [shingle_set(words(t), SHINGLE) for t in _texts(batch, batch.schema.get_field_index("text"))]
@@ -390,7 +409,8 @@ def _sets(docs: DataFrame, left: DataFrame) -> DataFrame:
             "shingles": pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)),
         }
 
-    ddl = "point long, n long, copies long, regions array<long>, shingles array<long>"
+    place = "struct<region: long, b1: long, b2: long, block: long>"
+    ddl = f"point long, n long, copies long, regions array<long>, places array<{place}>, shingles array<long>"
     return map_batches(j.dropDuplicates(["point"]).select(*kept, "text"), run, ddl)
 
 
