@@ -28,6 +28,7 @@ from weir.llm import op7_mixing as op7  # noqa: E402
 from weir.llm import op8_packing as op8  # noqa: E402
 from weir.llm import op9_embeddings as op9  # noqa: E402
 from weir.llm import op10_lines as op10  # noqa: E402
+from weir.llm.common import by_group  # noqa: E402
 from weir.session import run_dir  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
@@ -339,6 +340,52 @@ def test_passages_of_a_frequent_key(spark, monkeypatch):
     assert got == {(a, b) for a in range(7) for b in range(a)}
 
 
+def _joint(texts, least=46):
+    """The joint windows of all pairs of functions over ``texts``."""
+    found, codes = [], {}
+    for doc, t in enumerate(texts):
+        s = op3.shingle_sequence(op3.words(t.encode()), op3.SHINGLE)
+        codes[doc, doc] = (s >> np.uint64(56)).astype(np.uint8)
+        for f in range(op3.HASHES):
+            h = (op3.mix(s + np.uint64(0x9E3779B97F4A7C15 * (f + 1) % (1 << 64))) & ~np.uint64(7)) | np.uint64(f)
+            l, c, r = op3.compact_windows(h, np.zeros(len(s), np.int64), np.full(len(s), len(s)), least)
+            e = np.zeros(len(c), dtype=op3.ENTRY)
+            e["key"], e["doc"], e["th"], e["l"], e["c"], e["r"] = h[c], doc, doc, l, c, r
+            found.append(e)
+    some = [(f, g) for f in range(op3.HASHES) for g in range(f + 1, op3.HASHES)]
+    return np.concatenate(list(op3.joint_windows(op3._shared(np.concatenate(found)), codes, least, some)))
+
+
+def test_passages_frequent_phrases_make_no_pairs():
+    # every text has the same two phrases; only the last two share a passage
+    rng = np.random.default_rng(8)
+    word = lambda k: [f"w{x}" for x in rng.integers(0, 10**9, k)]
+    first, second, p = word(9), word(9), word(70)
+    texts = [" ".join(word(30) + first + word(12) + second + word(30)) for _ in range(300)]
+    texts += [" ".join(word(30) + p + word(20)), " ".join(word(10) + p + word(30))]
+    w = _joint(texts)
+    sizes = np.unique(w["key"], return_counts=True)[1]
+    assert (sizes * (sizes - 1) // 2).sum() > 1000
+    pairs, frequent = op3._all_pairs(w, 11)
+    assert {tuple(x) for x in pairs[["doc", "rep"]].tolist()} == {(301, 300)} and not frequent
+
+
+def test_passages_joint_windows_keep_near_passages():
+    texts = [t for pair in _planted(150, 4) for t in pair]
+    pairs, _ = op3._all_pairs(_joint(texts), 11)
+    assert {tuple(x) for x in pairs[["doc", "rep"]].tolist()} == {(i, i - 1) for i in range(1, 300, 2)}
+
+
+def test_groups_go_on_by_bytes(spark):
+    def run(key, t):
+        for _ in range(40):
+            yield {"n": [key[0]], "data": [bytes(1000)]}
+
+    df = spark.range(3).select(F.col("id").alias("k"))
+    got = by_group(df, ["k"], run, "n long, data binary", bytes_out=2500)
+    assert Counter(r.n for r in got.collect()) == {0: 40, 1: 40, 2: 40}
+
+
 def test_matching_spans_with_changes_close_together():
     # 60 of 70 shingles shared; the runs before and after the changes are too short alone
     a = np.arange(1, 101, dtype=np.int64)
