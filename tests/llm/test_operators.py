@@ -28,6 +28,7 @@ from weir.llm import op7_mixing as op7  # noqa: E402
 from weir.llm import op8_packing as op8  # noqa: E402
 from weir.llm import op9_embeddings as op9  # noqa: E402
 from weir.llm import op10_lines as op10  # noqa: E402
+from weir.llm import text  # noqa: E402
 from weir.llm.common import by_group  # noqa: E402
 from weir.session import run_dir  # noqa: E402
 
@@ -439,6 +440,89 @@ def test_jaccard_in_rounds(spark, monkeypatch):
     assert {"links-0", "links-1"} <= set(written)
 
 
+ODD_TEXTS = [
+    b"", b"  ", b"one", b"A b", b"\x00\x00 \x00", b"x" * 31 + b" " + b"Y" * 32 + b" " + b"z" * 33 + b" " + b"w" * 100 + b" q Q",
+    b"a\x0bb\x0cc\rd\te\nf", b"\xc2\xa0a \xff\xfe b C D e\x1cf", b" lead trail of four words ", b"1 2 3 4 5", b"r " * 300,
+]
+
+
+def test_shingles_of_many_texts_at_once():
+    rng = np.random.default_rng(3)
+    made = [bytes(rng.choice(list(b"aBcdefghijk\xc3 \n\t "), rng.integers(0, 400)).tolist()) for _ in range(400)]
+    for texts in (ODD_TEXTS + made, ODD_TEXTS[::-1], [], [b""], [b" ", b""]):
+        each = [text.shingle_sequence(text.words(t)) for t in texts]
+        for got, want in ((text.shingle_sequences(texts), each), (text.shingle_sets(texts), [np.unique(x) for x in each])):
+            assert got[1].tolist() == [len(x) for x in want]
+            assert got[0].tolist() == [x for w in want for x in w.tolist()]
+
+
+def test_jaccard_prefixes_of_many_sets():
+    rng = np.random.default_rng(4)
+    sets = [np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64) << np.uint64(1)) for n in (0, 1, 3, 4, 5, 40, 0, 400)]
+    common = np.unique(np.concatenate([s[:: max(1, len(s) // 7)] for s in sets] + [sets[4]]))
+    for c in (common, common[:0]):
+        flat, sizes = op4.prefixes(np.concatenate(sets), np.array([len(s) for s in sets]), c)
+        assert len(flat) == sizes.sum()
+        for s, got in zip(sets, np.split(flat, np.cumsum(sizes)[:-1])):
+            size = len(s) - (op4.PERCENT * len(s) + 99) // 100 + 1 if len(s) else 0
+            assert set(got.tolist()) == set(sorted(s.tolist(), key=lambda x: (x in set(c.tolist()), x))[:size])
+
+
+def test_jaccard_regions_of_pairs_are_found_at_once(monkeypatch):
+    """Pairs that meet in several regions are not looked at one by one."""
+    monkeypatch.setattr(op4.np, "intersect1d", None)
+    rng = np.random.default_rng(5)
+    n, body = 300, np.arange(100)
+    sets = [np.append(body, 1000 + k) for k in range(n)]
+    regions = [np.unique(np.append(rng.integers(0, 40, 3), 20)) for _ in range(n)]
+    table = pa.table(
+        {"n": [101] * n, "point": range(n), "copies": rng.integers(1, 4, n), "block": [0] * n, "shingles": [s.tolist() for s in sets], "regions": [r.tolist() for r in regions]}
+    )
+    (got,) = op4._links((20, 0, 0), table)
+    links = dict(zip(got["point"].tolist(), got["links"].tolist()))
+    copies = table["copies"].to_pylist()
+    for i in range(n):
+        assert links[i] == sum(copies[j] for j in range(n) if j != i and min(set(regions[i].tolist()) & set(regions[j].tolist())) == 20)
+
+
+@pytest.mark.parametrize("cells", [op4.Incidence.CELLS, 1e-9, 10**9])
+def test_overlaps_by_products_and_by_pairs(monkeypatch, cells):
+    """Shingles that few points of a region hold are counted pair by pair, the
+    others multiplied; both give the same."""
+    monkeypatch.setattr(op4.Incidence, "CELLS", cells)
+    monkeypatch.setattr(op4.Incidence, "TOGETHER", 1000)
+    rng = np.random.default_rng(6)
+    for m, most, names in ((1, 5, 10), (3, 4, 8), (200, 40, 3000), (200, 40, 150), (40, 0, 1)):
+        sets = [np.unique(rng.integers(0, names, rng.integers(0, most + 1)).astype(np.uint64)) for _ in range(m)]
+        inc = op4.Incidence(np.concatenate(sets), np.append(0, np.cumsum([len(x) for x in sets])).astype(int))
+        a, b = rng.permutation(m)[: m // 2 + 1], rng.permutation(m)
+        want = [[len(np.intersect1d(sets[x], sets[y])) for y in b] for x in a]
+        assert (inc.overlap(a, b) == want)[a[:, None] != b[None, :]].all()
+
+
+def test_jaccard_points_go_where_their_pairs_are_counted(spark, monkeypatch):
+    """A pair that shares several regions sends its sets to the smallest only."""
+    sent = []
+    write = op4.Stage.write
+    monkeypatch.setattr(op4.Stage, "write", lambda self, df, name: sent.append((name, write(self, df, name))) or sent[-1][1])
+    monkeypatch.setattr(op4.Stage, "drop", lambda self, name: None)
+    rng = np.random.default_rng(7)
+    body = [f"w{j}" for j in range(400)]
+    data = []
+    for i in range(40):
+        words = list(body)
+        for j in rng.integers(0, 400, 8):
+            words[j] = f"x{i}-{j}"
+        data.append((i, " ".join(words)))
+    got = op4.jaccard_join(spark.createDataFrame(data, "doc_id long, text string")).collect()
+    assert Counter((r.doc_id, r.n_shingles, r.component, r.n_links) for r in got) == _links(data)
+    staged = dict(sent)
+    assert staged["met"].select(F.max(F.size("regions"))).first()[0] > 3
+    many = staged["possible"].groupBy("region").count().agg(F.sum(F.col("count") * (F.col("count") - 1) / 2)).first()[0]
+    meet = staged["met"].select(F.explode("regions").alias("region")).groupBy("region").count()
+    assert many < meet.agg(F.sum(F.col("count") * (F.col("count") - 1) / 2)).first()[0] / 2
+
+
 def test_metric_join_is_exact():
     rng = np.random.default_rng(2)
     base = [rng.choice(5000, 60, replace=False) for _ in range(12)]
