@@ -387,6 +387,14 @@ def test_groups_go_on_by_bytes(spark):
     assert Counter(r.n for r in got.collect()) == {0: 40, 1: 40, 2: 40}
 
 
+def test_passages_ends_of_distinct_shingles():
+    rng = np.random.default_rng(8)
+    texts = [rng.integers(0, m, n).astype(np.uint64) for m, n in ((3, 50), (1000, 60), (1, 46), (20, 200))]
+    sizes = np.array([len(t) for t in texts])
+    got = op3._distinct_ends(np.concatenate(texts), np.cumsum(sizes) - sizes, sizes)
+    assert got.tolist() == [max(t.tolist().index(x) for x in t.tolist()) + 1 for t in texts]
+
+
 def test_matching_spans_with_changes_close_together():
     # 60 of 70 shingles shared; the runs before and after the changes are too short alone
     a = np.arange(1, 101, dtype=np.int64)
