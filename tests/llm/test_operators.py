@@ -908,3 +908,21 @@ def test_pipeline_stages(spark, docs):
         d = new
     assert d.count() > 0
     assert all(step(spark, docs.where("false").select(*corpus_pipeline.COLUMNS), SF).count() == 0 for _, step in corpus_pipeline.STAGES)
+
+
+def test_pipeline_deals_prefixes_without_a_row_each(spark, monkeypatch):
+    """In stage 3 the shingles of the prefixes meet packed, not as rows."""
+    plans = {}
+    write = op4.Stage.write
+
+    def seen(self, df, name):
+        plans[name] = df._jdf.queryExecution().optimizedPlan().toString()
+        return write(self, df, name)
+
+    monkeypatch.setattr(op4.Stage, "write", seen)
+    long = " ".join(f"w{j}" for j in range(60))
+    data = [(1, long), (2, long + " more"), (3, " ".join(f"v{j}" for j in range(60))), (4, ""), (None, "a b c d e f")]
+    df = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in data], "doc_id long, text string, lang string, source string, n_chars long")
+    got = corpus_pipeline.jaccard_dedup(spark, df, None).collect()
+    assert Counter(r.doc_id for r in got) == Counter([1, 3, 4, None])
+    assert "MapInArrow" in plans["met"] and "Generate" not in plans["met"]
